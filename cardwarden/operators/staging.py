@@ -1,7 +1,8 @@
 """Raw rows to typed staging rows.
 
 Strict staging fails on the first unreadable or over-long value, as a load into the typed
-tables would. ``problems`` lists the offending columns instead, for the rejects table.
+tables would. ``enforce_lengths=False`` lets long text pass. ``problems`` lists the
+offending columns instead, for the rejects table.
 """
 
 from __future__ import annotations
@@ -18,39 +19,45 @@ from cardwarden.schemas import Table
 _PARSED = {"trans_date": parse_day, "amt": parse_amount, "entry_dt": parse_listed_day}
 
 
-def conform(df: DataFrame, table: Table) -> DataFrame:
-    """Columns picked by name in the table's order, cast to its types, lengths enforced."""
-    return df.select(*(_checked(F.col(f.name).cast(f.dataType), table, f.name) for f in table.schema))
+def conform(df: DataFrame, table: Table, enforce_lengths: bool = True) -> DataFrame:
+    """Columns picked by name in the table's order and given its types."""
+    typed = {field.name: F.col(field.name).cast(field.dataType) for field in table.schema}
+    return df.select(*_limited(typed, table, enforce_lengths))
 
 
-def stage_transactions(raw: DataFrame, *carried: Column) -> DataFrame:
+def stage_transactions(
+    raw: DataFrame, *carried: Column, enforce_lengths: bool = True
+) -> DataFrame:
     """Typed transactions, followed by any further columns asked for."""
-    return _parsed(raw, schemas.TRANSACTIONS, *carried)
+    typed = _parsed(schemas.TRANSACTIONS)
+    return raw.select(*_limited(typed, schemas.TRANSACTIONS, enforce_lengths), *carried)
 
 
-def stage_blacklist(raw: DataFrame) -> DataFrame:
-    return _parsed(raw, schemas.BLACKLIST)
+def stage_blacklist(raw: DataFrame, enforce_lengths: bool = True) -> DataFrame:
+    typed = _parsed(schemas.BLACKLIST)
+    return raw.select(*_limited(typed, schemas.BLACKLIST, enforce_lengths))
 
 
-def stage_terminals(raw: DataFrame, run_dt: date) -> DataFrame:
+def stage_terminals(raw: DataFrame, run_dt: date, enforce_lengths: bool = True) -> DataFrame:
     """Terminal sheets carry no dates: a new terminal is dated with the run."""
-    return conform(
-        raw.withColumns({"create_dt": F.lit(run_dt), "update_dt": F.lit(None)}), schemas.TERMINALS
-    )
+    stamped = raw.withColumns({"create_dt": F.lit(run_dt), "update_dt": F.lit(None)})
+    return conform(stamped, schemas.TERMINALS, enforce_lengths)
 
 
-def stage_clients(pulled: DataFrame) -> DataFrame:
-    return conform(pulled, schemas.CLIENTS)
+def stage_clients(pulled: DataFrame, enforce_lengths: bool = True) -> DataFrame:
+    return conform(pulled, schemas.CLIENTS, enforce_lengths)
 
 
-def stage_accounts(pulled: DataFrame) -> DataFrame:
-    return conform(pulled.withColumnRenamed("account", "account_num"), schemas.ACCOUNTS)
+def stage_accounts(pulled: DataFrame, enforce_lengths: bool = True) -> DataFrame:
+    renamed = pulled.withColumnRenamed("account", "account_num")
+    return conform(renamed, schemas.ACCOUNTS, enforce_lengths)
 
 
-def stage_cards(pulled: DataFrame) -> DataFrame:
+def stage_cards(pulled: DataFrame, enforce_lengths: bool = True) -> DataFrame:
     """The bank pads card numbers with spaces; transactions carry them bare."""
     renamed = pulled.withColumnRenamed("account", "account_num")
-    return conform(renamed.withColumn("card_num", F.trim("card_num")), schemas.CARDS)
+    bare = renamed.withColumn("card_num", F.trim("card_num"))
+    return conform(bare, schemas.CARDS, enforce_lengths)
 
 
 def problems(raw: DataFrame, table: Table) -> Column:
@@ -79,25 +86,30 @@ def too_long(text: Column, limit: int) -> Column:
     return F.length(F.rtrim(text)) > limit
 
 
-def _parsed(raw: DataFrame, table: Table, *carried: Column) -> DataFrame:
-    columns = []
+def _parsed(table: Table) -> dict[str, Column]:
+    """Values read from text; text that cannot be read fails the query when it runs."""
+    typed = {}
     for name in table.columns:
-        text = F.col(name)
+        text = typed[name] = F.col(name)
         if name in _PARSED:
             value = _PARSED[name](text)
             complaint = F.concat(F.lit(f"unreadable {name}: "), text)
-            columns.append(
-                F.when(unread(text, value), F.raise_error(complaint)).otherwise(value).alias(name)
-            )
-        else:
-            columns.append(_checked(text, table, name))
-    return raw.select(*columns, *carried)
-
-
-def _checked(value: Column, table: Table, name: str) -> Column:
-    if name not in table.limits:
-        return value.alias(name)
-    limit = table.limits[name]
-    complaint = F.concat(F.lit(f"{name} is longer than {limit}: "), value)
-    cut = F.when(F.length(value) > limit, F.substring(value, 1, limit)).otherwise(value)
-    return F.when(too_long(value, limit), F.raise_error(complaint)).otherwise(cut).alias(name)
+            failed = F.when(unread(text, value), F.raise_error(complaint))
+            typed[name] = failed.otherwise(value)
+    return typed
+
+
+def _limited(typed: dict[str, Column], table: Table, enforce_lengths: bool) -> list[Column]:
+    """The columns in table order; text over its limit fails the query when it runs.
+
+    Spaces beyond the limit are cut off, as they are on a load into a limited text column.
+    """
+    columns = []
+    for name, value in typed.items():
+        limit = table.limits.get(name)
+        if enforce_lengths and limit is not None:
+            complaint = F.concat(F.lit(f"{name} is longer than {limit}: "), value)
+            cut = F.when(F.length(value) > limit, F.substring(value, 1, limit)).otherwise(value)
+            value = F.when(too_long(value, limit), F.raise_error(complaint)).otherwise(cut)
+        columns.append(value.alias(name))
+    return columns

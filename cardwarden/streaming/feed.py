@@ -51,6 +51,7 @@ def load_feed(
     history: Callable[[SparkSession], DataFrame] | None = None,
     watch: Callable[[SparkSession], DataFrame] | None = None,
     report_dt: Column | None = None,
+    enforce_lengths: bool = True,
 ) -> StreamingQuery:
     """Append the stream's new transactions below ``root``; with ``watch``, judge them too.
 
@@ -63,7 +64,9 @@ def load_feed(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = tune(batch.sparkSession)
-        staged = stage_transactions(batch, day.alias("report_day"))
+        staged = stage_transactions(
+            batch, day.alias("report_day"), enforce_lengths=enforce_lengths
+        )
         known = _earlier(spark, root, TRANSACTIONS, batch_id)
         if history is not None:
             known = known.unionByName(history(spark).select(*TRANSACTIONS.columns))

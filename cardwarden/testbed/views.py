@@ -122,26 +122,52 @@ def terminals_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def before(whole: DataFrame, key: str) -> DataFrame:
     """A dimension some keys of the snapshot have not reached yet."""
-    return whole.where(f"{number(key)} % 11 <> 0")
+    return whole.where(f"{_number(key)} % 11 <> 0")
 
 
 def after(whole: DataFrame, key: str, changed: str, emptied: str) -> DataFrame:
     """Its next snapshot: some keys gone, one attribute changed, one emptied."""
-    value = F.col(changed)
-    if dict(whole.dtypes)[changed] == "date":
-        value = F.date_add(value, 30)
-    else:
-        value = F.concat(value, F.lit("x"))
-    empty = F.lit(None).cast(whole.schema[emptied].dataType)
-    return whole.where(f"{number(key)} % 13 <> 0").withColumns(
-        {
-            emptied: F.when(F.expr(f"{number(key)} % 7 <> 0"), F.col(emptied)).otherwise(empty),
-            changed: F.when(F.expr(f"{number(key)} % 3 = 0"), value).otherwise(F.col(changed)),
-            "create_dt": F.lit(RUN_DT),
-        }
+    moved = dict(whole.dtypes)[changed] == "date"
+    value = F.date_add(changed, 30) if moved else F.concat(changed, F.lit("x"))
+    return (
+        whole.where(f"{_number(key)} % 13 <> 0")
+        .withColumn(changed, F.when(F.expr(f"{_number(key)} % 3 = 0"), value).otherwise(F.col(changed)))
+        .withColumn(emptied, F.when(F.expr(f"{_number(key)} % 7 <> 0"), F.col(emptied)))
+        .withColumn("create_dt", F.lit(RUN_DT))
     )
 
 
-def number(key: str) -> str:
+def _number(key: str) -> str:
     """The number inside a key such as C17."""
-    return f"cast(ltrim('C', {key}) as bigint)"
+    return f"cast(replace({key}, 'C', '') as bigint)"
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Every dimension as it stands, and the snapshot that comes next."""
+    people, contracts, plastic = (view(spark, sf_dir) for view in (clients, accounts, cards))
+    return {
+        "dim_terminals": (terminals_before(spark, sf_dir), terminals_after(spark, sf_dir)),
+        "dim_clients": (
+            before(people, "client_id"),
+            after(people, "client_id", "passport_valid_to", "patronymic"),
+        ),
+        "dim_accounts": (
+            before(contracts, "account_num"),
+            after(contracts, "account_num", "valid_to", "client"),
+        ),
+        "dim_cards": (
+            before(plastic, "card_num"),
+            after(plastic, "card_num", "account_num", "account_num"),
+        ),
+    }
+
+
+def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All transactions with the number of the load that brings them."""
+    return transactions(spark, sf_dir).withColumn("load", load_of(F.col("trans_date")))
+
+
+def load_of(day: Column) -> Column:
+    """Three loads that share out all transactions by day."""
+    first, second = day < F.lit(date(1997, 1, 1)), day < F.lit(date(1999, 1, 1))
+    return F.when(first, 1).when(second, 2).otherwise(3)
