@@ -23,7 +23,8 @@ def insert_new(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     keyed = batch.where(F.col(key).isNotNull())
     unkeyed = batch.where(F.col(key).isNull())
     known = target.select(key).join(keyed.select(key), key, "left_semi").distinct()
-    return keyed.join(known, key, "left_anti").unionByName(unkeyed)
+    fresh = keyed.join(known, key, "left_anti").select(*batch.columns)
+    return fresh.unionByName(unkeyed)
 
 
 def insert_new_in_order(batches: DataFrame, key: str, order: str) -> DataFrame:
@@ -35,4 +36,5 @@ def insert_new_in_order(batches: DataFrame, key: str, order: str) -> DataFrame:
     keyed = batches.where(F.col(key).isNotNull())
     unkeyed = batches.where(F.col(key).isNull())
     first = keyed.groupBy(key).agg(F.min(order).alias(order))
-    return keyed.join(first, [key, order], "left_semi").unionByName(unkeyed)
+    kept = keyed.join(first, [key, order], "left_semi").select(*batches.columns)
+    return kept.unionByName(unkeyed)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -14,6 +15,7 @@ from cardwarden.operators.incremental import insert_new
 from cardwarden.operators.scd1 import scd1_merge
 from cardwarden.plans import fraud
 from cardwarden.plans.warehouse import Warehouse
+from cardwarden.schemas import Table
 from cardwarden.session import tune
 from cardwarden.sources.delimited import read_transactions
 from cardwarden.sources.drops import drop_files
@@ -58,47 +60,51 @@ def run_batch(
         raise ValueError(f"unknown history {history!r}")
     if feeds.transactions is None:
         return False
-    tune(warehouse.spark)
-    past = warehouse.before(run_id)
+    spark = tune(warehouse.spark)
+    past = warehouse.state(before=run_id)
     run = warehouse.begin(run_id)
 
-    new = {}
-    for table, feed in zip(schemas.FACTS, (feeds.transactions, feeds.blacklist), strict=True):
+    def append(table: Table, feed: DataFrame | None) -> DataFrame:
         if feed is None:
-            feed = warehouse.spark.createDataFrame([], table.schema)
+            return spark.createDataFrame([], table.schema)
         staged = run.write(f"stg_{table.name}", feed.select(*table.columns))
         fresh = insert_new(staged, past.table(table), table.key)
-        new[table.name] = run.write(table.name, fresh, rebalance=True)
-
-    dims = {}
-    snapshots = (feeds.terminals, feeds.clients, feeds.accounts, feeds.cards)
-    for table, snapshot in zip(schemas.DIMENSIONS, snapshots, strict=True):
-        dims[table.name] = past.table(table)
-        if snapshot is not None:
-            staged = run.write(f"stg_{table.name}", snapshot.select(*table.columns))
-            if not allow_empty_snapshot and staged.isEmpty():
-                raise EmptySnapshot(table.name)
-            merged = scd1_merge(dims[table.name], staged, table, run_dt)
-            dims[table.name] = run.write(table.name, merged)
-
-    judged = new[schemas.TRANSACTIONS.name]
+        return run.write(table.name, fresh, rebalance=True)
+
+    def merge(table: Table, snapshot: DataFrame | None) -> DataFrame:
+        if snapshot is None:
+            return past.table(table)
+        staged = run.write(f"stg_{table.name}", snapshot.select(*table.columns))
+        if not allow_empty_snapshot and staged.isEmpty():
+            raise EmptySnapshot(table.name)
+        merged = scd1_merge(past.table(table), staged, table, run_dt)
+        return run.write(table.name, merged)
+
+    # The six loads do not depend on each other, and most are far too small to keep a
+    # cluster busy, so their jobs are submitted side by side.
+    loads = [
+        (append, schemas.TRANSACTIONS, feeds.transactions),
+        (append, schemas.BLACKLIST, feeds.blacklist),
+        (merge, schemas.TERMINALS, feeds.terminals),
+        (merge, schemas.CLIENTS, feeds.clients),
+        (merge, schemas.ACCOUNTS, feeds.accounts),
+        (merge, schemas.CARDS, feeds.cards),
+    ]
+    with ThreadPoolExecutor(len(loads)) as pool:
+        started = [pool.submit(load, table, feed) for load, table, feed in loads]
+        judged, listed, _, clients, accounts, cards = (task.result() for task in started)
+
     last = judged.agg(F.max("trans_date")).first()[0]
     horizon = last
     if history == "all":
         judged = judged.unionByName(past.table(schemas.TRANSACTIONS))
         horizon = max((day for day in (last, past.last_trans_date()) if day), default=None)
-    listed = new[schemas.BLACKLIST.name].unionByName(past.table(schemas.BLACKLIST))
-    watch = fraud.watch_list(
-        dims[schemas.CARDS.name],
-        dims[schemas.ACCOUNTS.name],
-        fraud.both_rules(dims[schemas.CLIENTS.name], listed),
-        horizon,
-    )
+    rules = fraud.both_rules(clients, listed.unionByName(past.table(schemas.BLACKLIST)))
+    watch = fraud.watch_list(cards, accounts, rules, horizon)
     # Written first, so that its true size decides whether it is broadcast or shuffled.
     watch = run.write("watch_list", watch, rebalance=True)
-    run.write(
-        schemas.REPORT.name, fraud.fraud_events(judged, watch, report_dt), rebalance=True
-    )
+    events = fraud.fraud_events(judged, watch, report_dt)
+    run.write(schemas.REPORT.name, events, rebalance=True)
     run.publish(last)
     return True
 
@@ -126,10 +132,12 @@ def run_drop(
     # File names only: a few per day.
     for file in drop_files(spark, folder).where(F.col("drop_day").isNotNull()).collect():
         by_day.setdefault(file.drop_day, {}).setdefault(file.feed, []).append(file.path)
-    done = {run.run_id for run in warehouse.runs()}
-    ran = []
+    done = {run.run_id for run in warehouse.state().runs}
+    ran: list[date] = []
     for day in sorted(day for day in by_day if day.isoformat() not in done):
-        feeds = _feeds(spark, by_day[day], bank, day)
+        # The pulled tables are the bank's state of now: merging them again for the next
+        # waiting day would change nothing.
+        feeds = _feeds(spark, by_day[day], {} if ran else bank, day)
         if run_batch(
             warehouse, feeds, day.isoformat(), day, day, history, allow_empty_snapshot
         ):
@@ -140,17 +148,21 @@ def run_drop(
 def _feeds(
     spark: SparkSession, files: dict[str, list[str]], bank: dict[str, DataFrame], day: date
 ) -> Feeds:
-    def sheet(feed: str, layout: tuple) -> DataFrame | None:
-        return read_workbooks(spark, files[feed], *layout) if feed in files else None
-
-    listed = sheet("passport_blacklist", schemas.BLACKLIST_SHEET)
-    terminals = sheet("terminals", schemas.TERMINALS_SHEET)
-    lines = read_transactions(spark, files["transactions"]) if "transactions" in files else None
-    return Feeds(
-        transactions=lines if lines is None else staging.stage_transactions(lines),
-        blacklist=listed if listed is None else staging.stage_blacklist(listed),
-        terminals=terminals if terminals is None else staging.stage_terminals(terminals, day),
-        clients=staging.stage_clients(bank["clients"]),
-        accounts=staging.stage_accounts(bank["accounts"]),
-        cards=staging.stage_cards(bank["cards"]),
-    )
+    feeds: dict[str, DataFrame | None] = {"transactions": None}
+    if "transactions" in files:
+        lines = read_transactions(spark, files["transactions"])
+        feeds["transactions"] = staging.stage_transactions(lines)
+    if "passport_blacklist" in files:
+        entries = read_workbooks(spark, files["passport_blacklist"], *schemas.BLACKLIST_SHEET)
+        feeds["blacklist"] = staging.stage_blacklist(entries)
+    if "terminals" in files:
+        sheet = read_workbooks(spark, files["terminals"], *schemas.TERMINALS_SHEET)
+        feeds["terminals"] = staging.stage_terminals(sheet, day)
+    stages = {
+        "clients": staging.stage_clients,
+        "accounts": staging.stage_accounts,
+        "cards": staging.stage_cards,
+    }
+    for name, pulled in bank.items():
+        feeds[name] = stages[name](pulled)
+    return Feeds(**feeds)

@@ -1,0 +1,118 @@
+"""Fraud rules on hand-written edge rows and against brute force."""
+
+import datetime as dt
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from cardwarden import schemas
+from cardwarden.plans import fraud
+
+REPORT = dt.date(2021, 3, 3)
+
+
+def day(n):
+    return None if n is None else dt.date(2021, 1, 1) + dt.timedelta(n)
+
+
+def world(spark, trans, contract_ends, passport_ends, listed, patronymic="P", names=("L", "F")):
+    """One card, account and client; days are counted from the start of 2021."""
+    tx = spark.createDataFrame(
+        [(str(i), day(n), "c", "", None, "", "") for i, n in enumerate(trans)],
+        schemas.TRANSACTIONS.schema,
+    )
+    cards = spark.createDataFrame([("c", "a", None, None)], schemas.CARDS.schema)
+    accounts = spark.createDataFrame(
+        [("a", day(contract_ends), "k", None, None)], schemas.ACCOUNTS.schema
+    )
+    clients = spark.createDataFrame(
+        [("k", *names, patronymic, None, "pass", day(passport_ends), "+7", None, None)],
+        schemas.CLIENTS.schema,
+    )
+    entries = spark.createDataFrame(
+        [(day(n), "pass") for n in listed], schemas.BLACKLIST.schema
+    )
+    return tx, cards, accounts, clients, entries
+
+
+def events(tables, rules=fraud.both_rules, horizon=None):
+    tx, cards, accounts, clients, entries = tables
+    watch = fraud.watch_list(cards, accounts, rules(clients, entries), horizon)
+    found = fraud.fraud_events(tx, watch, REPORT)
+    return Counter((r.event_type, r.event_dt) for r in found.collect())
+
+
+def test_same_day_and_missing_expiry_are_no_fraud(spark):
+    assert not events(world(spark, [5], 5, 5, []))
+    assert not events(world(spark, [5], None, None, []))
+
+
+def test_one_transaction_may_break_both_rules(spark):
+    assert events(world(spark, [6], 5, 5, [])) == {("1", day(6)): 1, ("2", day(6)): 1}
+
+
+def test_expired_passport_counts_once_per_earlier_entry(spark):
+    for listed, copies in ([], 1), ([3], 1), ([3, 4], 2), ([4, 4, 4], 3), ([6, 9], 1), ([5, 6], 1):
+        assert events(world(spark, [6], None, 2, listed)) == {("1", day(6)): copies}, listed
+
+
+def test_listed_but_valid_passport(spark):
+    tables = world(spark, [6], None, 9, [3, 4])
+    assert not events(tables)
+    assert events(tables, fraud.passport_rule_once) == {("1", day(6)): 1}
+
+
+def test_passport_without_expiry_is_valid_until_2900(spark):
+    far = (dt.date(2900, 1, 2) - dt.date(2021, 1, 1)).days
+    assert events(world(spark, [far - 1, far], None, None, [])) == {("1", day(far)): 1}
+
+
+def test_entry_without_day_or_passport_never_matches(spark):
+    tx, cards, accounts, clients, entries = world(spark, [6], None, 2, [None])
+    entries = entries.unionByName(
+        entries.sparkSession.createDataFrame([(day(1), None)], schemas.BLACKLIST.schema)
+    )
+    assert events((tx, cards, accounts, clients, entries)) == {("1", day(6)): 1}
+
+
+def test_many_entries_on_one_day(spark):
+    assert events(world(spark, [6], None, 2, [3] * 2500)) == {("1", day(6)): 2500}
+
+
+def test_missing_patronymic_leaves_no_name(spark):
+    tx, cards, accounts, clients, _ = world(spark, [6], 5, None, [], patronymic=None)
+    watch = fraud.watch_list(cards, accounts, fraud.contract_rule(clients))
+    assert fraud.fraud_events(tx, watch, REPORT).first().fio is None
+
+
+def test_longest_name_is_not_cut(spark):
+    part = "n" * 50
+    tx, cards, accounts, clients, _ = world(spark, [6], 5, None, [], part, (part, part))
+    watch = fraud.watch_list(cards, accounts, fraud.contract_rule(clients))
+    assert len(fraud.fraud_events(tx, watch, REPORT).first().fio) == 152
+
+
+FEW = settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+DAYS = st.integers(0, 8)
+
+
+@FEW
+@given(
+    trans=st.lists(DAYS, min_size=1, max_size=6),
+    contract=st.one_of(st.none(), DAYS),
+    passport=st.one_of(st.none(), DAYS),
+    listed=st.lists(DAYS, max_size=5),
+)
+def test_both_rules(spark, trans, contract, passport, listed):
+    wanted = Counter()
+    for t in trans:
+        if contract is not None and contract < t:
+            wanted["2", day(t)] += 1
+        if passport is not None and passport < t:
+            wanted["1", day(t)] += max(1, sum(n < t for n in listed))
+    tables = world(spark, trans, contract, passport, listed)
+    assert events(tables) == wanted
+    assert events(tables, horizon=day(max(trans))) == wanted

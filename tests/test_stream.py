@@ -1,0 +1,93 @@
+"""The file stream: several rounds on one checkpoint, replayed batches, archiving."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardwarden import schemas
+from cardwarden.streaming.feed import load_feed, loaded, transaction_stream
+from tests.test_files import line, write_lines
+
+DAY = dt.date(2021, 3, 1)
+
+
+@pytest.fixture
+def places(tmp_path):
+    for name in ("drop", "archive"):
+        (tmp_path / name).mkdir()
+    return tmp_path
+
+
+def run(spark, places, **options):
+    stream = {k: options.pop(k) for k in ("archive", "files_per_batch") if k in options}
+    lines = transaction_stream(spark, str(places / "drop"), **stream)
+    load_feed(
+        lines, str(places / "out"), str(places / "checkpoint"), **options
+    ).awaitTermination()
+
+
+def ids(spark, places):
+    facts = loaded(spark, str(places / "out"), schemas.TRANSACTIONS)
+    return sorted((r.trans_id, str(r.trans_date)) for r in facts.collect())
+
+
+def watch(spark):
+    return spark.createDataFrame(
+        [("c1", "p", "n", "+7", "2", dt.date(2021, 2, 1), None, 1)],
+        "card_num string, passport string, fio string, phone string, event_type string,"
+        " after_dt date, until_dt date, copies int",
+    )
+
+
+def test_rounds_on_one_checkpoint(spark, places):
+    drop = places / "drop"
+    write_lines(drop / "transactions_01032021.txt", line(1, "2021-03-01"), line(1, "2021-03-01"))
+    run(spark, places, watch=watch, archive=str(places / "archive"))
+    write_lines(drop / "transactions_02032021.txt", line(1, "2021-03-02"), line(2, "2021-03-02"))
+    (drop / "passport_blacklist_02032021.txt").write_text("not for this feed")
+    run(spark, places, watch=watch, archive=str(places / "archive"))
+    run(spark, places, watch=watch, archive=str(places / "archive"))
+    # Both copies of 1 came in one batch; the later 1 is known by then.
+    assert ids(spark, places) == [("1", "2021-03-01")] * 2 + [("2", "2021-03-02")]
+    report = loaded(spark, str(places / "out"), schemas.REPORT)
+    assert sorted((r.event_dt, r.report_dt) for r in report.collect()) == [
+        (dt.date(2021, 3, 1), dt.date(2021, 3, 1)),
+        (dt.date(2021, 3, 1), dt.date(2021, 3, 1)),
+        (dt.date(2021, 3, 2), dt.date(2021, 3, 2)),
+    ]
+
+
+def test_history_counts_as_known(spark, places):
+    row = ("1", DAY, "c", "", None, "", "")
+    write_lines(places / "drop" / "transactions_01032021.txt", line(1, "2021-03-01"), line(2, "2021-03-01"))
+    run(
+        spark,
+        places,
+        history=lambda session: session.createDataFrame([row], schemas.TRANSACTIONS.schema),
+    )
+    assert ids(spark, places) == [("2", "2021-03-01")]
+
+
+def test_replayed_batch_gives_the_same_rows(spark, places):
+    drop = places / "drop"
+    for n in (1, 2):
+        write_lines(drop / f"transactions_0{n}032021.txt", line(n, f"2021-03-0{n}"))
+        run(spark, places)
+    before = ids(spark, places)
+    # As after a crash between the write and the commit of the last batch.
+    commits = places / "checkpoint" / "commits"
+    for name in ("1", ".1.crc"):
+        if (commits / name).exists():
+            os.rename(commits / name, places / f"lost{name}")
+    run(spark, places)
+    assert ids(spark, places) == before
+
+
+def test_files_one_at_a_time(spark, places):
+    for n in (1, 2, 3):
+        write_lines(places / "drop" / f"transactions_0{n}032021.txt", line(7, f"2021-03-0{n}"))
+        os.utime(places / "drop" / f"transactions_0{n}032021.txt", (n, n))
+    run(spark, places, files_per_batch=1, report_dt=F.lit(DAY))
+    assert ids(spark, places) == [("7", "2021-03-01")]
