@@ -17,12 +17,17 @@ def insert_new(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     batch also has: a semi join that streams one target column past the broadcast batch
     keys (or past a shuffle, once the batch outgrows the broadcast limit). ``distinct``
     combines before its shuffle, so what is left is at most one row per batch key, however
-    often the target repeats one. Rows without a key would all hash to one task, hence the
-    separate arm.
+    often the target repeats one.
+
+    The hints give both key lists a shuffle of their own. It moves few bytes, and it lets
+    AQE see their true size before they are joined: it broadcasts a short list, and beside
+    a long one it can split a key that holds a large share of the target or of the batch.
+    Rows without a key could not be split off like that and skip the join.
     """
     keyed = batch.where(F.col(key).isNotNull())
     unkeyed = batch.where(F.col(key).isNull())
-    known = target.select(key).join(keyed.select(key), key, "left_semi").distinct()
+    offered = keyed.select(key).distinct().hint("rebalance")
+    known = target.select(key).join(offered, key, "left_semi").distinct().hint("rebalance")
     fresh = keyed.join(known, key, "left_anti").select(*batch.columns)
     return fresh.unionByName(unkeyed)
 

@@ -31,7 +31,8 @@ def scd1_merge(dim: DataFrame, snapshot: DataFrame, table: Table, run_dt: date)
         .when(F.col("change") == UPDATED, F.lit(run_dt))
         .otherwise(F.col("d.update_dt")),
     }
-    for name in (table.key, *table.tracked):
+    columns[table.key] = F.coalesce("s_key", "d_key")
+    for name in table.tracked:
         columns[name] = F.when(taken, F.col(f"s.{name}")).otherwise(F.col(f"d.{name}"))
     merged = kept.select(*(columns[name].alias(name) for name in table.columns))
     # Rows without a key match nothing: the snapshot's are new every time, the
@@ -48,9 +49,9 @@ def snapshot_diff(dim: DataFrame, snapshot: DataFrame, table: Table) -> DataFram
     """Rows the merge inserts (I), updates (U, new values) or deletes (D, last values)."""
     changed = _aligned(dim, snapshot, table).where(F.col("change") != UNCHANGED)
     gone = F.col("change") == DELETED
-    values = [
+    values = [F.coalesce("s_key", "d_key").alias(table.key)] + [
         F.when(gone, F.col(f"d.{name}")).otherwise(F.col(f"s.{name}")).alias(name)
-        for name in (table.key, *table.tracked)
+        for name in table.tracked
     ]
     new = snapshot.where(F.col(table.key).isNull()).select(
         F.lit(INSERTED).alias("change"), table.key, *table.tracked
@@ -59,13 +60,13 @@ def snapshot_diff(dim: DataFrame, snapshot: DataFrame, table: Table) -> DataFram
 
 
 def _aligned(dim: DataFrame, snapshot: DataFrame, table: Table) -> DataFrame:
-    """Keyed rows of both sides as structs ``d`` and ``s``, with the kind of change.
+    """Keys of both sides, their other columns as ``d`` and ``s``, and the kind of change.
 
     Grouping the snapshot by key serves two ends: it refuses a key given twice, for which
     an update has no defined outcome, and its shuffle is the very one the join needs.
     """
     key = table.key
-    names = table.columns
+    names = [name for name in table.columns if name != key]
     once = (
         snapshot.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("s_key"))

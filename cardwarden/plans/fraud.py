@@ -87,6 +87,9 @@ def watch_list(
 
     Spans that open on or after the horizon cannot match, so they are dropped before the
     cards come in: of all cards, only those of an already expired holder are left.
+
+    After three joins the size of the list is anyone's guess. The hint gives it a shuffle
+    of its own, after which AQE knows, and picks the last join by it.
     """
     after = F.when(F.col("event_type") == EXPIRED_CONTRACT, F.col("valid_to")).otherwise(
         F.col("after_dt")
@@ -105,6 +108,7 @@ def watch_list(
         .select(
             "card_num", "passport", "fio", "phone", "event_type", "after_dt", "until_dt", "copies"
         )
+        .hint("rebalance")
     )
 
 

@@ -67,18 +67,18 @@ def run_batch(
     def append(table: Table, feed: DataFrame | None) -> DataFrame:
         if feed is None:
             return spark.createDataFrame([], table.schema)
-        staged = run.write(f"stg_{table.name}", feed.select(*table.columns))
+        staged = run.stage(table.name, feed.select(*table.columns))
         fresh = insert_new(staged, past.table(table), table.key)
-        return run.write(table.name, fresh, rebalance=True)
+        return run.write(table, fresh, rebalance=True)
 
     def merge(table: Table, snapshot: DataFrame | None) -> DataFrame:
         if snapshot is None:
             return past.table(table)
-        staged = run.write(f"stg_{table.name}", snapshot.select(*table.columns))
+        staged = run.stage(table.name, snapshot.select(*table.columns))
         if not allow_empty_snapshot and staged.isEmpty():
             raise EmptySnapshot(table.name)
         merged = scd1_merge(past.table(table), staged, table, run_dt)
-        return run.write(table.name, merged)
+        return run.write(table, merged)
 
     # The six loads do not depend on each other, and most are far too small to keep a
     # cluster busy, so their jobs are submitted side by side.
@@ -102,9 +102,9 @@ def run_batch(
     rules = fraud.both_rules(clients, listed.unionByName(past.table(schemas.BLACKLIST)))
     watch = fraud.watch_list(cards, accounts, rules, horizon)
     # Written first, so that its true size decides whether it is broadcast or shuffled.
-    watch = run.write("watch_list", watch, rebalance=True)
+    watch = run.stage("watch_list", watch)
     events = fraud.fraud_events(judged, watch, report_dt)
-    run.write(schemas.REPORT.name, events, rebalance=True)
+    run.write(schemas.REPORT, events, rebalance=True)
     run.publish(last)
     return True
 

@@ -19,6 +19,7 @@ from cardwarden.functions.parsing import file_day
 from cardwarden.operators.incremental import insert_new
 from cardwarden.operators.staging import stage_transactions
 from cardwarden.plans.fraud import fraud_events
+from cardwarden.plans.warehouse import settle
 from cardwarden.schemas import REPORT, TRANSACTIONS, Table
 from cardwarden.session import tune
 from cardwarden.sources.delimited import FILE_OPTIONS, RAW_SCHEMA
@@ -70,19 +71,14 @@ def load_feed(
         known = _earlier(spark, root, TRANSACTIONS, batch_id)
         if history is not None:
             known = known.unionByName(history(spark).select(*TRANSACTIONS.columns))
-        staged.persist()
-        try:
-            fresh = insert_new(staged, known, TRANSACTIONS.key)
-            facts = _folder(root, TRANSACTIONS, batch_id)
-            fresh.write.mode("overwrite").parquet(facts)
-        finally:
-            staged.unpersist()
+        # Written first: the lines are read once, and the size of the batch is known, so
+        # that a small one is broadcast instead of shuffling all facts.
+        staged = settle(staged, f"{root}/_staging/{TRANSACTIONS.name}")
+        facts = _folder(root, TRANSACTIONS, batch_id)
+        fresh = settle(insert_new(staged, known, TRANSACTIONS.key), facts)
         if watch is not None:
-            judged = spark.read.schema(staged.schema).parquet(facts)
-            events = fraud_events(judged, watch(spark), F.col("report_day"))
-            events.hint("rebalance").write.mode("overwrite").parquet(
-                _folder(root, REPORT, batch_id)
-            )
+            events = fraud_events(fresh, watch(spark), F.col("report_day"))
+            settle(events.hint("rebalance"), _folder(root, REPORT, batch_id))
 
     return (
         lines.writeStream.foreachBatch(load)
