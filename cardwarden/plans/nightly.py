@@ -69,7 +69,7 @@ def run_batch(
             return spark.createDataFrame([], table.schema)
         staged = run.stage(table.name, feed.select(*table.columns))
         fresh = insert_new(staged, past.table(table), table.key)
-        return run.write(table, fresh, rebalance=True)
+        return run.write(table, fresh)
 
     def merge(table: Table, snapshot: DataFrame | None) -> DataFrame:
         if snapshot is None:
@@ -110,11 +110,26 @@ def run_batch(
 
 
 def append_report_once(report: DataFrame, events: DataFrame) -> DataFrame:
-    """Events whose report day the report does not hold yet."""
-    held = report.select("report_dt").distinct()
+    """Events whose report day the report does not hold yet.
+
+    The held days are broadcast: the calendar bounds their number, whatever the size of the
+    report. Shuffling by report day would put each day's events into one task.
+    """
+    held = F.broadcast(report.select("report_dt").distinct())
     return events.join(held, "report_dt", "left_anti").select(*schemas.REPORT.columns)
 
 
+def current_watch(warehouse: Warehouse) -> DataFrame:
+    """The watch list of the newest dimensions, for judging transactions as they stream in."""
+    state = warehouse.state()
+    people, entries = state.table(schemas.CLIENTS), state.table(schemas.BLACKLIST)
+    return fraud.watch_list(
+        state.table(schemas.CARDS),
+        state.table(schemas.ACCOUNTS),
+        fraud.both_rules(people, entries),
+    )
+
+
 def run_drop(
     warehouse: Warehouse,
     folder: str,

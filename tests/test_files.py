@@ -178,11 +178,13 @@ def feeds(spark, numbers, **more):
     rows = [(str(n), DAY, "c1", "PAYMENT", None, "SUCCESS", "T1") for n in numbers]
     tables = bank_tables(spark)
     return Feeds(
-        transactions=spark.createDataFrame(rows, schemas.TRANSACTIONS.schema),
-        clients=staging.stage_clients(tables["clients"]),
-        accounts=staging.stage_accounts(tables["accounts"]),
-        cards=staging.stage_cards(tables["cards"]),
-        **more,
+        **{
+            "transactions": spark.createDataFrame(rows, schemas.TRANSACTIONS.schema),
+            "clients": staging.stage_clients(tables["clients"]),
+            "accounts": staging.stage_accounts(tables["accounts"]),
+            "cards": staging.stage_cards(tables["cards"]),
+            **more,
+        }
     )
 
 
@@ -223,3 +225,15 @@ def test_report_day_is_appended_once(spark):
     later = (*row[:-1], dt.date(2021, 3, 2))
     offered = spark.createDataFrame([row, later, later], schemas.REPORT.schema)
     assert [tuple(r) for r in append_report_once(held, offered).collect()] == [later, later]
+
+
+def test_job_from_the_command_line(spark, tmp_path, drop, capsys):
+    from cardwarden import job
+
+    for name, table in bank_tables(spark).items():
+        table.write.parquet(f"{tmp_path}/bank/{name}")
+    places = ["--drop", drop, "--warehouse", f"{tmp_path}/dwh", "--bank", f"{tmp_path}/bank"]
+    assert job.main(places) == 0
+    assert "2021-03-02, 2021-04-01" in capsys.readouterr().out
+    assert job.main([*places, "--history", "new"]) == 0
+    assert "no new files" in capsys.readouterr().out

@@ -7,8 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardwarden import schemas
+from cardwarden.operators import staging
+from cardwarden.plans.nightly import current_watch, run_batch
+from cardwarden.plans.warehouse import Warehouse
 from cardwarden.streaming.feed import load_feed, loaded, transaction_stream
-from tests.test_files import line, write_lines
+from tests.test_files import bank_tables, feeds, line, write_lines
 
 DAY = dt.date(2021, 3, 1)
 
@@ -82,6 +85,7 @@ def test_replayed_batch_gives_the_same_rows(spark, places):
         if (commits / name).exists():
             os.rename(commits / name, places / f"lost{name}")
     run(spark, places)
+    assert (commits / "1").exists()
     assert ids(spark, places) == before
 
 
@@ -91,3 +95,18 @@ def test_files_one_at_a_time(spark, places):
         os.utime(places / "drop" / f"transactions_0{n}032021.txt", (n, n))
     run(spark, places, files_per_batch=1, report_dt=F.lit(DAY))
     assert ids(spark, places) == [("7", "2021-03-01")]
+
+
+def test_stream_is_judged_by_the_dimensions_of_its_time(spark, places):
+    warehouse = Warehouse(spark, str(places / "warehouse"))
+    drop = places / "drop"
+    for n, valid_to in ((1, dt.date(2022, 1, 1)), (2, dt.date(2021, 2, 1))):
+        day = dt.date(2021, 3, n)
+        account = staging.stage_accounts(bank_tables(spark, valid_to)["accounts"])
+        loaded_day = feeds(spark, [], accounts=account)
+        run_batch(warehouse, loaded_day, day.isoformat(), day, day)
+        write_lines(drop / f"transactions_0{n}032021.txt", line(n, day))
+        run(spark, places, watch=lambda session: current_watch(warehouse))
+    report = loaded(spark, str(places / "out"), schemas.REPORT)
+    found = sorted((r.event_type, r.report_dt.day) for r in report.collect())
+    assert found == [("1", 1), ("1", 2), ("2", 2)]
