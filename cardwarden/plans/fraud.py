@@ -1,11 +1,16 @@
 """Fraud rules as a watch list of dated spans, matched to transactions in one join.
 
 Both rules only compare a transaction's day with days that belong to the client, account or
-passport. So the rules are first turned into spans on the (small) dimension side: a
-transaction of card X on day D is a fraud event once for every copy of every span of X with
-``after_dt < D`` and, if given, ``D <= until_dt``. The transactions then meet one table,
-through one equi join on the card: they are shuffled once at most, with two columns, and
-not at all when the watch list is small enough to broadcast.
+passport. So the rules are first brought down to the cards, on the (small) dimension side.
+A row of the watch list says for one card:
+
+- ``ended_dt``: transactions after this day break the contract rule;
+- ``after_dt``, ``until_dt``, ``copies``: transactions after the one day and, if given, not
+  after the other break the passport rule, and are reported this many times.
+
+The transactions then meet one table, through one equi join on the card: they are shuffled
+once at most, with two columns, and not at all when the watch list is small enough to be
+broadcast.
 """
 
 from __future__ import annotations
@@ -26,24 +31,37 @@ NEVER_EXPIRES = date(2900, 1, 1)
 _COPIES_PER_ROW = 1024
 
 _PERSON = ("client_id", "passport", "fio", "phone")
+WATCH_COLUMNS = (
+    "card_num",
+    "passport",
+    "fio",
+    "phone",
+    "after_dt",
+    "until_dt",
+    "copies",
+    "ended_dt",
+)
 
 
 def contract_rule(clients: DataFrame) -> DataFrame:
-    """Transactions after the account's contract ended; the end is taken from the account."""
+    """Transactions after the end of the account's contract."""
     return _person(clients).select(
         *_PERSON,
-        F.lit(EXPIRED_CONTRACT).alias("event_type"),
         F.lit(None).cast("date").alias("after_dt"),
         F.lit(None).cast("date").alias("until_dt"),
         F.lit(1).alias("copies"),
+        F.lit(True).alias("by_contract"),
     )
 
 
-def passport_rule(clients: DataFrame, blacklist: DataFrame) -> DataFrame:
+def passport_rule(
+    clients: DataFrame, blacklist: DataFrame, by_contract: bool = False
+) -> DataFrame:
     """Transactions after the passport expired, repeated for each earlier blacklist entry.
 
     An event counts once while the passport has no earlier entry, else once per entry. A
-    listed but unexpired passport raises nothing.
+    listed but unexpired passport raises nothing. ``by_contract`` adds the contract rule to
+    the one row that every client has.
     """
     expires = F.coalesce(F.col("valid_to"), F.lit(NEVER_EXPIRES))
     spans = _listing_spans(blacklist)
@@ -52,10 +70,10 @@ def passport_rule(clients: DataFrame, blacklist: DataFrame) -> DataFrame:
         .join(spans, "passport", "left")
         .select(
             *_PERSON,
-            F.lit(EXPIRED_PASSPORT).alias("event_type"),
             F.greatest(expires, F.col("listed_dt")).alias("after_dt"),
             "until_dt",
             F.coalesce("copies", F.lit(1)).alias("copies"),
+            (F.lit(by_contract) & F.col("listed_dt").isNull()).alias("by_contract"),
         )
     )
 
@@ -68,47 +86,38 @@ def passport_rule_once(clients: DataFrame, blacklist: DataFrame) -> DataFrame:
         .join(listed, "passport", "left")
         .select(
             *_PERSON,
-            F.lit(EXPIRED_PASSPORT).alias("event_type"),
             F.least("valid_to", "listed_dt").alias("after_dt"),
             F.lit(None).cast("date").alias("until_dt"),
             F.lit(1).alias("copies"),
+            F.lit(False).alias("by_contract"),
         )
     )
 
 
 def both_rules(clients: DataFrame, blacklist: DataFrame) -> DataFrame:
-    return passport_rule(clients, blacklist).unionByName(contract_rule(clients))
+    return passport_rule(clients, blacklist, by_contract=True)
 
 
 def watch_list(
     cards: DataFrame, accounts: DataFrame, rules: DataFrame, horizon: date | None = None
 ) -> DataFrame:
-    """Spans per card. ``horizon`` is the last transaction day to be judged, if known.
+    """The rules per card. ``horizon`` is the last transaction day to be judged, if known.
 
-    Spans that open on or after the horizon cannot match, so they are dropped before the
-    cards come in: of all cards, only those of an already expired holder are left.
-
-    After three joins the size of the list is anyone's guess. The hint gives it a shuffle
-    of its own, after which AQE knows, and picks the last join by it.
+    Days on or after the horizon cannot be exceeded, so rows with no earlier one are dropped
+    before the cards come in: of all cards, only those of an expired holder are left.
     """
-    after = F.when(F.col("event_type") == EXPIRED_CONTRACT, F.col("valid_to")).otherwise(
-        F.col("after_dt")
-    )
     spans = (
         accounts.select("account_num", "valid_to", F.col("client").alias("client_id"))
         .join(rules, "client_id")
-        .withColumn("after_dt", after)
-        .where(F.col("after_dt").isNotNull())
+        .withColumn("ended_dt", F.when(F.col("by_contract"), F.col("valid_to")))
     )
-    if horizon is not None:
-        spans = spans.where(F.col("after_dt") < F.lit(horizon))
+    if horizon is None:
+        spans = spans.where(F.col("after_dt").isNotNull() | F.col("ended_dt").isNotNull())
+    else:
+        day = F.lit(horizon)
+        spans = spans.where((F.col("after_dt") < day) | (F.col("ended_dt") < day))
     return (
-        cards.select("card_num", "account_num")
-        .join(spans, "account_num")
-        .select(
-            "card_num", "passport", "fio", "phone", "event_type", "after_dt", "until_dt", "copies"
-        )
-        .hint("rebalance")
+        cards.select("card_num", "account_num").join(spans, "account_num").select(*WATCH_COLUMNS)
     )
 
 
@@ -122,11 +131,18 @@ def fraud_events(transactions: DataFrame, watch: DataFrame, report_dt: date | Co
     used = transactions.select(
         "card_num", F.col("trans_date").alias("event_dt"), report_day.alias("report_dt")
     )
-    after, until = F.col("after_dt"), F.col("until_dt")
-    within = (F.col("event_dt") > after) & (until.isNull() | (F.col("event_dt") <= until))
-    matched = used.join(watch, (used["card_num"] == watch["card_num"]) & within)
-    repeated = F.explode(F.array_repeat(F.lit(True), F.col("copies")))
-    return matched.select(*REPORT.columns, repeated.alias("copy")).drop("copy")
+    day, until = F.col("event_dt"), F.col("until_dt")
+    by_passport = (day > F.col("after_dt")) & (until.isNull() | (day <= until))
+    by_contract = day > F.col("ended_dt")
+    matched = used.join(
+        watch, (used["card_num"] == watch["card_num"]) & (by_passport | by_contract)
+    )
+    none = F.array().cast("array<string>")
+    types = F.concat(
+        F.when(by_passport, F.array_repeat(F.lit(EXPIRED_PASSPORT), F.col("copies"))).otherwise(none),
+        F.when(by_contract, F.array(F.lit(EXPIRED_CONTRACT))).otherwise(none),
+    )
+    return matched.withColumn("event_type", F.explode(types)).select(*REPORT.columns)
 
 
 def _person(clients: DataFrame) -> DataFrame:

@@ -102,7 +102,7 @@ def run_batch(
     rules = fraud.both_rules(clients, listed.unionByName(past.table(schemas.BLACKLIST)))
     watch = fraud.watch_list(cards, accounts, rules, horizon)
     # Written first, so that its true size decides whether it is broadcast or shuffled.
-    watch = run.stage("watch_list", watch)
+    watch = run.stage("watch_list", watch.hint("rebalance"))
     events = fraud.fraud_events(judged, watch, report_dt)
     run.write(schemas.REPORT, events, rebalance=True)
     run.publish(last)

@@ -94,10 +94,10 @@ def test_hot_card_is_split(spark, conf):
         F.lit("p").alias("passport"),
         F.lit("n").alias("fio"),
         F.lit("+7").alias("phone"),
-        F.lit("2").alias("event_type"),
         F.lit(dt.date(2021, 1, 1)).alias("after_dt"),
         F.lit(None).cast("date").alias("until_dt"),
         F.lit(1).alias("copies"),
+        F.lit(None).cast("date").alias("ended_dt"),
     )
     watch.write.mode("overwrite").parquet(path := f"{spark.conf.get('spark.checkpoint.dir')}/watch")
     events = fraud.fraud_events(facts, spark.read.parquet(path), dt.date(2021, 3, 3))

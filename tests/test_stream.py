@@ -38,9 +38,9 @@ def ids(spark, places):
 
 def watch(spark):
     return spark.createDataFrame(
-        [("c1", "p", "n", "+7", "2", dt.date(2021, 2, 1), None, 1)],
-        "card_num string, passport string, fio string, phone string, event_type string,"
-        " after_dt date, until_dt date, copies int",
+        [("c1", "p", "n", "+7", None, None, 1, dt.date(2021, 2, 1))],
+        "card_num string, passport string, fio string, phone string, after_dt date,"
+        " until_dt date, copies int, ended_dt date",
     )
 
 
