@@ -33,6 +33,7 @@ def main(arguments: list[str]) -> int:
     parser.add_argument("--slices", type=int, default=32, help="concurrent pulls per bank table")
     parser.add_argument("--history", choices=("all", "new"), default="all")
     parser.add_argument("--refuse-empty-snapshots", action="store_true")
+    parser.add_argument("--keep-rejects", action="store_true", help="load what can be typed")
     given = parser.parse_args(arguments)
     properties = {}
     if given.bank_properties:
@@ -45,6 +46,7 @@ def main(arguments: list[str]) -> int:
         bank_tables(spark, given.bank, properties, given.slices),
         given.history,
         not given.refuse_empty_snapshots,
+        given.keep_rejects,
     )
     print("days run:", ", ".join(day.isoformat() for day in ran) or "none, no new files")
     return 0

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+KeyRange = tuple[str, str] | None
+
 
 def insert_new(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Batch rows whose key the target does not hold.
@@ -43,3 +45,17 @@ def insert_new_in_order(batches: DataFrame, key: str, order: str) -> DataFrame:
     first = keyed.groupBy(key).agg(F.min(order).alias(order))
     kept = keyed.join(first, [key, order], "left_semi").select(*batches.columns)
     return kept.unionByName(unkeyed)
+
+
+def key_range(batch: DataFrame, key: str) -> KeyRange:
+    """Lowest and highest key of a written batch, None if it has no key. Runs a job."""
+    low, high = batch.agg(F.min(key), F.max(key)).first()
+    return None if low is None else (low, high)
+
+
+def in_range(target: DataFrame, key: str, keys: KeyRange) -> DataFrame:
+    """The only target rows a batch with this key range can match.
+
+    Two comparisons with constants reach the Parquet scan, where a join's keys do not.
+    """
+    return target.where(F.lit(False) if keys is None else F.col(key).between(*keys))

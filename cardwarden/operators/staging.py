@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cardwarden import schemas
 from cardwarden.functions.parsing import parse_amount, parse_day, parse_listed_day, unread
 from cardwarden.schemas import Table
+from cardwarden.sources.delimited import MALFORMED
 
 _PARSED = {"trans_date": parse_day, "amt": parse_amount, "entry_dt": parse_listed_day}
 
@@ -26,10 +27,19 @@ def conform(df: DataFrame, table: Table, enforce_lengths: bool = True) -> DataFr
 
 
 def stage_transactions(
-    raw: DataFrame, *carried: Column, enforce_lengths: bool = True
+    raw: DataFrame,
+    *carried: Column,
+    enforce_lengths: bool = True,
+    trim_cards: bool = False,
 ) -> DataFrame:
-    """Typed transactions, followed by any further columns asked for."""
+    """Typed transactions, followed by any further columns asked for.
+
+    Card numbers are taken as they come, so a padded one finds no card. ``trim_cards``
+    makes it find its card.
+    """
     typed = _parsed(schemas.TRANSACTIONS)
+    if trim_cards:
+        typed["card_num"] = F.trim(typed["card_num"])
     return raw.select(*_limited(typed, schemas.TRANSACTIONS, enforce_lengths), *carried)
 
 
@@ -63,6 +73,8 @@ def stage_cards(pulled: DataFrame, enforce_lengths: bool = True) -> DataFrame:
 def problems(raw: DataFrame, table: Table) -> Column:
     """Names of the columns strict staging would fail on, comma-separated; empty if none."""
     found = []
+    if MALFORMED in raw.columns:
+        found.append(F.when(F.col(MALFORMED).isNotNull(), F.lit(MALFORMED)))
     for name in (n for n in table.columns if n in raw.columns):
         if name in _PARSED:
             found.append(F.when(unread(F.col(name), _PARSED[name](F.col(name))), F.lit(name)))

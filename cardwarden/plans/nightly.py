@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cardwarden import schemas
 from cardwarden.operators import staging
-from cardwarden.operators.incremental import insert_new
+from cardwarden.operators.incremental import insert_new, key_range
 from cardwarden.operators.scd1 import scd1_merge
 from cardwarden.plans import fraud
 from cardwarden.plans.warehouse import Warehouse
@@ -35,6 +35,7 @@ class Feeds:
     clients: DataFrame | None = None
     accounts: DataFrame | None = None
     cards: DataFrame | None = None
+    rejects: DataFrame | None = None
 
 
 class EmptySnapshot(ValueError):
@@ -68,8 +69,8 @@ def run_batch(
         if feed is None:
             return spark.createDataFrame([], table.schema)
         staged = run.stage(table.name, feed.select(*table.columns))
-        fresh = insert_new(staged, past.table(table), table.key)
-        return run.write(table, fresh)
+        known = past.fact_between(table, key_range(staged, table.key))
+        return run.write_fact(table, insert_new(staged, known, table.key))
 
     def merge(table: Table, snapshot: DataFrame | None) -> DataFrame:
         if snapshot is None:
@@ -94,6 +95,9 @@ def run_batch(
         started = [pool.submit(load, table, feed) for load, table, feed in loads]
         judged, listed, _, clients, accounts, cards = (task.result() for task in started)
 
+    if feeds.rejects is not None:
+        run.write(schemas.REJECTS, feeds.rejects, rebalance=True)
+
     last = judged.agg(F.max("trans_date")).first()[0]
     horizon = last
     if history == "all":
@@ -136,11 +140,13 @@ def run_drop(
     bank: dict[str, DataFrame],
     history: str = "all",
     allow_empty_snapshot: bool = True,
+    keep_rejects: bool = False,
 ) -> list[date]:
     """Run every day of a drop folder that has a transaction file and was not run before.
 
     Days are taken in order of the date in the file names. ``bank`` holds the pulled
-    client, account and card tables.
+    client, account and card tables. A transaction line that cannot be typed fails the run;
+    with ``keep_rejects`` it goes into the rejects table and the other lines are loaded.
     """
     spark = warehouse.spark
     by_day: dict[date, dict[str, list[str]]] = {}
@@ -152,7 +158,7 @@ def run_drop(
     for day in sorted(day for day in by_day if day.isoformat() not in done):
         # The pulled tables are the bank's state of now: merging them again for the next
         # waiting day would change nothing.
-        feeds = _feeds(spark, by_day[day], {} if ran else bank, day)
+        feeds = _feeds(spark, by_day[day], {} if ran else bank, day, keep_rejects)
         if run_batch(
             warehouse, feeds, day.isoformat(), day, day, history, allow_empty_snapshot
         ):
@@ -161,11 +167,19 @@ def run_drop(
 
 
 def _feeds(
-    spark: SparkSession, files: dict[str, list[str]], bank: dict[str, DataFrame], day: date
+    spark: SparkSession,
+    files: dict[str, list[str]],
+    bank: dict[str, DataFrame],
+    day: date,
+    keep_rejects: bool,
 ) -> Feeds:
     feeds: dict[str, DataFrame | None] = {"transactions": None}
     if "transactions" in files:
-        lines = read_transactions(spark, files["transactions"])
+        lines = read_transactions(spark, files["transactions"], keep_rejects)
+        if keep_rejects:
+            refused = staging.rejects(lines, schemas.TRANSACTIONS)
+            feeds["rejects"] = refused.select(*schemas.REJECTS.columns)
+            lines = staging.accepted(lines, schemas.TRANSACTIONS)
         feeds["transactions"] = staging.stage_transactions(lines)
     if "passport_blacklist" in files:
         entries = read_workbooks(spark, files["passport_blacklist"], *schemas.BLACKLIST_SHEET)

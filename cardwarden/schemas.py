@@ -109,9 +109,6 @@ REPORT = _table(
     ],
 )
 
-FACTS = (TRANSACTIONS, BLACKLIST)
-DIMENSIONS = (TERMINALS, CLIENTS, ACCOUNTS, CARDS)
-
 # Column order of the transaction file, whose header names are ignored.
 TRANSACTION_FILE = (
     "trans_id",
@@ -122,6 +119,16 @@ TRANSACTION_FILE = (
     "oper_result",
     "terminal",
 )
+# Raw lines refused by a run that keeps rejects, with the columns at fault.
+REJECTS = _table(
+    "rejected_transactions",
+    [(column, T.StringType()) for column in TRANSACTION_FILE]
+    + [(column, T.StringType()) for column in ("malformed_line", "source_file", "problems")],
+)
+
+FACTS = (TRANSACTIONS, BLACKLIST)
+DIMENSIONS = (TERMINALS, CLIENTS, ACCOUNTS, CARDS)
+
 # Workbook sheets and their columns in order.
 BLACKLIST_SHEET = ("blacklist", ("entry_dt", "passport_num"))
 TERMINALS_SHEET = (

@@ -11,6 +11,7 @@ from cardwarden.schemas import TRANSACTION_FILE
 
 # Everything is read as text: inferring types would strip leading zeros off identifiers.
 RAW_SCHEMA = ", ".join(f"{column} string" for column in TRANSACTION_FILE)
+# Column that holds a line with the wrong number of fields.
 MALFORMED = "malformed_line"
 FILE_OPTIONS = {"sep": ";", "header": "true", "enforceSchema": "true"}
 

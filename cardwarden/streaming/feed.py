@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cardwarden.functions.parsing import file_day
-from cardwarden.operators.incremental import insert_new
+from cardwarden.operators.incremental import in_range, insert_new, key_range
 from cardwarden.operators.staging import stage_transactions
 from cardwarden.plans.fraud import fraud_events
 from cardwarden.plans.warehouse import settle
@@ -74,8 +74,9 @@ def load_feed(
         # Written first: the lines are read once, and the size of the batch is known, so
         # that a small one is broadcast instead of shuffling all facts.
         staged = settle(staged, f"{root}/_staging/{TRANSACTIONS.name}")
-        facts = _folder(root, TRANSACTIONS, batch_id)
-        fresh = settle(insert_new(staged, known, TRANSACTIONS.key), facts)
+        key = TRANSACTIONS.key
+        known = in_range(known, key, key_range(staged, key))
+        fresh = settle(insert_new(staged, known, key), _folder(root, TRANSACTIONS, batch_id))
         if watch is not None:
             events = fraud_events(fresh, watch(spark), F.col("report_day"))
             settle(events.hint("rebalance"), _folder(root, REPORT, batch_id))

@@ -237,3 +237,38 @@ def test_job_from_the_command_line(spark, tmp_path, drop, capsys):
     assert "2021-03-02, 2021-04-01" in capsys.readouterr().out
     assert job.main([*places, "--history", "new"]) == 0
     assert "no new files" in capsys.readouterr().out
+
+
+def test_rejects_are_kept_beside_the_loaded_lines(spark, tmp_path):
+    (folder := tmp_path / "drop").mkdir()
+    bad = line(2, "2021-03-01").replace("1,50", "x")
+    write_lines(folder / "transactions_01032021.txt", line(1, "2021-03-01"), bad, "3;2021-03-01")
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    with pytest.raises(Exception, match="MALFORMED|unreadable amt"):
+        run_drop(warehouse, str(folder), bank_tables(spark))
+    assert run_drop(warehouse, str(folder), bank_tables(spark), keep_rejects=True) == [DAY]
+    assert [r.trans_id for r in warehouse.table(schemas.TRANSACTIONS).collect()] == ["1"]
+    refused = warehouse.table(schemas.REJECTS).collect()
+    assert sorted((r.trans_id, r.problems) for r in refused) == [("2", "amt"), ("3", MALFORMED)]
+
+
+def test_runs_out_of_the_key_range_are_not_opened(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    for n, numbers in enumerate(([10, 11], [20, 21], [None], [15, 30]), start=1):
+        day = dt.date(2021, 3, n)
+        rows = [(n and str(n), day, "c1", "", None, "", "") for n in numbers]
+        batch = spark.createDataFrame(rows, schemas.TRANSACTIONS.schema)
+        run_batch(warehouse, Feeds(transactions=batch), day.isoformat(), day, day)
+    state = warehouse.state()
+
+    def between(*keys):
+        rows = state.fact_between(schemas.TRANSACTIONS, keys)
+        runs = {part for f in rows.inputFiles() for part in f.split("/") if "run_id" in part}
+        return sorted(r.trans_id for r in rows.collect()), len(runs)
+
+    assert between("11", "12") == (["11"], 1)
+    assert between("15", "20") == (["15", "20"], 2)
+    assert between("10", "30") == (["10", "11", "15", "20", "21", "30"], 3)
+    assert between("4", "5") == ([], 0)
+    assert state.fact_between(schemas.TRANSACTIONS, None).count() == 0
+    assert state.table(schemas.TRANSACTIONS).count() == 7

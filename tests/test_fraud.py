@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from cardwarden import schemas
+from cardwarden.operators import quality
 from cardwarden.plans import fraud
 
 REPORT = dt.date(2021, 3, 3)
@@ -90,7 +91,10 @@ def test_longest_name_is_not_cut(spark):
     part = "n" * 50
     tx, cards, accounts, clients, _ = world(spark, [6], 5, None, [], part, (part, part))
     watch = fraud.watch_list(cards, accounts, fraud.contract_rule(clients))
-    assert len(fraud.fraud_events(tx, watch, REPORT).first().fio) == 152
+    report = fraud.fraud_events(tx, watch, REPORT)
+    assert len(report.first().fio) == 152
+    flagged = quality.overlength(report, schemas.REPORT).where("n_over > 0").collect()
+    assert [(r.column_name, r.longest, r.n_over) for r in flagged] == [("fio", 152, 1)]
 
 
 FEW = settings(

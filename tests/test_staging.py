@@ -119,7 +119,14 @@ def test_padded_card_numbers_and_renamed_account(spark):
     assert (row.card_num, row.account_num, row.create_dt) == ("42", "a1", dt.date(2020, 1, 1))
 
 
+def test_padded_card_numbers_in_transactions(spark):
+    raw = spark.createDataFrame([(*GOOD[:3], "c1  ", *GOOD[4:])], RAW)
+    assert staging.stage_transactions(raw).first().card_num == "c1  "
+    assert staging.stage_transactions(raw, trim_cards=True).first().card_num == "c1"
+
+
 def test_terminals_are_stamped_with_the_run(spark):
-    raw = spark.createDataFrame([("t", "ATM", "x", "y")], "terminal_id string, terminal_type string, terminal_city string, terminal_address string")
+    columns = ", ".join(f"{c} string" for c in schemas.TERMINALS_SHEET[1])
+    raw = spark.createDataFrame([("t", "ATM", "x", "y")], columns)
     row = staging.stage_terminals(raw, dt.date(2021, 3, 1)).first()
     assert (row.create_dt, row.update_dt) == (dt.date(2021, 3, 1), None)
