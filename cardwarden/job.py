@@ -18,10 +18,15 @@ from cardwarden.session import tune
 from cardwarden.sources.bank import BANK_TABLES, read_bank_table
 
 
-def bank_tables(spark: SparkSession, bank: str, properties: dict, slices: int) -> dict[str, DataFrame]:
-    if bank.startswith("jdbc:"):
-        return {name: read_bank_table(spark, name, bank, properties, slices) for name in BANK_TABLES}
-    return {name: spark.read.parquet(f"{bank}/{name}") for name in BANK_TABLES}
+def bank_tables(
+    spark: SparkSession, bank: str, properties: dict, slices: int
+) -> dict[str, DataFrame]:
+    def table(name: str) -> DataFrame:
+        if bank.startswith("jdbc:"):
+            return read_bank_table(spark, name, bank, properties, slices)
+        return spark.read.parquet(f"{bank}/{name}")
+
+    return {name: table(name) for name in BANK_TABLES}
 
 
 def main(arguments: list[str]) -> int:

@@ -138,9 +138,10 @@ def fraud_events(transactions: DataFrame, watch: DataFrame, report_dt: date | Co
         watch, (used["card_num"] == watch["card_num"]) & (by_passport | by_contract)
     )
     none = F.array().cast("array<string>")
+    passport = F.array_repeat(F.lit(EXPIRED_PASSPORT), F.col("copies"))
+    contract = F.array(F.lit(EXPIRED_CONTRACT))
     types = F.concat(
-        F.when(by_passport, F.array_repeat(F.lit(EXPIRED_PASSPORT), F.col("copies"))).otherwise(none),
-        F.when(by_contract, F.array(F.lit(EXPIRED_CONTRACT))).otherwise(none),
+        F.when(by_passport, passport).otherwise(none), F.when(by_contract, contract).otherwise(none)
     )
     return matched.withColumn("event_type", F.explode(types)).select(*REPORT.columns)
 
@@ -170,18 +171,18 @@ def _listing_spans(blacklist: DataFrame) -> DataFrame:
     """
     days = _entries(blacklist).groupBy("passport", "entry_dt").agg(F.count("*").alias("entries"))
     before = days.groupBy("passport").agg(F.min("entry_dt").alias("until_dt"))
-    start = F.explode(
-        F.sequence(F.lit(0).cast("long"), F.col("entries") - 1, F.lit(_COPIES_PER_ROW).cast("long"))
-    )
+    zero, block = F.lit(0).cast("long"), F.lit(_COPIES_PER_ROW).cast("long")
+    start = F.explode(F.sequence(zero, F.col("entries") - 1, block))
     blocks = days.select("passport", "entry_dt", "entries", start.alias("start"))
-    copies = F.least(F.col("entries") - F.col("start"), F.lit(_COPIES_PER_ROW)).cast("int")
-    return before.select(
-        "passport", F.lit(None).cast("date").alias("listed_dt"), "until_dt", F.lit(1).alias("copies")
-    ).unionByName(
-        blocks.select(
-            "passport",
-            F.col("entry_dt").alias("listed_dt"),
-            F.lit(None).cast("date").alias("until_dt"),
-            copies.alias("copies"),
-        )
+    copies = F.least(F.col("entries") - F.col("start"), block).cast("int")
+    no_day = F.lit(None).cast("date")
+    until_listed = before.select(
+        "passport", no_day.alias("listed_dt"), "until_dt", F.lit(1).alias("copies")
+    )
+    since_listed = blocks.select(
+        "passport",
+        F.col("entry_dt").alias("listed_dt"),
+        no_day.alias("until_dt"),
+        copies.alias("copies"),
     )
+    return until_listed.unionByName(since_listed)

@@ -94,15 +94,11 @@ def loaded(spark: SparkSession, root: str, table: Table) -> DataFrame:
     return _earlier(spark, root, table, None)
 
 
-def _earlier(
-    spark: SparkSession, root: str, table: Table, batch_id: int | None
-) -> DataFrame:
+def _earlier(spark: SparkSession, root: str, table: Table, batch_id: int | None) -> DataFrame:
     """Rows of the micro-batches before the given one."""
+    schema = T.StructType([*table.schema, T.StructField("batch_id", T.LongType())])
     try:
-        rows = (
-            spark.read.schema(T.StructType([*table.schema, T.StructField("batch_id", T.LongType())]))
-            .parquet(f"{root}/{table.name}")
-        )
+        rows = spark.read.schema(schema).parquet(f"{root}/{table.name}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

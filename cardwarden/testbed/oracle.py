@@ -77,7 +77,8 @@ _VIEWS = {
                CASE WHEN n % 3 = 0 THEN passport_valid_to + 30 ELSE passport_valid_to
                END AS passport_valid_to,
                phone, DATE '2021-03-01' AS create_dt, update_dt
-        FROM (SELECT *, CAST(substr(client_id, 2) AS bigint) AS n FROM clients) WHERE n % 13 <> 0""",
+        FROM (SELECT *, CAST(substr(client_id, 2) AS bigint) AS n FROM clients)
+        WHERE n % 13 <> 0""",
     "accounts_old": "SELECT * FROM accounts WHERE CAST(account_num AS bigint) % 11 <> 0",
     "accounts_new": """
         SELECT account_num,
@@ -310,6 +311,10 @@ ORACLES: dict[str, str] = {
                CAST(strptime(file_name[-12:-5], '%d%m%Y') AS date) AS report_dt
         FROM files"""
     ),
+    "compact_days": """
+        SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS compact,
+               CAST(o_orderdate AS date) AS order_dt
+        FROM orders""",
     "new_transactions": _with(
         """SELECT b.* FROM tx b LEFT JOIN (SELECT trans_id FROM loads WHERE load = 1) held
         ON held.trans_id = b.trans_id WHERE held.trans_id IS NULL"""

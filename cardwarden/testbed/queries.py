@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden import schemas
+from cardwarden.functions.parsing import parse_compact_day
 from cardwarden.operators import quality, staging
 from cardwarden.operators.incremental import insert_new, insert_new_in_order
 from cardwarden.operators.scd1 import scd1_merge, snapshot_diff
@@ -128,6 +129,13 @@ def report_date_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def compact_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order days through their compact text form."""
+    compact = F.date_format("o_orderdate", "yyyyMMdd").alias("compact")
+    texts = views.load(spark, sf_dir, "orders").select("o_orderkey", compact)
+    return texts.withColumn("order_dt", parse_compact_day(F.col("compact")))
+
+
 # Incremental load and dimension merge.
 
 
@@ -288,8 +296,9 @@ def dq_overlength(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _damaged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions, some with an unreadable day or amount or an over-long result."""
     lines = views.load(spark, sf_dir, "lineitem")
+    number = F.concat(views.text("l_orderkey"), F.lit("-"), views.text("l_linenumber"))
     return lines.select(
-        F.concat(views.text("l_orderkey"), F.lit("-"), views.text("l_linenumber")).alias("trans_id"),
+        number.alias("trans_id"),
         F.when(F.col("l_tax") > 0.075, "someday")
         .otherwise(F.date_format("l_shipdate", "yyyy-M-d"))
         .alias("trans_date"),
@@ -356,6 +365,7 @@ QUERIES: dict[str, Query] = {
     "workbook_terminals": workbook_terminals,
     "route_files": route_files,
     "report_date_from_file": report_date_from_file,
+    "compact_days": compact_days,
     "new_transactions": new_transactions,
     "new_blacklist": new_blacklist,
     "transactions_by_load": transactions_by_load,

@@ -129,10 +129,11 @@ def after(whole: DataFrame, key: str, changed: str, emptied: str) -> DataFrame:
     """Its next snapshot: some keys gone, one attribute changed, one emptied."""
     moved = dict(whole.dtypes)[changed] == "date"
     value = F.date_add(changed, 30) if moved else F.concat(changed, F.lit("x"))
+    third, not_seventh = (F.expr(f"{_number(key)} % {test}") for test in ("3 = 0", "7 <> 0"))
     return (
         whole.where(f"{_number(key)} % 13 <> 0")
-        .withColumn(changed, F.when(F.expr(f"{_number(key)} % 3 = 0"), value).otherwise(F.col(changed)))
-        .withColumn(emptied, F.when(F.expr(f"{_number(key)} % 7 <> 0"), F.col(emptied)))
+        .withColumn(changed, F.when(third, value).otherwise(F.col(changed)))
+        .withColumn(emptied, F.when(not_seventh, F.col(emptied)))
         .withColumn("create_dt", F.lit(RUN_DT))
     )
 

@@ -122,7 +122,8 @@ def bank_tables(spark, valid_to=dt.date(2021, 2, 1)):
             schemas.CLIENTS.schema,
         ),
         "accounts": spark.createDataFrame(
-            [("a1", valid_to, "k1", DAY, None)], f"account string, valid_to date, client string{stamps}"
+            [("a1", valid_to, "k1", DAY, None)],
+            f"account string, valid_to date, client string{stamps}",
         ),
         "cards": spark.createDataFrame(
             [("c1   ", "a1", DAY, None)], f"card_num string, account string{stamps}"
@@ -196,7 +197,8 @@ def test_repeated_run_replaces_its_rows(spark, tmp_path):
     ids = [r.trans_id for r in warehouse.table(schemas.TRANSACTIONS).collect()]
     assert sorted(ids) == ["1", "2", "3", "4"]
     run_batch(warehouse, feeds(spark, [1, 2, 3]), "2021-03-01", DAY, DAY)
-    assert sorted(r.trans_id for r in warehouse.table(schemas.TRANSACTIONS).collect()) == sorted(ids)
+    again = [r.trans_id for r in warehouse.table(schemas.TRANSACTIONS).collect()]
+    assert sorted(again) == sorted(ids)
     assert warehouse.table(schemas.CLIENTS).count() == 1
 
 

@@ -39,7 +39,8 @@ def test_insert_new(spark, batch, target):
 
 
 def test_insert_new_keeps_duplicates_and_unkeyed_rows(spark):
-    batch = spark.createDataFrame([("x", 1), ("x", 2), (None, 3), (None, 4), ("y", 5)], "k string, n int")
+    rows = [("x", 1), ("x", 2), (None, 3), (None, 4), ("y", 5)]
+    batch = spark.createDataFrame(rows, "k string, n int")
     target = spark.createDataFrame([("y",), (None,)], "k string")
     first = insert_new(batch, target, "k")
     assert sorted(r.n for r in first.collect()) == [1, 2, 3, 4]
@@ -96,7 +97,8 @@ def test_merge(spark, dim, snapshot):
     assert bag(merged) == merge_by_hand(old, new)
     again = scd1_merge(merged, new_df, schemas.ACCOUNTS, dt.date(2021, 3, 2))
     assert bag(again) == bag(merged)
-    changes = dict(snapshot_diff(dim_df, new_df, schemas.ACCOUNTS).groupBy("change").count().collect())
+    diff = snapshot_diff(dim_df, new_df, schemas.ACCOUNTS)
+    changes = dict(diff.groupBy("change").count().collect())
     assert changes.get("I", 0) == len(snapshot.keys() - dim.keys())
     assert changes.get("D", 0) == len(dim.keys() - snapshot.keys())
     assert changes.get("U", 0) == sum(dim[k] != snapshot[k] for k in dim.keys() & snapshot.keys())

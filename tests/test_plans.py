@@ -13,6 +13,7 @@ from cardwarden.plans import fraud
 from cardwarden.testbed import views
 
 SMALL = "/root/testdata/sf0.001"
+_VIEWS = (views.transactions, views.cards, views.accounts, views.clients, views.blacklist)
 # Thresholds lowered to the size of the test tables.
 TINY_SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -39,7 +40,7 @@ def tables(spark, tmp_path):
 
     return {
         view.__name__: at_rest(view.__name__, view(spark, SMALL))
-        for view in (views.transactions, views.cards, views.accounts, views.clients, views.blacklist)
+        for view in _VIEWS
     }
 
 

@@ -64,7 +64,8 @@ def test_rounds_on_one_checkpoint(spark, places):
 
 def test_history_counts_as_known(spark, places):
     row = ("1", DAY, "c", "", None, "", "")
-    write_lines(places / "drop" / "transactions_01032021.txt", line(1, "2021-03-01"), line(2, "2021-03-01"))
+    lines = [line(n, "2021-03-01") for n in (1, 2)]
+    write_lines(places / "drop" / "transactions_01032021.txt", *lines)
     run(
         spark,
         places,
