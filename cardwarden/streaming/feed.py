@@ -79,7 +79,7 @@ def load_feed(
         fresh = settle(insert_new(staged, known, key), _folder(root, TRANSACTIONS, batch_id))
         if watch is not None:
             events = fraud_events(fresh, watch(spark), F.col("report_day"))
-            settle(events.hint("rebalance"), _folder(root, REPORT, batch_id))
+            settle(events.hint("rebalance"), _folder(root, REPORT, batch_id), REPORT)
 
     return (
         lines.writeStream.foreachBatch(load)

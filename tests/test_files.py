@@ -165,6 +165,9 @@ def test_nightly_runs_over_a_drop_folder(spark, tmp_path, drop):
     counts = {(r[0], r[1]): r[2] for r in report.collect()}
     assert counts == {(first, "1"): 1, (first, "2"): 1, (second, "1"): 2, (second, "2"): 2}
 
+    one_day = warehouse.table(schemas.REPORT).where(f"report_dt = date '{first}'")
+    assert "PartitionFilters: [isnotnull(report_dt" in one_day._jdf.queryExecution().toString()
+
     assert run_drop(warehouse, drop, bank_tables(spark)) == []
 
 
