@@ -1,4 +1,4 @@
-"""The nightly job: spark-submit cardwarden/job.py --drop DIR --warehouse DIR --bank ...
+"""The nightly job: spark-submit run_nightly.py --drop DIR --warehouse DIR --bank ...
 
 ``--bank`` is a JDBC url, or a folder with clients, accounts and cards as Parquet. User,
 password and driver of a JDBC pull come from a JSON file, not from the command line.
@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,7 +54,3 @@ def main(arguments: list[str]) -> int:
     )
     print("days run:", ", ".join(day.isoformat() for day in ran) or "none, no new files")
     return 0
-
-
-if __name__ == "__main__":
-    sys.exit(main(sys.argv[1:]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -20,12 +21,30 @@ RUNTIME = {
 }
 
 
+_shipped: set[str] = set()
+
+
 def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a live session and see that its executors know the package."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        context.addPyFile(package_archive())
+        _shipped.add(context.applicationId)
     return spark
 
 
+def package_archive() -> str:
+    """The package as a zip file, for Spark to hand to the Python workers.
+
+    Only the workbook reader runs in them. The file stays with the driver, which serves it.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(), "cardwarden")
+    return shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+
+
 def local_session(cores: int | str = "*", name: str = "cardwarden", **conf: str) -> SparkSession:
     """A single-machine session for tests and the bench; clusters bring their own."""
     partitions = str(os.cpu_count() if cores == "*" else cores)
