@@ -98,18 +98,17 @@ def run_batch(
     if feeds.rejects is not None:
         run.write(schemas.REJECTS, feeds.rejects, rebalance=True)
 
-    last = judged.agg(F.max("trans_date")).first()[0]
-    horizon = last
+    horizon = run.last_trans_date
     if history == "all":
         judged = judged.unionByName(past.table(schemas.TRANSACTIONS))
-        horizon = max((day for day in (last, past.last_trans_date()) if day), default=None)
+        horizon = max(filter(None, (horizon, past.last_trans_date())), default=None)
     rules = fraud.both_rules(clients, listed.unionByName(past.table(schemas.BLACKLIST)))
     watch = fraud.watch_list(cards, accounts, rules, horizon)
     # Written first, so that its true size decides whether it is broadcast or shuffled.
     watch = run.stage("watch_list", watch.hint("rebalance"))
     events = fraud.fraud_events(judged, watch, report_dt)
     run.write(schemas.REPORT, events, rebalance=True)
-    run.publish(last)
+    run.publish()
     return True
 
 
