@@ -19,7 +19,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for name in os.listdir(sf_dir):
         table = name.removesuffix(".parquet")
-        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{name}'")
+        files = f"{sf_dir}/{name}" + ("/*.parquet" if os.path.isdir(f"{sf_dir}/{name}") else "")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{files}'")
     return connection
 
 
@@ -43,7 +44,7 @@ def compare(spark, connection, sf_dir: str, name: str) -> str:
 
 def main(arguments: list[str]) -> int:
     sf_dir = arguments[0] if arguments else "/root/testdata/sf0.01"
-    names = arguments[1:] or list(entry.queries())
+    names = arguments[1:] or list(entry.oracle_sql())
     spark, connection = local_session(8), duck(sf_dir)
     failed = 0
     for name in names:
