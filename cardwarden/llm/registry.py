@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cardwarden.llm import quality_ledger
+from cardwarden.llm import quality_ledger, simhash
 
 QUERIES = {
+    "op8_simhash": simhash.op8_simhash,
     "op10_quality_rules": quality_ledger.op10_quality_rules,
 }
 
