@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from cardwarden.llm import quality_ledger, simhash
+from cardwarden.llm import language_id, mixing, quality_ledger, simhash
 
 QUERIES = {
+    "op2_language_id": language_id.op2_language_id,
+    "op3_mixing": mixing.op3_mixing,
     "op8_simhash": simhash.op8_simhash,
     "op10_quality_rules": quality_ledger.op10_quality_rules,
 }
