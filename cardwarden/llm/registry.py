@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from cardwarden.llm import language_id, mixing, quality_ledger, simhash
+from cardwarden.llm import language_id, mixing, packing, quality_ledger, simhash, token_store
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
     "op3_mixing": mixing.op3_mixing,
+    "op4_packing": packing.op4_packing,
+    "op7_token_store": token_store.op7_token_store,
     "op8_simhash": simhash.op8_simhash,
     "op10_quality_rules": quality_ledger.op10_quality_rules,
 }
