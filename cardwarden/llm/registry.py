@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-from cardwarden.llm import language_id, mixing, packing, quality_ledger, simhash, token_store
+from cardwarden.llm import (
+    language_id,
+    mixing,
+    packing,
+    quality_ledger,
+    simhash,
+    suffix_dedup,
+    token_store,
+    top_k,
+    url_filter,
+)
 
 QUERIES = {
+    "op1_url_filter": url_filter.op1_url_filter,
     "op2_language_id": language_id.op2_language_id,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op7_token_store": token_store.op7_token_store,
     "op8_simhash": simhash.op8_simhash,
+    "op9_top_k": top_k.op9_top_k,
     "op10_quality_rules": quality_ledger.op10_quality_rules,
 }
 
 ORACLES = {
+    "op1_url_filter": url_filter.OP1_SQL,
     "op10_quality_rules": quality_ledger.OP10_SQL,
 }

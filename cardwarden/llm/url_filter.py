@@ -91,7 +91,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     hosts = table(spark, sf_dir, "pages").select(host_of(F.col("url")).alias("host")).distinct()
     names = hosts.select(F.explode(suffixes(F.col("host"))).alias("domain")).distinct()
-    mark = F.crc32("domain")
+    mark = F.conv(F.substring(F.md5(F.col("domain").cast("binary")), 1, 8), 16, 10).cast("long")
     first = F.date_add(F.lit("2024-01-01").cast("date"), (mark % 300).cast("int"))
     rows = names.where(F.col("domain").contains(".") & (mark % 5 == 0)).select(
         "domain",
@@ -108,3 +108,39 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(page_captures(spark, sf_dir), listings(spark, sf_dir)).select(
         "page_id", "fetch_day", "host", "listed_domain", "blocked"
     )
+
+
+
+OP1_SQL = r"""
+WITH captured AS (
+    SELECT page_id, CAST(DATE '2024-01-01' + CAST(page_id % 365 AS INTEGER) AS DATE) AS fetch_day,
+           nullif(regexp_replace(lower(regexp_extract(url,
+               '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '\.$', ''), '') AS host
+    FROM pages
+), parts AS (
+    SELECT host, string_split(host, '.') AS labels FROM captured WHERE host IS NOT NULL GROUP BY host
+), places AS (
+    SELECT host, labels, unnest(range(1, len(labels) + 1)) AS k FROM parts
+), suffix AS (
+    SELECT host, array_to_string(labels[k:], '.') AS domain FROM places
+), marked AS (
+    SELECT DISTINCT domain, CAST('0x' || substr(md5(domain), 1, 8) AS BIGINT) AS mark
+    FROM suffix WHERE contains(domain, '.')
+), listed AS (
+    SELECT domain, mark, CAST(DATE '2024-01-01' + CAST(mark % 300 AS INTEGER) AS DATE) AS day
+    FROM marked WHERE mark % 5 = 0
+), spans AS (
+    SELECT domain, day AS valid_from, CASE WHEN mark % 2 = 0 THEN CAST(day + 90 AS DATE) END AS valid_to
+    FROM listed
+    UNION ALL
+    SELECT domain, CAST(day + 150 AS DATE), NULL FROM listed WHERE mark % 4 = 0
+), verdicts AS (
+    SELECT page_id, max_by(s.domain, length(s.domain)) AS listed_domain
+    FROM captured c JOIN suffix s ON s.host = c.host
+    JOIN spans v ON v.domain = s.domain AND c.fetch_day >= v.valid_from
+         AND (v.valid_to IS NULL OR c.fetch_day < v.valid_to)
+    GROUP BY page_id
+)
+SELECT page_id, fetch_day, host, listed_domain, listed_domain IS NOT NULL AS blocked
+FROM captured LEFT JOIN verdicts USING (page_id)
+"""
