@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cardwarden.llm import (
     language_id,
+    masked_lm,
     mixing,
     packing,
     quality_ledger,
@@ -20,6 +21,7 @@ QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
+    "op6_masked_lm": masked_lm.op6_masked_lm,
     "op7_token_store": token_store.op7_token_store,
     "op8_simhash": simhash.op8_simhash,
     "op9_top_k": top_k.op9_top_k,
