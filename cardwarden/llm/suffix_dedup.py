@@ -2,7 +2,7 @@
 
 A passage of ``MIN_WORDS`` words or more that occurs before (in a smaller id, or earlier in
 the same text) is cut out. Of all suffixes only those at minimisers are retained: positions
-whose 8 words hash lowest within a passage's length, so equal passages retain equal
+whose 8 words hash lowest (all of them, if equal) within a passage's length, so equal passages retain equal
 positions. Sorted by those words, a suffix without an equal neighbour is let go. The others
 are extended to both sides at once: of every passage of ``MIN_WORDS`` words around such a
 minimiser, the hash is compared, and equal passages that touch or overlap form one span.
@@ -63,16 +63,24 @@ def _joined(a: np.ndarray, b: np.ndarray, apart: int, factor: int) -> np.ndarray
     return x ^ (x >> np.uint64(32))
 
 
+def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
+    """``pick`` (minimum or maximum) of every ``width`` values in a row, by doubling."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        values = pick(values[:-step], values[step:])
+        have += step
+    return values
+
+
 def minimisers(hashes: np.ndarray, min_words: int = MIN_WORDS, gram: int = GRAM):
-    """Hash of each gram, and for each passage the position of its lowest gram (leftmost)."""
+    """Hash of each gram, the lowest one of each passage, and where grams are a lowest one."""
     grams = _rolled(hashes, gram, 0x9E3779B97F4A7C15)
     width = min_words - gram + 1
-    lowest = np.empty(max(0, len(grams) - width + 1), np.int64)
-    for at in range(0, len(lowest), _STEP):
-        end = min(len(lowest), at + _STEP)
-        view = np.lib.stride_tricks.sliding_window_view(grams[at : end + width - 1], width)
-        lowest[at:end] = view.argmin(axis=1) + np.arange(at, end)
-    return grams, lowest
+    lowest = _sliding(grams, width, np.minimum)
+    edge = np.zeros(width - 1, np.uint64)
+    highest = _sliding(np.concatenate([edge, lowest, edge]), width, np.maximum)
+    return grams, lowest, np.flatnonzero(grams == highest)
 
 
 def _text_key():
@@ -84,16 +92,28 @@ def _sparse_suffixes(docs: DataFrame, min_words: int) -> DataFrame:
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for key, order, text in zip(frame["key"], frame["order"], frame["text"], strict=True):
+            whose, found, places, size = [], [], [], 0
+            for row, text in enumerate(frame["text"]):
                 hashes = word_hashes(text.encode("utf-8", "replace"))
                 if len(hashes) < min_words:
                     continue
-                grams, lowest = minimisers(hashes, min_words)
-                at = np.unique(lowest)
-                rows.append(pd.DataFrame({"gram": grams[at].view(np.int64), "key": key, "order": order, "at": at}))
-            if rows:
-                yield pd.concat(rows)
+                grams, _, at = minimisers(hashes, min_words)
+                whose.append(np.full(len(at), row))
+                found.append(grams[at])
+                places.append(at)
+                size += len(at)
+                if size > _STEP:
+                    yield batch(frame, whose, found, places)
+                    whose, found, places, size = [], [], [], 0
+            if size:
+                yield batch(frame, whose, found, places)
+
+    def batch(frame, whose, found, places) -> pd.DataFrame:
+        rows = np.concatenate(whose)
+        return pd.DataFrame({
+            "gram": np.concatenate(found).view(np.int64), "key": frame["key"].to_numpy()[rows],
+            "order": frame["order"].to_numpy()[rows], "at": np.concatenate(places),
+        })
 
     return docs.mapInPandas(read, "gram long, key binary, order long, at int")
 
@@ -103,18 +123,31 @@ def _passages(held: DataFrame, min_words: int) -> DataFrame:
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for row in frame.itertuples(index=False):
-                hashes = word_hashes(row.text.encode("utf-8", "replace"))
-                _, lowest = minimisers(hashes, min_words)
-                starts = np.flatnonzero(np.isin(lowest, np.asarray(row.places)))
+            whose, first, second, places, size = [], [], [], [], 0
+            for row, (text, wanted) in enumerate(zip(frame["text"], frame["places"], strict=True)):
+                hashes = word_hashes(text.encode("utf-8", "replace"))
+                grams, lowest, _ = minimisers(hashes, min_words)
+                starts = np.flatnonzero(np.isin(lowest, grams[np.asarray(wanted)]))
                 a = _rolled(hashes, min_words, 0xD6E8FEB86659FD93)
                 b = _rolled(hashes ^ np.uint64(0x5851F42D4C957F2D), min_words, 0xA0761D6478BD642F)
-                for at in range(0, len(starts), _STEP):
-                    some = starts[at : at + _STEP]
-                    yield pd.DataFrame({
-                        "ha": a[some].view(np.int64), "hb": b[some].view(np.int64),
-                        "order": row.order, "key": row.key, "at": some,
-                    })
+                whose.append(np.full(len(starts), row))
+                first.append(a[starts])
+                second.append(b[starts])
+                places.append(starts)
+                size += len(starts)
+                if size > _STEP:
+                    yield batch(frame, whose, first, second, places)
+                    whose, first, second, places, size = [], [], [], [], 0
+            if size:
+                yield batch(frame, whose, first, second, places)
+
+    def batch(frame, whose, first, second, places) -> pd.DataFrame:
+        rows = np.concatenate(whose)
+        return pd.DataFrame({
+            "ha": np.concatenate(first).view(np.int64), "hb": np.concatenate(second).view(np.int64),
+            "order": frame["order"].to_numpy()[rows], "key": frame["key"].to_numpy()[rows],
+            "at": np.concatenate(places),
+        })
 
     return held.mapInPandas(read, "ha long, hb long, order long, key binary, at int")
 
