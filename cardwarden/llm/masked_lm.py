@@ -36,7 +36,8 @@ SIDE = 3
 HIDDEN = 32
 ROUNDS = 3
 SHARE = 16
-BATCH = 4096
+BATCH = 1024
+STEP = 512
 RATE = 0.1
 SEED = 11
 _FLUSH = 1 << 18
@@ -103,8 +104,11 @@ def _forward(net, ids, at):
     for place, offset in enumerate(OFFSETS):
         hidden += net["inner"][place][ids[at + offset]]
     np.tanh(hidden, out=hidden)
-    logits = hidden @ net["outer"] + net["bias"]
-    logits -= logits.max(axis=1, keepdims=True)
+    logits = hidden @ net["outer"]
+    logits += net["bias"]
+    # No logit can pass this bound; only where it is large could an exponential overflow.
+    if net["bias"].max() + np.abs(net["outer"]).sum(axis=0).max() > 80:
+        logits -= logits.max(axis=1, keepdims=True)
     return hidden, logits
 
 
@@ -125,8 +129,8 @@ def learn(net, squares, ids: np.ndarray, owner: np.ndarray) -> int:
     """One pass over the positions that count, weights changed in place; how many there were."""
     places = np.flatnonzero(owner >= 0)
     places = np.random.default_rng(SEED).permutation(places)
-    for start in range(0, len(places), 256):
-        at = places[start : start + 256]
+    for start in range(0, len(places), STEP):
+        at = places[start : start + STEP]
         hidden, logits = _forward(net, ids, at)
         chance = np.exp(logits)
         chance /= chance.sum(axis=1, keepdims=True)

@@ -11,7 +11,10 @@ import public_tokenizers
 
 _PART = 1 << 18
 _BATCH = 1 << 20
+_KNOWN = 1 << 19
+_SHORT = 64
 # A single space between two visible characters: word tokenizers always part there.
+_CHUNK = re.compile(r"(?<=\S)(?= \S)")
 _SEAM = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
 
 
@@ -36,34 +39,54 @@ def _parts(text: str) -> Iterator[str]:
     yield text[start:]
 
 
+@lru_cache(maxsize=4)
+def _known(name: str) -> dict[str, bytes]:
+    """Ids of chunks met before in this Python worker, at most ``_KNOWN`` and one batch."""
+    return {}
+
+
 def token_ids(texts, name: str, end: int) -> Iterator[np.ndarray]:
-    """Ids of each text with the end id, in order; a NULL text counts as empty."""
-    tokenizer = _tokenizer(name)
-    waiting: list[tuple[int, str]] = []
-    held: list[np.ndarray] = []
-    done = size = 0
-
-    def flush():
-        nonlocal done
-        encoded = tokenizer.encode_batch_fast([part for _, part in waiting], add_special_tokens=False)
-        for (at, _), found in zip(waiting, encoded, strict=True):
-            while done < at:
-                yield np.concatenate([*held, [end]]).astype("<u4")
-                held.clear()
-                done += 1
-            held.append(np.array(found.ids, np.uint32))
+    """Ids of each text with the end id, in order; a NULL text counts as empty.
+
+    Tokenizers of this kind never join across a single space between visible characters. So
+    each different chunk between such spaces (with its space before it) is encoded once.
+    """
+    tokenizer, known = _tokenizer(name), _known(name)
+    last = np.array([end], "<u4").tobytes()
+
+    def encoded(chunks: list[str]) -> list[bytes]:
+        new = list(set(chunks).difference(known))
+        long = {}
+        for chunk, found in zip(
+            new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
+        ):
+            (known if len(chunk) <= _SHORT else long)[chunk] = np.array(found.ids, "<u4").tobytes()
+        if long:
+            return [known[chunk] if chunk in known else long[chunk] for chunk in chunks]
+        return [known[chunk] for chunk in chunks]
+
+    waiting: list[list[str]] = []
+    size = 0
+
+    def flush() -> Iterator[np.ndarray]:
+        if len(known) > _KNOWN:
+            known.clear()
+        ids = iter(encoded([chunk for chunks in waiting for chunk in chunks]))
+        for chunks in waiting:
+            yield np.frombuffer(b"".join([next(ids) for _ in chunks]) + last, "<u4")
         waiting.clear()
 
-    count = 0
-    for at, text in enumerate(texts):
-        count = at + 1
-        for part in _parts(text or ""):
-            waiting.append((at, part))
-            size += len(part) + 100
-            if size > _BATCH:
-                yield from flush()
-                size = 0
-    if waiting:
-        yield from flush()
-    if count:
-        yield np.concatenate([*held, [end]]).astype("<u4")
+    for text in texts:
+        text = text or ""
+        if len(text) > _BATCH:
+            yield from flush()
+            size = 0
+            parts = [b"".join(encoded(_CHUNK.split(part))) for part in _parts(text)]
+            yield np.frombuffer(b"".join(parts) + last, "<u4")
+            continue
+        waiting.append(_CHUNK.split(text))
+        size += len(text) + 100
+        if size > _BATCH:
+            yield from flush()
+            size = 0
+    yield from flush()
