@@ -175,7 +175,10 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int =
         keyed.groupBy("key").agg(F.min("order").alias("order"), F.count("*").alias("rows")),
         "text-firsts",
     )
-    suffixes = written(_sparse_suffixes(keyed, min_words), "sparse-suffixes")
+    suffixes = written(
+        _sparse_suffixes(keyed, min_words).join(firsts, ["key", "order"], "left_semi"),
+        "sparse-suffixes",
+    )
     place = F.struct("key", "at")
     neighbours = (
         suffixes.groupBy("gram").agg(F.min(place).alias("low"), F.max(place).alias("high"))
@@ -183,7 +186,6 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int =
     )
     wanted = (
         suffixes.join(neighbours, "gram", "left_semi")
-        .join(firsts, ["key", "order"], "left_semi")
         .groupBy("key", "order").agg(F.sort_array(F.collect_set("at")).alias("places"))
     )
     # Rows repeating id and text are alike; their passages are compared as one.

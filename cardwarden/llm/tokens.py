@@ -11,7 +11,7 @@ import public_tokenizers
 
 _PART = 1 << 18
 _BATCH = 1 << 20
-_KNOWN = 1 << 19
+_KNOWN = 1 << 17
 _SHORT = 64
 # A single space between two visible characters: word tokenizers always part there.
 _CHUNK = re.compile(r"(?<=\S)(?= \S)")
