@@ -9,8 +9,8 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 
-_PART = 1 << 18
-_BATCH = 1 << 20
+_PART = 1 << 17
+_BATCH = 1 << 17
 _KNOWN = 1 << 17
 _SHORT = 64
 # A single space between two visible characters: word tokenizers always part there.
