@@ -4,6 +4,8 @@ outer joins with a NULL test, OR-chains of comparisons, one report after another
 
 from __future__ import annotations
 
+from cardwarden import schemas
+
 _VIEWS = {
     "tx": """
         SELECT CAST(l_orderkey AS varchar) || '-' || CAST(l_linenumber AS varchar) AS trans_id,
@@ -21,10 +23,11 @@ _VIEWS = {
     "loaded": """
         SELECT a.* FROM loads a WHERE NOT EXISTS (
             SELECT 1 FROM loads b WHERE b.trans_id = a.trans_id AND b.load < a.load)""",
-    "cards": """
+    "all_cards": """
         SELECT CAST(o_orderkey AS varchar) AS card_num, CAST(o_custkey AS varchar) AS account_num,
                CAST(o_orderdate AS date) AS create_dt, CAST(NULL AS date) AS update_dt
-        FROM orders WHERE o_orderkey % 97 <> 0""",
+        FROM orders""",
+    "cards": "SELECT * FROM all_cards WHERE CAST(card_num AS bigint) % 97 <> 0",
     "accounts": """
         SELECT CAST(c_custkey AS varchar) AS account_num,
                CASE WHEN c_custkey % 10 = 0 THEN NULL
@@ -32,7 +35,7 @@ _VIEWS = {
                'C' || CAST(c_custkey AS varchar) AS client,
                DATE '1995-01-01' AS create_dt, CAST(NULL AS date) AS update_dt
         FROM customer""",
-    "clients": """
+    "all_clients": """
         SELECT 'C' || CAST(c_custkey AS varchar) AS client_id,
                c_name AS last_name, c_mktsegment AS first_name,
                CASE WHEN c_custkey % 7 = 0 THEN NULL
@@ -44,7 +47,8 @@ _VIEWS = {
                END AS passport_valid_to,
                '+7' || CAST(c_custkey AS varchar) AS phone,
                DATE '1995-01-01' AS create_dt, CAST(NULL AS date) AS update_dt
-        FROM customer WHERE c_custkey % 89 <> 0""",
+        FROM customer""",
+    "clients": "SELECT * FROM all_clients WHERE CAST(substr(client_id, 2) AS bigint) % 89 <> 0",
     "listed": """
         SELECT DATE '1997-01-01' + CAST((c_custkey * 29) % 1500 AS int) AS entry_dt,
                'P' || CAST(c_custkey AS varchar) AS passport_num
@@ -60,7 +64,7 @@ _VIEWS = {
                s_name AS terminal_address,
                DATE '2021-02-28' AS create_dt, CAST(NULL AS date) AS update_dt
         FROM supplier WHERE s_suppkey % 11 <> 0""",
-    "terminals_new": """
+    "all_terminals": """
         SELECT 'T' || CAST(s_suppkey AS varchar) AS terminal_id,
                CASE WHEN s_suppkey % 3 = 0 THEN 'POS' WHEN s_suppkey % 2 = 0 THEN 'ATM'
                     ELSE 'POS' END AS terminal_type,
@@ -68,7 +72,8 @@ _VIEWS = {
                     ELSE 'CITY_' || CAST(s_nationkey AS varchar) END AS terminal_city,
                s_name AS terminal_address,
                DATE '2021-03-01' AS create_dt, CAST(NULL AS date) AS update_dt
-        FROM supplier WHERE s_suppkey % 13 <> 0""",
+        FROM supplier""",
+    "terminals_new": "SELECT * FROM all_terminals WHERE CAST(substr(terminal_id, 2) AS bigint) % 13 <> 0",
     "clients_old": "SELECT * FROM clients WHERE CAST(substr(client_id, 2) AS bigint) % 11 <> 0",
     "clients_new": """
         SELECT client_id, last_name, first_name,
@@ -119,31 +124,13 @@ def _with(body: str) -> str:
     return f"WITH {named}\n{body}"
 
 
-_DIMS = {
-    "terminals": ("terminal_id", ("terminal_type", "terminal_city", "terminal_address")),
-    "clients": (
-        "client_id",
-        (
-            "last_name",
-            "first_name",
-            "patronymic",
-            "date_of_birth",
-            "passport_num",
-            "passport_valid_to",
-            "phone",
-        ),
-    ),
-    "accounts": ("account_num", ("valid_to", "client")),
-    "cards": ("card_num", ("account_num",)),
-}
+_DIMS = {t.name.removeprefix("dim_"): (t.key, t.tracked) for t in schemas.DIMENSIONS}
 
 
 def _changed(columns: tuple[str, ...]) -> str:
-    return " OR ".join(
-        f"n.{c} <> o.{c} OR (n.{c} IS NULL AND o.{c} IS NOT NULL)"
-        f" OR (n.{c} IS NOT NULL AND o.{c} IS NULL)"
-        for c in columns
-    )
+    """The attributes as a whole are not the same; NULL is the same as NULL."""
+    old, new = (", ".join(f"{side}.{c}" for c in columns) for side in "on")
+    return f"row({new}) IS DISTINCT FROM row({old})"
 
 
 def _scd1(name: str) -> str:
@@ -181,9 +168,8 @@ def _updated(name: str) -> str:
 def _deleted(name: str) -> str:
     key = _DIMS[name][0]
     return (
-        f"SELECT 'dim_{name}' AS dim, {key} AS key FROM {name}_old WHERE {key} IN"
-        f" (SELECT o.{key} FROM {name}_old o LEFT JOIN {name}_new n ON n.{key} = o.{key}"
-        f" WHERE n.{key} IS NULL)"
+        f"SELECT 'dim_{name}' AS dim, gone.{key} AS key FROM {name}_old gone"
+        f" WHERE NOT EXISTS (SELECT 1 FROM {name}_new n WHERE n.{key} = gone.{key})"
     )
 
 
@@ -205,32 +191,38 @@ def _diff_clients() -> str:
     )
 
 
-_NAME = "cl.last_name || ' ' || cl.first_name || ' ' || cl.patronymic"
+def _people(state: str) -> str:
+    """Every card with its holder and the last day of the contract."""
+    return f"""(SELECT card_num, valid_to AS contract_end, holder.*,
+                   last_name || ' ' || first_name || ' ' || patronymic AS fio
+            FROM cards{state}, accounts{state}, clients{state} AS holder
+            WHERE cards{state}.account_num = accounts{state}.account_num
+              AND client = client_id) AS person"""
+
+
+_EVENT = "trans_date AS event_dt, person.passport_num AS passport, fio, phone"
 
 
 def _contract(day: str, facts: str = "tx", state: str = "") -> str:
+    """Type 2: the contract ended before the day of the transaction."""
     return f"""
-        SELECT tx.trans_date AS event_dt, cl.passport_num AS passport, {_NAME} AS fio,
-               cl.phone AS phone, '2' AS event_type, {day} AS report_dt
-        FROM {facts} tx
-        JOIN cards{state} USING (card_num)
-        JOIN accounts{state} acc USING (account_num)
-        JOIN clients{state} cl ON cl.client_id = acc.client
-        WHERE tx.trans_date > acc.valid_to"""
+        SELECT {_EVENT}, '2' AS event_type, {day} AS report_dt
+        FROM {facts} AS paid, {_people(state)}
+        WHERE paid.card_num = person.card_num AND contract_end < trans_date"""
 
 
 def _passport(day: str, facts: str = "tx", state: str = "", listed: str = "listed") -> str:
+    """Type 1: the passport expired before that day, once for each earlier blacklist entry,
+    and once if there is none."""
     return f"""
-        SELECT tx.trans_date AS event_dt, cl.passport_num AS passport, {_NAME} AS fio,
-               cl.phone AS phone, '1' AS event_type, {day} AS report_dt
-        FROM {facts} tx
-        JOIN cards{state} USING (card_num)
-        JOIN accounts{state} acc USING (account_num)
-        LEFT JOIN clients{state} cl ON cl.client_id = acc.client
-             AND tx.trans_date > coalesce(cl.passport_valid_to, DATE '2900-01-01')
-        LEFT JOIN {listed} bl ON bl.passport_num = cl.passport_num
-             AND tx.trans_date > bl.entry_dt
-        WHERE bl.passport_num IS NOT NULL OR cl.client_id IS NOT NULL"""
+        SELECT event_dt, passport, fio, phone, '1' AS event_type, {day} AS report_dt
+        FROM (SELECT {_EVENT},
+                     (SELECT count(*) FROM {listed} AS entry
+                      WHERE entry.passport_num = person.passport_num
+                        AND entry.entry_dt < trans_date) AS entries
+              FROM {facts} AS paid, {_people(state)}
+              WHERE paid.card_num = person.card_num AND passport_valid_to < trans_date),
+             unnest(range(greatest(1, entries))) AS copies(number)"""
 
 
 def _both(day: str, facts: str = "tx", state: str = "", listed: str = "listed") -> str:
@@ -261,13 +253,7 @@ _NIGHTLY = "\nUNION ALL\n".join(
 )
 
 _DAY = "DATE '2021-03-03'"
-_TX_LIMITS = {
-    "trans_id": 11,
-    "card_num": 20,
-    "oper_type": 8,
-    "oper_result": 7,
-    "terminal": 5,
-}
+_TX_LIMITS = schemas.TRANSACTIONS.limits
 
 
 def _null_counts(name: str, columns: tuple[str, ...]) -> str:
@@ -293,12 +279,12 @@ ORACLES: dict[str, str] = {
     "stage_transactions": _TRANSACTIONS,
     "csv_transactions": _TRANSACTIONS,
     "stage_blacklist": _with("SELECT * FROM listed"),
-    "stage_terminals": _with("SELECT * FROM terminals_new"),
-    "stage_clients": _with("SELECT * FROM clients"),
+    "stage_terminals": _with("SELECT * FROM all_terminals"),
+    "stage_clients": _with("SELECT * FROM all_clients"),
     "stage_accounts": _with("SELECT * FROM accounts"),
-    "stage_cards": _with("SELECT * FROM cards"),
+    "stage_cards": _with("SELECT * FROM all_cards"),
     "workbook_blacklist": _with("SELECT * FROM listed"),
-    "workbook_terminals": _with("SELECT * FROM terminals_new"),
+    "workbook_terminals": _with("SELECT * FROM all_terminals"),
     "route_files": _with(
         """SELECT o_orderkey, file_name,
                CASE WHEN contains(file_name, 'transactions') THEN 'transactions'
@@ -335,13 +321,11 @@ ORACLES: dict[str, str] = {
     "fraud_expired_contract": _with(_contract(_DAY)),
     "fraud_passport_literal": _with(_passport(_DAY)),
     "fraud_passport_intended": _with(
-        f"""SELECT tx.trans_date AS event_dt, cl.passport_num AS passport, {_NAME} AS fio,
-               cl.phone AS phone, '1' AS event_type, {_DAY} AS report_dt
-        FROM tx JOIN cards USING (card_num) JOIN accounts acc USING (account_num)
-        JOIN clients cl ON cl.client_id = acc.client
-        WHERE cl.passport_valid_to < tx.trans_date OR EXISTS (
-            SELECT 1 FROM listed bl
-            WHERE bl.passport_num = cl.passport_num AND bl.entry_dt < tx.trans_date)"""
+        f"""SELECT {_EVENT}, '1' AS event_type, {_DAY} AS report_dt
+        FROM tx AS paid, {_people("")}
+        WHERE paid.card_num = person.card_num AND (passport_valid_to < trans_date
+              OR trans_date > (SELECT min(entry_dt) FROM listed AS entry
+                               WHERE entry.passport_num = person.passport_num))"""
     ),
     "fraud_report": _with(_both(_DAY)),
     "report_three_runs": _with(_three_runs("<=")),

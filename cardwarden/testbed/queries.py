@@ -69,13 +69,13 @@ def stage_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = views.terminals_after(spark, sf_dir).drop("create_dt", "update_dt")
+    raw = views.all_terminals(spark, sf_dir).drop("create_dt", "update_dt")
     return staging.stage_terminals(raw, views.RUN_DT, enforce_lengths=False)
 
 
 def stage_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     born = F.col("date_of_birth").cast("timestamp_ntz")
-    pulled = views.clients(spark, sf_dir).withColumn("date_of_birth", born)
+    pulled = views.all_clients(spark, sf_dir).withColumn("date_of_birth", born)
     return staging.stage_clients(pulled, enforce_lengths=False)
 
 
@@ -85,7 +85,7 @@ def stage_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pulled = views.cards(spark, sf_dir).withColumnRenamed("account_num", "account")
+    pulled = views.all_cards(spark, sf_dir).withColumnRenamed("account_num", "account")
     padded = pulled.withColumn("card_num", F.concat(F.col("card_num"), F.lit("   ")))
     return staging.stage_cards(padded, enforce_lengths=False)
 
@@ -98,7 +98,7 @@ def workbook_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def workbook_terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheet, columns = schemas.TERMINALS_SHEET
-    books = as_workbooks(views.terminals_after(spark, sf_dir).select(*columns), sheet)
+    books = as_workbooks(views.all_terminals(spark, sf_dir).select(*columns), sheet)
     rows = workbook_rows(books, sheet, columns)
     return staging.stage_terminals(rows, views.RUN_DT, enforce_lengths=False)
 

@@ -1,7 +1,7 @@
 """The provided Parquet tables seen as warehouse tables (see FIXTURES.md).
 
-Every view reads its whole table. The remainders below only decide which keys are missing
-or changed on one side, so that inserts, updates, deletes and orphans all occur.
+The ``all_`` views hold every row and serve the staging queries. In the others, remainders
+leave out or change some keys on one side, so that inserts, updates, deletes and orphans occur.
 """
 
 from __future__ import annotations
@@ -43,8 +43,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "orders").where("o_orderkey % 97 <> 0").select(
+def all_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "orders").select(
         text("o_orderkey").alias("card_num"),
         text("o_custkey").alias("account_num"),
         F.col("o_orderdate").cast("date").alias("create_dt"),
@@ -52,6 +52,10 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return all_cards(spark, sf_dir).where(f"{_number('card_num')} % 97 <> 0")
+
+
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "customer").select(
         text("c_custkey").alias("account_num"),
@@ -64,8 +68,8 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "customer").where("c_custkey % 89 <> 0").select(
+def all_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "customer").select(
         F.concat(F.lit("C"), text("c_custkey")).alias("client_id"),
         F.col("c_name").alias("last_name"),
         F.col("c_mktsegment").alias("first_name"),
@@ -83,6 +87,10 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return all_clients(spark, sf_dir).where(f"{_number('client_id')} % 89 <> 0")
+
+
 def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in debt; every second one is listed twice."""
     in_debt = load(spark, sf_dir, "customer").where("c_acctbal < 0")
@@ -105,8 +113,8 @@ def terminals_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def terminals_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "supplier").where("s_suppkey % 13 <> 0").select(
+def all_terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "supplier").select(
         F.concat(F.lit("T"), text("s_suppkey")).alias("terminal_id"),
         F.when(F.expr("s_suppkey % 3 <> 0 and s_suppkey % 2 = 0"), "ATM")
         .otherwise("POS")
@@ -120,6 +128,10 @@ def terminals_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def terminals_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return all_terminals(spark, sf_dir).where(f"{_number('terminal_id')} % 13 <> 0")
+
+
 def before(whole: DataFrame, key: str) -> DataFrame:
     """A dimension some keys of the snapshot have not reached yet."""
     return whole.where(f"{_number(key)} % 11 <> 0")
@@ -140,7 +152,7 @@ def after(whole: DataFrame, key: str, changed: str, emptied: str) -> DataFrame:
 
 def _number(key: str) -> str:
     """The number inside a key such as C17."""
-    return f"cast(replace({key}, 'C', '') as bigint)"
+    return f"cast(ltrim('CT', {key}) as bigint)"
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, DataFrame]]:
