@@ -25,7 +25,10 @@ _DAY_FORMATS = {14, 15, 16, 17, 22}
 def read_workbooks(
     spark: SparkSession, paths: str | Sequence[str], sheet: str, columns: Sequence[str]
 ) -> DataFrame:
-    """All rows of one sheet, columns by position and as text, header row dropped."""
+    """All rows of one sheet, columns by position and as text, header row dropped.
+
+    Blank rows are skipped. A row with a value beyond the last column fails the query.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
     return workbook_rows(files, sheet, columns)
@@ -41,8 +44,10 @@ def workbook_rows(files: DataFrame, sheet: str, columns: Sequence[str]) -> DataF
             for path, content in zip(frame["path"], frame["content"], strict=True):
                 block: list[list] = []
                 for row in sheet_rows(content, sheet):
+                    if any(value is not None for value in row[width:]):
+                        raise ValueError(f"{path}: a row of sheet {sheet!r} has more than {width} columns: {row}")
                     if any(value is not None for value in row):
-                        block.append(((row + [None] * width)[:width]) + [path])
+                        block.append((row + [None] * width)[:width] + [path])
                     if len(block) == _ROWS_PER_FRAME:
                         yield pd.DataFrame(block, columns=[*names, "source_file"])
                         block = []
