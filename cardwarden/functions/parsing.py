@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 
 def parse_day(text: Column) -> Column:
-    """Day of `2021-03-01`, `2021-3-1` or `2021-03-01 10:11:12`.
+    """Day of `2021-03-01`, `2021-3-1` or `2021-03-01 10:11:12`; NULL for any other form.
 
-    The text-to-date cast reads exactly these forms and drops the time of day. A pattern
-    would either raise on the time or, spelled `yyyy-mm-dd`, read minutes as the month.
+    The text-to-date cast drops the time of day, but also takes a lone year or month and
+    years of more digits, so the form is tested first.
     """
-    return text.try_cast("date")
+    return F.when(F.rlike(text, F.lit(r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T].*)?\s*$")), text.try_cast("date"))
 
 
 def parse_listed_day(text: Column) -> Column:
@@ -31,8 +31,8 @@ def parse_amount(text: Column) -> Column:
 
 
 def file_day(name: Column) -> Column:
-    """Day a dropped file is for, written `DDMMYYYY` just before its extension."""
-    return F.try_to_date(F.regexp_extract(name, r"(\d{8})\.[^.]+$", 1), "ddMMyyyy")
+    """Day a dropped file is for, written `DDMMYYYY` just before its extension or extensions."""
+    return F.try_to_date(F.regexp_extract(name, r"(\d{8})(?:\.[^.]+)+$", 1), "ddMMyyyy")
 
 
 def full_name(last: Column, first: Column, patronymic: Column) -> Column:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from itertools import chain, count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from cardwarden import schemas
 from cardwarden.operators import staging
@@ -18,7 +21,7 @@ from cardwarden.plans.warehouse import Warehouse
 from cardwarden.schemas import Table
 from cardwarden.session import tune
 from cardwarden.sources.delimited import read_transactions
-from cardwarden.sources.drops import drop_files
+from cardwarden.sources.drops import day_in, drop_files, feed_in
 from cardwarden.sources.workbook import read_workbooks
 
 
@@ -38,6 +41,10 @@ class Feeds:
     rejects: DataFrame | None = None
 
 
+class UndatedFile(ValueError):
+    """A dropped file whose name holds no day cannot be put in order."""
+
+
 class EmptySnapshot(ValueError):
     """An empty snapshot would delete the whole dimension."""
 
@@ -50,26 +57,33 @@ def run_batch(
     report_dt: date,
     history: str = "all",
     allow_empty_snapshot: bool = True,
+    files: Sequence[str] = (),
 ) -> bool:
     """Load and report one day; False, and nothing done, without a transaction feed.
 
+    Rows are new if no other published run holds their key, earlier or later, so a late or
+    repeated run doubles nothing. ``files`` names the dropped files the feeds come from;
+    they count as loaded once the run is published.
+
     ``history="all"`` judges every transaction ever loaded, so each report repeats the
     earlier ones with today's dimensions. ``history="new"`` judges only the run's own
-    transactions and reads none of the older ones.
+    transactions and reads none of the older ones. So does a second run for a report day
+    that the report holds already, which thus gains its events without doubling any.
     """
     if history not in ("all", "new"):
         raise ValueError(f"unknown history {history!r}")
     if feeds.transactions is None:
         return False
     spark = tune(warehouse.spark)
-    past = warehouse.state(before=run_id)
-    run = warehouse.begin(run_id)
+    past, others = warehouse.state(before=run_id), warehouse.state(without=run_id)
+    run = warehouse.begin(run_id, files)
+    run.report_dt = report_dt
 
     def append(table: Table, feed: DataFrame | None) -> DataFrame:
         if feed is None:
             return spark.createDataFrame([], table.schema)
         staged = run.stage(table.name, feed.select(*table.columns))
-        known = past.fact_between(table, key_range(staged, table.key))
+        known = others.fact_between(table, key_range(staged, table.key))
         return run.write_fact(table, insert_new(staged, known, table.key))
 
     def merge(table: Table, snapshot: DataFrame | None) -> DataFrame:
@@ -92,14 +106,18 @@ def run_batch(
         (merge, schemas.CARDS, feeds.cards),
     ]
     with ThreadPoolExecutor(len(loads)) as pool:
-        started = [pool.submit(load, table, feed) for load, table, feed in loads]
+        # Each thread takes over the job group and description of the caller.
+        started = [
+            pool.submit(inheritable_thread_target(spark)(load), table, feed)
+            for load, table, feed in loads
+        ]
         judged, listed, _, clients, accounts, cards = (task.result() for task in started)
 
     if feeds.rejects is not None:
         run.write(schemas.REJECTS, feeds.rejects, rebalance=True)
 
     horizon = run.last_trans_date
-    if history == "all":
+    if history == "all" and report_dt not in past.report_days():
         judged = judged.unionByName(past.table(schemas.TRANSACTIONS))
         horizon = max(filter(None, (horizon, past.last_trans_date())), default=None)
     rules = fraud.both_rules(clients, listed.unionByName(past.table(schemas.BLACKLIST)))
@@ -141,30 +159,58 @@ def run_drop(
     allow_empty_snapshot: bool = True,
     keep_rejects: bool = False,
 ) -> list[date]:
-    """Run every day of a drop folder that has a transaction file and was not run before.
-
-    Days are taken in order of the date in the file names. ``bank`` holds the pulled
-    client, account and card tables. A transaction line that cannot be typed fails the run;
-    with ``keep_rejects`` it goes into the rejects table and the other lines are loaded.
+    """Load every waiting file of a drop folder, one run for each day with transactions.
+
+    A file waits until the manifest names it, whatever its day: a second or late file for a
+    day that has been run gets a run of its own. Days are taken in order. Blacklists and
+    terminals go with the first run that is not of an earlier day, so those of a day without
+    transactions are carried on; of several terminal snapshots the newest day's counts, and
+    none older than the one loaded last. A file without a readable day fails the call before
+    anything is loaded.
+
+    ``bank`` holds the pulled client, account and card tables. They are the bank's state of
+    now; the first run merges them, and all later ones, being published later, start from
+    there. A transaction line that cannot be typed fails the run; with ``keep_rejects`` it
+    goes into the rejects table and the other lines are loaded.
     """
     spark = warehouse.spark
-    by_day: dict[date, dict[str, list[str]]] = {}
+    state = warehouse.state()
+    loaded, taken = state.files(), {run.run_id for run in state.runs}
     # File names only: a few per day.
-    for file in drop_files(spark, folder).where(F.col("drop_day").isNotNull()).collect():
-        by_day.setdefault(file.drop_day, {}).setdefault(file.feed, []).append(file.path)
-    done = {run.run_id for run in warehouse.state().runs}
+    waiting = [f for f in drop_files(spark, folder).collect() if f.file_name not in loaded]
+    undated = sorted(file.file_name for file in waiting if file.drop_day is None)
+    if undated:
+        raise UndatedFile(f"no day in the name of {', '.join(undated)}")
+    snapshot = max((day_in(n) for n in loaded if feed_in(n) == "terminals"), default=date.min)
     ran: list[date] = []
-    for day in sorted(day for day in by_day if day.isoformat() not in done):
-        # The pulled tables are the bank's state of now: merging them again for the next
-        # waiting day would change nothing.
-        feeds = _feeds(spark, by_day[day], {} if ran else bank, day, keep_rejects)
-        if run_batch(
-            warehouse, feeds, day.isoformat(), day, day, history, allow_empty_snapshot
-        ):
-            ran.append(day)
+    for day in sorted({file.drop_day for file in waiting if file.feed == "transactions"}):
+        due = [
+            file
+            for file in waiting
+            if file.drop_day == day or (file.drop_day < day and file.feed != "transactions")
+        ]
+        waiting = [file for file in waiting if file not in due]
+        newest = max((f.drop_day for f in due if f.feed == "terminals"), default=date.min)
+        files: dict[str, list[str]] = {}
+        for file in due:
+            if file.feed != "terminals" or file.drop_day == newest >= snapshot:
+                files.setdefault(file.feed, []).append(file.path)
+        snapshot = max(snapshot, newest)
+        feeds = _feeds(spark, files, {} if ran else bank, day, keep_rejects)
+        names = [file.file_name for file in due]
+        run_id = _free_id(day, taken)
+        run_batch(warehouse, feeds, run_id, day, day, history, allow_empty_snapshot, names)
+        taken.add(run_id)
+        ran.append(day)
     return ran
 
 
+def _free_id(day: date, taken: set[str]) -> str:
+    """The day, or the day with a number if it has been run."""
+    later = (f"{day.isoformat()}.{number}" for number in count(2))
+    return next(name for name in chain([day.isoformat()], later) if name not in taken)
+
+
 def _feeds(
     spark: SparkSession,
     files: dict[str, list[str]],

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from datetime import date, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,16 @@ def feed_of(name: Column) -> Column:
     return F.coalesce(*(F.when(F.contains(name, F.lit(feed)), F.lit(feed)) for feed in FEEDS))
 
 
+def feed_in(name: str) -> str | None:
+    """The same for one name on the driver."""
+    return next((feed for feed in FEEDS if feed in name), None)
+
+
+def day_in(name: str) -> date:
+    """Day in the name of a file that has been loaded, and so has one."""
+    return datetime.strptime(re.search(r"(\d{8})(?:\.[^.]+)+$", name)[1], "%d%m%Y").date()
+
+
 def route(files: DataFrame, name: str = "file_name") -> DataFrame:
     return files.withColumn("feed", feed_of(F.col(name))).withColumn(
         "drop_day", file_day(F.col(name))

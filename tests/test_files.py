@@ -6,7 +6,14 @@ import pytest
 
 from cardwarden import schemas
 from cardwarden.operators import staging
-from cardwarden.plans.nightly import EmptySnapshot, Feeds, append_report_once, run_batch, run_drop
+from cardwarden.plans.nightly import (
+    EmptySnapshot,
+    Feeds,
+    UndatedFile,
+    append_report_once,
+    run_batch,
+    run_drop,
+)
 from cardwarden.plans.warehouse import Warehouse
 from cardwarden.sources import bank
 from cardwarden.sources.delimited import MALFORMED, read_transactions
@@ -277,3 +284,77 @@ def test_runs_out_of_the_key_range_are_not_opened(spark, tmp_path):
     assert between("4", "5") == ([], 0)
     assert state.fact_between(schemas.TRANSACTIONS, None).count() == 0
     assert state.table(schemas.TRANSACTIONS).count() == 7
+
+
+def test_an_irregular_drop_loses_and_doubles_nothing(spark, tmp_path):
+    (folder := tmp_path / "drop").mkdir()
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    days = [dt.date(2021, 3, n) for n in range(1, 7)]
+
+    def ids():
+        return sorted(r.trans_id for r in warehouse.table(schemas.TRANSACTIONS).collect())
+
+    def run():
+        return run_drop(warehouse, str(folder), bank_tables(spark))
+
+    write_lines(folder / "transactions_02032021.txt", line(1, "2021-03-02"))
+    write_book(folder / "passport_blacklist_03032021.xlsx", schemas.BLACKLIST_SHEET, [(DAY, "p9")])
+    assert run() == [days[1]]
+    assert warehouse.table(schemas.BLACKLIST).count() == 0
+    # A second file for that day, a late day, and one the waiting blacklist goes with.
+    write_lines(folder / "transactions_b_02032021.txt", line(1, "2021-03-02"), line(2, "2021-03-02"))
+    write_lines(folder / "transactions_01032021.txt", line(2, "2021-03-01"), line(3, "2021-03-01"))
+    write_lines(folder / "transactions_04032021.txt", line(4, "2021-03-04"))
+    for name in ("03032021", "04032021"):
+        write_book(
+            folder / f"terminals_{name}.xlsx", schemas.TERMINALS_SHEET, [("T1", "ATM", name, "s")]
+        )
+    assert run() == [days[0], days[1], days[3]]
+    assert ids() == ["1", "2", "3", "4"]
+    assert warehouse.table(schemas.BLACKLIST).count() == 1
+    assert [r.terminal_city for r in warehouse.table(schemas.TERMINALS).collect()] == ["04032021"]
+    report = warehouse.table(schemas.REPORT).where("event_type = '2'").groupBy("report_dt").count()
+    assert dict(report.collect()) == {days[0]: 3, days[1]: 1, days[3]: 4}
+    # A snapshot older than the one loaded does not undo it.
+    write_book(
+        folder / "terminals_02032021.xlsx", schemas.TERMINALS_SHEET, [("T1", "ATM", "old", "s")]
+    )
+    write_lines(folder / "transactions_06032021.txt", line(5, "2021-03-06"))
+    assert run() == [days[5]]
+    assert [r.terminal_city for r in warehouse.table(schemas.TERMINALS).collect()] == ["04032021"]
+    assert run() == []
+    write_lines(folder / "transactions_late.txt", line(6, "2021-03-06"))
+    with pytest.raises(UndatedFile, match="transactions_late.txt"):
+        run()
+
+
+def test_late_bank_state_is_the_newest(spark, tmp_path):
+    (folder := tmp_path / "drop").mkdir()
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    write_lines(folder / "transactions_05032021.txt", line(1, "2021-03-05"))
+    run_drop(warehouse, str(folder), bank_tables(spark))
+    write_lines(folder / "transactions_02032021.txt", line(2, "2021-03-02"))
+    run_drop(warehouse, str(folder), bank_tables(spark, valid_to=dt.date(2021, 2, 7)))
+    assert [r.valid_to for r in warehouse.table(schemas.ACCOUNTS).collect()] == [dt.date(2021, 2, 7)]
+
+
+def test_late_and_repeated_runs_stay_insert_only(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    for run, numbers in (("b", [1, 2]), ("d", [3, 4]), ("b", [1, 2, 3]), ("a", [2, 4, 5])):
+        run_batch(warehouse, feeds(spark, numbers), run, DAY, DAY)
+    ids = [r.trans_id for r in warehouse.table(schemas.TRANSACTIONS).collect()]
+    assert sorted(ids) == ["1", "2", "3", "4", "5"]
+
+
+def test_second_run_for_a_report_day_adds_only_its_own_events(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    for run, numbers in (("a", [1, 2]), ("b", [2, 3])):
+        run_batch(warehouse, feeds(spark, numbers), run, DAY, DAY)
+    report = warehouse.table(schemas.REPORT).groupBy("event_type").count()
+    assert dict(report.collect()) == {"1": 3, "2": 3}
+
+
+def test_too_wide_workbook_row_fails(spark, tmp_path):
+    write_book(tmp_path / "b.xlsx", schemas.BLACKLIST_SHEET, [(DAY, "p1", "more")])
+    with pytest.raises(Exception, match="more than 2 columns"):
+        read_workbooks(spark, str(tmp_path), *schemas.BLACKLIST_SHEET).collect()
