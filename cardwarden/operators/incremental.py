@@ -38,12 +38,15 @@ def insert_new_in_order(batches: DataFrame, key: str, order: str) -> DataFrame:
     """What loading several batches one after another into an empty table leaves.
 
     A row stays when its batch is the first to bring its key. One aggregate finds that
-    batch for every key, instead of one anti join per batch.
+    batch for every key, instead of one anti join per batch. The two are compared by ``<=``,
+    since an equality would become a join key and shuffle the aggregate again; no row comes
+    before the first.
     """
     keyed = batches.where(F.col(key).isNotNull())
     unkeyed = batches.where(F.col(key).isNull())
-    first = keyed.groupBy(key).agg(F.min(order).alias(order))
-    kept = keyed.join(first, [key, order], "left_semi").select(*batches.columns)
+    first = keyed.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"))
+    matches = (F.col(key) == F.col("_key")) & (F.col(order) <= F.col("_first"))
+    kept = keyed.join(first, matches, "left_semi").select(*batches.columns)
     return kept.unionByName(unkeyed)
 
 
