@@ -69,4 +69,4 @@ print(entry.queries()["workbook_terminals"](spark, "/root/testdata/sf0.001").cou
     done = subprocess.run(
         [sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300
     )
-    assert done.stdout.split()[-1:] == ["9"], done.stderr[-2000:]
+    assert done.stdout.split()[-1:] == ["10"], done.stderr[-2000:]
