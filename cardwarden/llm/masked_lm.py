@@ -5,9 +5,8 @@ itself; the logarithms of these conditional probabilities, summed over a text, a
 Words are classes: the most frequent of the whole corpus have one each, all others share the
 rest by a hash. Edges of a text are a class of their own.
 
-Class frequencies come from all documents. The network is trained in ``ROUNDS`` rounds, each on
-another share of all documents (a hash of the text decides), so training grows with the
-corpus. In a round every partition trains from the shared weights by itself, and Spark
+Class frequencies come from all documents. The network is trained once on every document, in
+``ROUNDS`` rounds: a hash of the text decides in which one, so copies go together. In a round every partition trains from the shared weights by itself, and Spark
 averages the results, weighted by words. The driver holds the weights and ``COMMON`` words.
 
 NULL texts and texts without a word score 0.0 over 0 words and have no mean. Repeated rows
@@ -35,7 +34,6 @@ COMMON = 256
 SIDE = 3
 HIDDEN = 32
 ROUNDS = 3
-SHARE = 16
 BATCH = 1024
 STEP = 512
 RATE = 0.1
@@ -129,10 +127,11 @@ def learn(net, squares, ids: np.ndarray, owner: np.ndarray) -> int:
     """One pass over the positions that count, weights changed in place; how many there were."""
     places = np.flatnonzero(owner >= 0)
     places = np.random.default_rng(SEED).permutation(places)
+    cells = np.arange(HIDDEN)
     for start in range(0, len(places), STEP):
         at = places[start : start + STEP]
         hidden, logits = _forward(net, ids, at)
-        chance = np.exp(logits)
+        chance = np.exp(logits, out=logits)
         chance /= chance.sum(axis=1, keepdims=True)
         chance[np.arange(len(at)), ids[at]] -= 1
         chance /= len(at)
@@ -142,11 +141,11 @@ def learn(net, squares, ids: np.ndarray, owner: np.ndarray) -> int:
             squares[name] += step * step
             net[name] -= RATE * step / np.sqrt(squares[name])
         for place, offset in enumerate(OFFSETS):
-            seen, where = np.unique(ids[at + offset], return_inverse=True)
-            step = np.zeros((len(seen), HIDDEN), np.float32)
-            np.add.at(step, where, back)
-            squares["inner"][place][seen] += step * step
-            net["inner"][place][seen] -= RATE * step / np.sqrt(squares["inner"][place][seen])
+            where = (ids[at + offset][:, None] * HIDDEN + cells).ravel()
+            step = np.bincount(where, back.ravel(), (CLASSES + 1) * HIDDEN)
+            step = step.astype(np.float32).reshape(CLASSES + 1, HIDDEN)
+            squares["inner"][place] += step * step
+            net["inner"][place] -= RATE * step / np.sqrt(squares["inner"][place])
     return len(places)
 
 
@@ -215,7 +214,7 @@ def train(docs: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
                 flat = _flat(own).astype(np.float64) * seen
                 yield pd.DataFrame({"cell": np.arange(len(flat) + 1), "x": np.append(flat, seen)})
 
-        mine = texts.where(F.pmod(F.xxhash64("text"), F.lit(SHARE)) == number)
+        mine = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == number)
         sums = mine.mapInPandas(read, "cell int, x double").groupBy("cell").agg(F.sum("x").alias("x")).toPandas()
         if len(sums):
             cells = sums.sort_values("cell")["x"].to_numpy()

@@ -245,6 +245,18 @@ def test_masked_lm_prefers_word_order(spark):
     assert mean(found) > mean(spark.createDataFrame(shuffled, "doc_id long, text string")) + 0.5
 
 
+def test_masked_lm_learns_from_every_text(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{k % 40}" for k in range(i % 40, i % 40 + 40 + i // 40))) for i in range(2400)]
+    whole = spark.createDataFrame(rows, "doc_id long, text string")
+    for share in (3, 9, 15):
+        found = written(whole.where(F.pmod(F.xxhash64("text"), F.lit(16)) == share), "lm-share")
+        model = masked_lm.train(found)
+        shuffled = [(r.doc_id, " ".join(rng.permutation(r.text.split()))) for r in found.limit(50).collect()]
+        mean = lambda df: masked_lm.score(df, model).agg(F.avg("mean_log_likelihood")).first()[0]
+        assert mean(found) > mean(spark.createDataFrame(shuffled, "doc_id long, text string")) + 0.5
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(1)
     points = np.round(rng.normal(size=(3000, 8)), 1)
