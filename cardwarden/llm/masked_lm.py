@@ -2,12 +2,16 @@
 
 A window network predicts every word from the ``SIDE`` words on both its sides, never from
 itself; the logarithms of these conditional probabilities, summed over a text, are its score.
-Words are classes: the most frequent of the whole corpus have one each, all others share the
-rest by a hash. Edges of a text are a class of their own.
+A word's chance is that of its class, from the network, times its share of the class, from the
+counts of all words. The most frequent words of the whole corpus have a class each, all others
+share the rest by a hash. Within a class every known word counts one more than it occurs, and
+all unknown words together count one. Edges of a text are a class of their own.
 
 Class frequencies come from all documents. The network is trained once on every document, in
-``ROUNDS`` rounds: a hash of the text decides in which one, so copies go together. In a round every partition trains from the shared weights by itself, and Spark
-averages the results, weighted by words. The driver holds the weights and ``COMMON`` words.
+``ROUNDS`` rounds: a hash of the text decides in which one, so copies go together. In a round
+every partition trains from the shared weights by itself, and Spark averages the results,
+weighted by words. The driver holds the weights, ``COMMON`` words and a total for each class.
+The counts of words are a written table, which the words of the texts are joined to.
 
 NULL texts and texts without a word score 0.0 over 0 words and have no mean. Repeated rows
 score alike. Texts of any length are read whole, in blocks. An empty corpus gives no rows;
@@ -19,6 +23,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -26,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import table, word_count
+from cardwarden.llm.common import table, written
 from cardwarden.llm.words import word_blocks
 
 CLASSES = 512
@@ -44,13 +49,22 @@ _RUN = 1 << 18
 OFFSETS = [at for at in range(-SIDE, SIDE + 1) if at]
 
 
+class Model(NamedTuple):
+    """Sorted hashes of the common words, trained weights, the logarithm of each class's total
+    (0 for a class of one word), and the counts of all words."""
+
+    common: np.ndarray
+    net: dict[str, np.ndarray]
+    within: np.ndarray
+    words: DataFrame
+
+
 def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), np.uint64, len(words))
 
 
-def classes(words: list[bytes], common: np.ndarray) -> np.ndarray:
+def classes(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
     """Class of each word; ``common`` are the sorted hashes of words with a class of their own."""
-    hashes = _hashes(words)
     own = len(common)
     rest = own + (hashes % np.uint64(CLASSES - own)).astype(np.int64)
     if not own:
@@ -59,7 +73,16 @@ def classes(words: list[bytes], common: np.ndarray) -> np.ndarray:
     return np.where(common[at] == hashes, at, rest)
 
 
-def runs(texts, common: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def hashed(texts, common: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The place of each text that has words, their hashes and their classes."""
+    for at, text in enumerate(texts):
+        found = [_hashes(words) for words in word_blocks((text or "").encode("utf-8", "replace")) if words]
+        if found:
+            hashes = np.concatenate(found)
+            yield at, hashes, classes(hashes, common)
+
+
+def runs(found: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Classes of many texts in one array, edges between them, and the text of each position.
 
     A long text spans several runs, which overlap by the window; positions that only lend
@@ -67,11 +90,7 @@ def runs(texts, common: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """
     edge = np.full(SIDE, CLASSES, np.int64)
     ids, owner, size = [edge], [np.full(SIDE, -1)], 0
-    for at, text in enumerate(texts):
-        found = [classes(words, common) for words in word_blocks((text or "").encode("utf-8", "replace")) if words]
-        if not found:
-            continue
-        whole = np.concatenate(found)
+    for at, _, whole in found:
         for start in range(0, len(whole), _RUN):
             end = min(len(whole), start + _RUN)
             before, after = max(0, start - SIDE), min(len(whole), end + SIDE)
@@ -110,8 +129,11 @@ def _forward(net, ids, at):
     return hidden, logits
 
 
-def log_chances(net, ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every position that counts: its text, and the logarithm of its word's chance."""
+def log_chances(net, within, ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every position that counts: its text, and the logarithm of its word's chance.
+
+    Of a word that shares its class, the logarithm of its own count is still to be added.
+    """
     places = np.flatnonzero(owner >= 0)
     found = np.empty(len(places))
     for start in range(0, len(places), BATCH):
@@ -119,7 +141,7 @@ def log_chances(net, ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np
         _, logits = _forward(net, ids, at)
         true = logits[np.arange(len(at)), ids[at]].astype(np.float64)
         np.exp(logits, out=logits)
-        found[start : start + len(at)] = true - np.log(logits.sum(axis=1))
+        found[start : start + len(at)] = true - np.log(logits.sum(axis=1)) - within[ids[at]]
     return owner[places], found
 
 
@@ -186,17 +208,28 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def train(docs: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """The sorted hashes of the common words, and the trained weights."""
+def _class_totals(words: DataFrame, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each class, how often its words occur and how many there are."""
+
+    @F.pandas_udf("int")
+    def class_of(word: pd.Series) -> pd.Series:
+        return pd.Series(classes(word.to_numpy().view(np.uint64), common))
+
+    rows = words.groupBy(class_of("word").alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()
+    frequency, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    for row in rows:
+        frequency[row.c], kinds[row.c] = row.n, row.kinds
+    return frequency, kinds
+
+
+def train(docs: DataFrame) -> Model:
     context = docs.sparkSession.sparkContext
-    top = _word_counts(docs).orderBy(F.desc("n"), "word").limit(COMMON).collect()
-    hashes = np.array([row.word for row in top], np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    common = hashes[order]
-    frequency = np.zeros(CLASSES)
-    frequency[: len(common)] = np.array([row["n"] for row in top], float)[order]
-    total = docs.agg(F.sum(word_count(F.col("text")))).first()[0] or 0
-    frequency[len(common) :] = (total - frequency.sum()) / max(1, CLASSES - len(common))
+    words = written(_word_counts(docs), "lm-words")
+    top = words.orderBy(F.desc("n"), "word").limit(COMMON).collect()
+    common = np.sort(np.array([row.word for row in top], np.int64).view(np.uint64))
+    frequency, kinds = _class_totals(words, common)
+    within = np.log(frequency + kinds + 1)
+    within[: len(common)] = 0
     net = initial(frequency)
     texts = docs.where(F.col("text").isNotNull()).select(F.col("text").cast("string"))
     for number in range(ROUNDS):
@@ -208,7 +241,7 @@ def train(docs: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
             squares = {name: np.full_like(values, 1e-4) for name, values in own.items()}
             seen = 0
             for frame in frames:
-                for ids, owner in runs(frame["text"], known):
+                for ids, owner in runs(hashed(frame["text"], known)):
                     seen += learn(own, squares, ids, owner)
             if seen:
                 flat = _flat(own).astype(np.float64) * seen
@@ -219,28 +252,45 @@ def train(docs: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         if len(sums):
             cells = sums.sort_values("cell")["x"].to_numpy()
             net = _shaped(cells[:-1] / cells[-1])
-    return common, net
+    return Model(common, net, within, words)
 
 
-def score(docs: DataFrame, model, id_column: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, model: Model, id_column: str = "doc_id") -> DataFrame:
     """id, ``n_tokens``, ``log_likelihood`` (the sum) and ``mean_log_likelihood`` per row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.common, model.net, model.within))
 
-    @F.pandas_udf("n_tokens long, log_likelihood double")
+    @F.pandas_udf("n_tokens long, by_class double, words array<long>, times array<int>")
     def judge(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        common, net = shared.value
+        common, net, within = shared.value
         for texts in parts:
             total, count = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-            for ids, owner in runs(texts, common):
-                whose, found = log_chances(net, ids, owner)
+            words = [np.empty(0, np.int64)] * len(texts)
+            times = [np.empty(0, np.int32)] * len(texts)
+
+            def noted(texts=texts, words=words, times=times):
+                for at, hashes, whole in hashed(texts, common):
+                    shares = hashes[whole >= len(common)].view(np.int64)
+                    words[at], often = np.unique(shares, return_counts=True)
+                    times[at] = often.astype(np.int32)
+                    yield at, hashes, whole
+
+            for ids, owner in runs(noted()):
+                whose, found = log_chances(net, within, ids, owner)
                 total += np.bincount(whose, found, len(texts))
                 count += np.bincount(whose, minlength=len(texts))
-            yield pd.DataFrame({"n_tokens": count, "log_likelihood": total})
+            yield pd.DataFrame({"n_tokens": count, "by_class": total, "words": words, "times": times})
 
-    judged = docs.select(F.col(id_column), judge(F.col("text").cast("string")).alias("_j"))
-    return judged.select(
-        id_column, "_j.n_tokens", "_j.log_likelihood",
-        F.when(F.col("_j.n_tokens") > 0, F.col("_j.log_likelihood") / F.col("_j.n_tokens")).alias("mean_log_likelihood"),
+    # Ids may repeat or be missing, so rows get a number, which has to be the same for all who read it.
+    judged = docs.select(F.col(id_column).alias("_id"), judge(F.col("text").cast("string")).alias("_j"))
+    judged = written(judged.select("_id", "_j.*", F.monotonically_increasing_id().alias("_row")), "lm-judged")
+    shares = judged.select("_row", F.inline(F.arrays_zip("words", "times"))).join(
+        model.words.select(F.col("word").alias("words"), "n"), "words"
+    )
+    sums = shares.groupBy("_row").agg(F.sum(F.col("times") * F.log1p("n")).alias("by_word"))
+    both = F.col("by_class") + F.coalesce("by_word", F.lit(0.0))
+    return judged.drop("words", "times").join(sums, "_row", "left").select(
+        F.col("_id").alias(id_column), "n_tokens", both.alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, both / F.col("n_tokens")).alias("mean_log_likelihood"),
     )
 
 

@@ -257,6 +257,32 @@ def test_masked_lm_learns_from_every_text(spark):
         assert mean(found) > mean(spark.createDataFrame(shuffled, "doc_id long, text string")) + 0.5
 
 
+def test_masked_lm_scores_words_by_their_own_counts(spark):
+    rng = np.random.default_rng(9)
+    drawn = (1000 * rng.random((400, 50)) ** 2).astype(int)
+    rows = [(i, " ".join(f"w{k}" for k in row)) for i, row in enumerate(drawn)]
+    model = masked_lm.train(written(spark.createDataFrame(rows, "doc_id long, text string"), "lm-counts"))
+    seen, counts = np.unique(drawn, return_counts=True)
+    texts = [(int(k), f"w{k}") for k in seen] + [(1000 + k, f"never{k}") for k in range(1000)]
+    texts += [(None, "never0 w999 w999"), (None, "never0 w999 w999")]
+    found = masked_lm.score(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    assert len(found) == len(texts)
+    repeated = {r.log_likelihood for r in found if r.doc_id is None}
+    assert max(repeated) - min(repeated) < 1e-9
+    lone = {r.doc_id: r.log_likelihood for r in found if r.doc_id is not None}
+    assert 0.95 < sum(np.exp(lone[k]) for k in seen) < 1
+    names = [text.encode() for _, text in texts[:-2]]
+    kinds = masked_lm.classes(masked_lm._hashes(names), model.common)
+    n = dict(zip(seen.tolist(), counts.tolist()))
+    first = {}
+    for (at, _), kind in zip(texts, kinds):
+        if kind >= masked_lm.COMMON:
+            other = first.setdefault(kind, at)
+            expected = np.log((n.get(at, 0) + 1) / (n.get(other, 0) + 1))
+            assert abs(lone[at] - lone[other] - expected) < 1e-4
+    assert len(first) > 200
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(1)
     points = np.round(rng.normal(size=(3000, 8)), 1)
