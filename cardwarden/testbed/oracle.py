@@ -264,6 +264,15 @@ def _null_counts(name: str, columns: tuple[str, ...]) -> str:
     )
 
 
+def _whole_null_counts(name: str, rows: str, number: str, emptied: str) -> str:
+    columns = (_DIMS[name][0], *_DIMS[name][1], "create_dt", "update_dt")
+    return "\nUNION ALL\n".join(
+        f"SELECT 'dim_{name}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL"
+        f"{f' OR CAST({number} AS bigint) % 7 = 0' if c == emptied else ''}) AS n_nulls FROM {rows}"
+        for c in columns
+    )
+
+
 def _orphans(reference: str, child: str, column: str, parent: str, key: str) -> str:
     return (
         f"SELECT '{reference}' AS reference, c.{column} AS missing_key, count(*) AS n_rows"
@@ -341,6 +350,16 @@ ORACLES: dict[str, str] = {
             for name in ("clients", "accounts", "cards")
         )
     ),
+    "dq_null_keys_whole": _with(
+        "\nUNION ALL\n".join(
+            _whole_null_counts(*check)
+            for check in (
+                ("clients", "all_clients", "substr(client_id, 2)", "patronymic"),
+                ("accounts", "accounts", "account_num", "client"),
+                ("cards", "all_cards", "card_num", "account_num"),
+            )
+        )
+    ),
     "dq_orphans": _with(
         "\nUNION ALL\n".join(
             _orphans(*check)

@@ -284,6 +284,15 @@ def dq_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def dq_null_keys_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts over every row of the tables, none left out by its key."""
+    found = []
+    for name, snapshot in views.whole_snapshots(spark, sf_dir).items():
+        counts = quality.null_counts(snapshot, _TABLES[name].columns)
+        found.append(counts.withColumn("table_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, found)
+
+
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = (views.transactions, views.cards, views.accounts, views.clients)
     return quality.all_orphans(*(view(spark, sf_dir) for view in tables))
@@ -387,6 +396,7 @@ QUERIES: dict[str, Query] = {
     "nightly_report": nightly_report,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_null_keys": dq_null_keys,
+    "dq_null_keys_whole": dq_null_keys_whole,
     "dq_orphans": dq_orphans,
     "dq_overlength": dq_overlength,
     "dq_rejects": dq_rejects,

@@ -139,12 +139,16 @@ def before(whole: DataFrame, key: str) -> DataFrame:
 
 def after(whole: DataFrame, key: str, changed: str, emptied: str) -> DataFrame:
     """Its next snapshot: some keys gone, one attribute changed, one emptied."""
+    return altered(whole.where(f"{_number(key)} % 13 <> 0"), key, changed, emptied)
+
+
+def altered(whole: DataFrame, key: str, changed: str, emptied: str) -> DataFrame:
+    """Every row, one attribute changed and one emptied for some keys."""
     moved = dict(whole.dtypes)[changed] == "date"
     value = F.date_add(changed, 30) if moved else F.concat(changed, F.lit("x"))
     third, not_seventh = (F.expr(f"{_number(key)} % {test}") for test in ("3 = 0", "7 <> 0"))
     return (
-        whole.where(f"{_number(key)} % 13 <> 0")
-        .withColumn(changed, F.when(third, value).otherwise(F.col(changed)))
+        whole.withColumn(changed, F.when(third, value).otherwise(F.col(changed)))
         .withColumn(emptied, F.when(not_seventh, F.col(emptied)))
         .withColumn("create_dt", F.lit(RUN_DT))
     )
@@ -175,6 +179,16 @@ def snapshots(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, Da
     }
 
 
+def whole_snapshots(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The next snapshots of clients, accounts and cards with every row of the tables."""
+    people, contracts, plastic = (view(spark, sf_dir) for view in (all_clients, accounts, all_cards))
+    return {
+        "dim_clients": altered(people, "client_id", "passport_valid_to", "patronymic"),
+        "dim_accounts": altered(contracts, "account_num", "valid_to", "client"),
+        "dim_cards": altered(plastic, "card_num", "account_num", "account_num"),
+    }
+
+
 def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All transactions with the number of the load that brings them."""
     return transactions(spark, sf_dir).withColumn("load", load_of(F.col("trans_date")))

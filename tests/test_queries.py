@@ -60,6 +60,18 @@ def test_new_transaction_counts(spark, sf_dir, rows):
     assert insert_new(batch, held, "trans_id").count() == rows
 
 
+def test_null_counts_leave_out_no_row(spark):
+    rows = entry.queries()["dq_null_keys_whole"](spark, MIDDLE).collect()
+    found = {(r.table_name, r.column_name): r.n_nulls for r in rows}
+    people = [r.c_custkey for r in views.load(spark, MIDDLE, "customer").select("c_custkey").collect()]
+    plastic = [r.o_orderkey for r in views.load(spark, MIDDLE, "orders").select("o_orderkey").collect()]
+    assert found["dim_clients", "update_dt"] == found["dim_accounts", "update_dt"] == len(people)
+    assert found["dim_cards", "update_dt"] == len(plastic)
+    assert found["dim_clients", "patronymic"] == sum(k % 7 == 0 for k in people)
+    assert found["dim_accounts", "client"] == sum(k % 7 == 0 for k in people)
+    assert found["dim_cards", "account_num"] == sum(k % 7 == 0 for k in plastic)
+
+
 def test_terminal_changes(spark):
     dim, snapshot = views.snapshots(spark, MIDDLE)["dim_terminals"]
     changes = snapshot_diff(dim, snapshot, schemas.TERMINALS).groupBy("change").count()
