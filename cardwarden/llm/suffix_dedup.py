@@ -3,12 +3,16 @@
 A passage of ``MIN_WORDS`` words or more that occurs before (in a smaller id, or earlier in
 the same text) is cut out. Of all suffixes only those at minimisers are retained: positions
 whose 8 words hash lowest (all of them, if equal) within a passage's length, so equal passages retain equal
-positions. Sorted by those words, a suffix without an equal neighbour is let go. The others
-are extended to both sides at once: of every passage of ``MIN_WORDS`` words around such a
-minimiser, the hash is compared, and equal passages that touch or overlap form one span.
-
-Suffixes and passages are sorted by hashes and compared by grouping, so no group of equal
-ones, however large, meets in one task. Hashes of passages have 128 bits.
+positions. A suffix whose 8 words occur at no other retained position is let go. Of every
+passage of ``MIN_WORDS`` words around one of the others the hash is compared, and equal
+passages that touch or overlap form one span.
+
+Two steps of the usual method are replaced. Suffixes are not sorted and compared with their
+neighbours, but grouped by the hash of their 8 words; matches are not extended left and right,
+but every passage around a kept minimiser is grouped by its hash. A sort would put a large
+group of equal suffixes into one task, and an extension would compare its members in pairs;
+counts and minima of groups are combined before they are shuffled. Hashes of passages have
+128 bits.
 
 NULL, empty and short texts have no span. Copies of a text keep the one with the smallest
 id; of rows that repeat id and text all stay. Rows without an id come after all others.
