@@ -15,7 +15,8 @@ counts and minima of groups are combined before they are shuffled. Hashes of pas
 128 bits.
 
 NULL, empty and short texts have no span. Copies of a text keep the one with the smallest
-id; of rows that repeat id and text all stay. Rows without an id come after all others.
+id; of rows that repeat id and text one stays, by a row number fixed in a written table. Rows
+without an id come after all others.
 Empty tables give no rows. Extra columns are carried; names that clash with the columns added
 here are replaced.
 """
@@ -166,7 +167,7 @@ def merge_spans(starts, length: int) -> list[tuple[int, int]]:
 
 
 def repeated_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """Per distinct text with a span: ``key``, ``first`` (its smallest order) and ``spans``.
+    """Per distinct text with a span or copies: ``key`` and ``spans``.
 
     The spans are those of the row with the smallest id; further rows of a text repeat it whole.
     """
@@ -213,8 +214,7 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int =
 
     spans = again.select("key", merged("starts").alias("spans"))
     return firsts.join(spans, "key", "left").where("spans is not null or rows > 1").select(
-        "key", F.col("order").alias("first"),
-        F.coalesce("spans", F.array().cast(kind)).alias("spans"),
+        "key", F.coalesce("spans", F.array().cast(kind)).alias("spans")
     )
 
 
@@ -222,16 +222,19 @@ def with_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int = MIN_
     """``docs`` with ``n_words`` and ``spans``, the word spans that occur before."""
     found = written(repeated_spans(docs, id_column, min_words), "spans")
     kept = [name for name in docs.columns if name not in ("n_words", "spans")]
-    base = docs.select(
+    base = written(docs.select(
         F.struct(*(F.col(f"`{name}`") for name in kept)).alias("_row"),
         _text_key().alias("key"),
         F.coalesce(F.col(id_column).cast("long"), F.lit(_LAST)).alias("_order"),
         F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).alias("n_words"),
-    )
-    joined = base.join(found, "key", "left")
+        F.monotonically_increasing_id().alias("_number"),
+    ), "numbered")
+    place = F.struct("_order", "_number")
+    firsts = base.groupBy("key").agg(F.min(place).alias("first"))
+    joined = base.join(found.join(firsts, "key"), "key", "left")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").alias("end")))
     spans = F.when(
-        (F.col("_order") > F.col("first")) & (F.col("n_words") >= min_words), whole
+        (place > F.col("first")) & (F.col("n_words") >= min_words), whole
     ).otherwise(F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")))
     return joined.select("_row.*", "n_words", spans.alias("spans"))
 
@@ -261,10 +264,10 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", min_words: int =
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([cut_text(t, s) for t, s in zip(text, spans, strict=True)], dtype=object)
 
-    found = with_spans(docs.withColumn("_text", F.col("text")), id_column, min_words)
+    found = with_spans(docs, id_column, min_words)
     touched = F.size("spans") > 0
-    left = found.where(~touched).drop("spans", "n_words", "_text")
-    changed = found.where(touched).withColumn("text", cut(F.col("_text"), F.col("spans")))
+    left = found.where(~touched).drop("spans", "n_words")
+    changed = found.where(touched).withColumn("text", cut(F.col("text"), F.col("spans")))
     changed = changed.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     # A length column of the table follows its text.
     if "n_chars" in docs.columns:

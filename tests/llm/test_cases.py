@@ -189,6 +189,18 @@ def test_suffix_dedup(docs, nothing):
     assert suffix_dedup.with_spans(nothing).count() == 0
 
 
+def test_suffix_dedup_keeps_one_of_rows_alike(spark):
+    rows = [(None, words(11, 70))] * 9 + [(7, words(12, 70))] * 4 + [(8, words(13, 70))] + [(None, words(14, 20))] * 2
+    found = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spans = suffix_dedup.with_spans(found).collect()
+    assert len(spans) == len(rows)
+    assert sorted((r.doc_id or 0, len(r.spans)) for r in spans) == sorted(
+        [(0, 0)] * 3 + [(0, 1)] * 8 + [(7, 0)] + [(7, 1)] * 3 + [(8, 0)]
+    )
+    left = sorted(r.text for r in suffix_dedup.without_repeats(found).collect())
+    assert left == sorted([rows[0][1], rows[9][1], rows[13][1], rows[14][1], rows[14][1]])
+
+
 def test_suffix_dedup_against_brute_force(spark):
     found = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = sorted((r.doc_id, r.text) for r in found.select("doc_id", "text").collect())
