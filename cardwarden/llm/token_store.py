@@ -10,8 +10,9 @@ Tasks write under names of their own and report them; the reports are a table th
 commits, so a task that ran twice, or was lost, leaves at most a file no report names.
 
 NULL and empty texts are the end id alone. Rows repeating a key are records of their own,
-in the order of their texts' hashes, and are all found by their key. Rows without a key come first
-and can be read in order, but not by key. An empty table gives no shards and no rows. Other
+in the order of their texts' hashes, and are all found by their key: where they span shards, each
+of these has an entry for its part. Rows without a key come first, in as many shards as they
+fill, and can be read in order, but not by key. An empty table gives no shards and no rows. Other
 columns are ignored.
 """
 
@@ -140,11 +141,19 @@ def write_shards(
     """Write the shards; the table of them: shard, name, records, keyed, ids and ``start``."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("rows")).first()
     shards = max(1, -(-((size.n or 0) + 16 * size.rows) // shard_bytes))
+    # The row number, fixed in a written table, lets the rows of one key, or without one, span shards.
+    numbered = written(
+        docs.select(
+            F.col(id_column).alias("key"), F.col("text").cast("string").alias("text"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
+        "token-rows",
+    )
+    place = ("key", F.xxhash64("text"), "row")
     ordered = (
-        docs.select(F.col(id_column).alias("key"), F.col("text").cast("string").alias("text"))
-        .repartitionByRange(shards, "key")
-        .sortWithinPartitions("key", F.xxhash64("text"))
-        .withColumn("shard", F.spark_partition_id())
+        numbered.repartitionByRange(shards, *place)
+        .sortWithinPartitions(*place)
+        .select("key", "text", F.spark_partition_id().alias("shard"))
     )
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name, files, root = uuid.uuid4().hex, *_place(folder)

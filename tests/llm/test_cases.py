@@ -156,6 +156,25 @@ def test_token_store_round_trip(spark, docs, nothing, tmp_path):
     assert token_store.read_back(token_store.write_shards(nothing, empty), empty, "bigint").count() == 0
 
 
+def test_token_store_spreads_rows_of_one_key(spark, tmp_path):
+    rows = [(None, words(21, 20))] * 300 + [(5, words(22, 20))] * 300 + [(i, words(i, 20)) for i in range(6, 306)]
+    found = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    folder = str(tmp_path / "hot")
+    shards = token_store.write_shards(found, folder, shard_bytes=8_000)
+    told = shards.collect()
+    assert max(r.records for r in told) < 150
+    held = [token_store.Shard(folder, r.name) for r in told]
+    many = [int(shard.find(["5"])[1][0]) for shard in held]
+    assert sum(many) == 300 and sum(n > 0 for n in many) > 1
+    assert sum(r.unkeyed for r in told) == 300
+    back = token_store.read_back(shards, folder, "bigint").orderBy("start").collect()
+    assert [r.doc_id for r in back] == [None] * 300 + [5] * 300 + list(range(6, 306))
+    start = 0
+    for r in back:
+        assert r.start == start
+        start += r.n_tokens
+
+
 def test_perfect_hash_is_minimal():
     for n in (1, 2, 7, 5000):
         hashes, _ = token_store.key_hashes(range(n))
