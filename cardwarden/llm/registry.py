@@ -10,6 +10,7 @@ from cardwarden.llm import (
     quality_ledger,
     simhash,
     suffix_dedup,
+    target_sampling,
     token_store,
     top_k,
     url_filter,
@@ -26,9 +27,11 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_top_k": top_k.op9_top_k,
     "op10_quality_rules": quality_ledger.op10_quality_rules,
+    "op12_target_sampling": target_sampling.op12_target_sampling,
 }
 
 ORACLES = {
     "op1_url_filter": url_filter.OP1_SQL,
     "op10_quality_rules": quality_ledger.OP10_SQL,
+    "op12_target_sampling": target_sampling.OP12_SQL,
 }

@@ -1,0 +1,119 @@
+"""Target sampling: checksums and features against a plain loop, draws, odd rows."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from cardwarden.llm import target_sampling as ts
+from cardwarden.llm.common import written
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def plain_words(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain_runs(words, longest):
+    return [
+        " ".join(words[at : at + n])
+        for n in range(1, longest + 1)
+        for at in range(len(words) - n + 1)
+    ]
+
+
+def test_checksums_of_spans():
+    rng = np.random.default_rng(0)
+    data = rng.integers(0, 256, 5000).astype(np.uint8)
+    starts = rng.integers(0, 4000, 300)
+    ends = starts + rng.integers(1, 900, 300)
+    found = ts.checksums(data, starts, ends)
+    assert found.tolist() == [zlib.crc32(data[a:b].tobytes()) for a, b in zip(starts, ends)]
+    assert len(ts.checksums(data, [], [])) == 0
+
+
+@pytest.mark.parametrize("longest", [1, 2, 3])
+def test_features_of_cut_texts(monkeypatch, longest):
+    monkeypatch.setattr(ts, "_STEP", 200)
+    draw = random.Random(1)
+    texts = [None, "", "!!!", "a", "b c", "É é-Ü9 Z", "x" * 1000 + " " + "y" * 450, "q" * 200 + " r"]
+    texts += ["".join(draw.choice("abAB09 -_éЖ\n\x00") for _ in range(draw.choice([3, 50, 1500])))
+              for _ in range(40)]
+    for rows in (pa.array(texts), pa.array(texts).slice(4, 30)):
+        found, n_words = [[] for _ in rows], [0] * len(rows)
+        for at, _, (whose, buckets, word) in ts._read(rows, longest, 1 << 32):
+            for text, bucket in zip(whose, buckets):
+                found[at + text].append(int(bucket))
+            for text in word:
+                n_words[at + text] += 1
+        for text, buckets, n in zip(rows.to_pylist(), found, n_words):
+            words = plain_words(text)
+            assert n == len(words)
+            expected = sorted(zlib.crc32(run.encode()) for run in plain_runs(words, longest))
+            assert sorted(buckets) == expected
+
+
+ROWS = [(i, " ".join(f"w{(i * k) % 97}" for k in range(15 + i % 12))) for i in range(120)]
+ROWS += [(None, "a b c " * 9), (None, "a b c " * 9), (7, ROWS[7][1]), (500, None), (501, ""), (502, "?!")]
+ROWS += [(503, "z" * 3000 + " end " * 40), (504, "Wort Überall " * 30)]
+TARGET = [("w1 w2 w3 w1 w1",), ("überall",), (None,), ("",)]
+
+
+def plain(rows, target, longest, buckets, percent, min_words, seed=ts.SEED):
+    def found(text):
+        return [zlib.crc32(r.encode()) % buckets for r in plain_runs(plain_words(text), longest)]
+
+    own = Counter(b for _, text in rows for b in found(text))
+    wanted = Counter(b for (text,) in target for b in found(text))
+    own_total, wanted_total = sum(own.values()) + buckets, sum(wanted.values()) + buckets
+    gain = [math.floor(1000 * math.log((wanted[b] + 1) * own_total / ((own[b] + 1) * wanted_total)))
+            for b in range(buckets)]
+    result = []
+    for doc_id, text in rows:
+        n = found(text)
+        weight = sum(gain[b] for b in n) // len(n) if n else 0
+        name = f"{seed}:{'' if doc_id is None else doc_id}"
+        h = int(hashlib.sha256(name.encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        result.append([doc_id, len(n), weight, score, None, len(plain_words(text)) >= min_words])
+    able = [r for r in result if r[5]]
+    able.sort(key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for rank, row in enumerate(able[: percent * len(able) // 100], start=1):
+        row[4] = rank
+    return sorted((r[:5] for r in result), key=str)
+
+
+@pytest.mark.parametrize("longest, percent, min_words", [(1, 10, 20), (2, 45, 3), (1, 100, 0)])
+def test_draw_against_a_plain_loop(spark, longest, percent, min_words):
+    docs = written(spark.createDataFrame(ROWS, "doc_id long, text string").repartition(5), "ts")
+    clash = docs.withColumns({"score": F.lit("x"), "rank": F.lit(1), "id": F.lit(2), "weight": F.lit(0)})
+    target = spark.createDataFrame(TARGET, "text string")
+    gain = ts.gains(clash, target, longest, 50)
+    rows = ts.draw(ts.score(clash, gain, max_words=longest), percent=percent, min_words=min_words)
+    found = [[r.doc_id, r.n_features, r.weight, r.score, r["rank"]] for r in rows.collect()]
+    assert sorted(found, key=str) == plain(ROWS, TARGET, longest, 50, percent, min_words)
+
+
+def test_nothing_to_draw(spark):
+    docs = written(spark.createDataFrame(ROWS, "doc_id long, text string"), "ts-some")
+    none = written(docs.limit(0), "ts-none")
+    assert ts.draw(ts.score(none, ts.gains(none, none))).count() == 0
+    gain = ts.gains(docs, none)
+    rows = ts.draw(ts.score(docs, gain), percent=0)
+    assert rows.where("rank is not null").count() == 0
+    assert rows.count() == len(ROWS)
+
+
+def test_rows_of_one_id_are_all_ranked(spark):
+    found = spark.range(4000).selectExpr("cast(null as long) as doc_id", "repeat('a b ', 20) as text")
+    docs = written(found.repartition(6), "ts-hot")
+    drawn = ts.draw(ts.score(docs, ts.gains(docs, docs)), percent=30).where("rank is not null")
+    assert sorted(r["rank"] for r in drawn.collect()) == list(range(1, 1201))
