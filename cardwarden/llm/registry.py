@@ -9,6 +9,7 @@ from cardwarden.llm import (
     packing,
     quality_ledger,
     simhash,
+    source_divergence,
     suffix_dedup,
     target_sampling,
     token_store,
@@ -28,10 +29,12 @@ QUERIES = {
     "op9_top_k": top_k.op9_top_k,
     "op10_quality_rules": quality_ledger.op10_quality_rules,
     "op12_target_sampling": target_sampling.op12_target_sampling,
+    "op13_source_divergence": source_divergence.op13_source_divergence,
 }
 
 ORACLES = {
     "op1_url_filter": url_filter.OP1_SQL,
     "op10_quality_rules": quality_ledger.OP10_SQL,
     "op12_target_sampling": target_sampling.OP12_SQL,
+    "op13_source_divergence": source_divergence.OP13_SQL,
 }
