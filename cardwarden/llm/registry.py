@@ -11,6 +11,7 @@ from cardwarden.llm import (
     simhash,
     source_divergence,
     suffix_dedup,
+    superminhash,
     target_sampling,
     token_store,
     top_k,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_top_k": top_k.op9_top_k,
     "op10_quality_rules": quality_ledger.op10_quality_rules,
+    "op11_superminhash": superminhash.op11_superminhash,
     "op12_target_sampling": target_sampling.op12_target_sampling,
     "op13_source_divergence": source_divergence.op13_source_divergence,
 }
@@ -35,6 +37,7 @@ QUERIES = {
 ORACLES = {
     "op1_url_filter": url_filter.OP1_SQL,
     "op10_quality_rules": quality_ledger.OP10_SQL,
+    "op11_superminhash": superminhash.OP11_SQL,
     "op12_target_sampling": target_sampling.OP12_SQL,
     "op13_source_divergence": source_divergence.OP13_SQL,
 }
