@@ -22,8 +22,9 @@ import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
-from operator import itemgetter
+from itertools import chain, repeat
+from operator import ne
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,14 @@ from cardwarden.llm.common import table, written
 
 MIN_DOCS = 3
 TOP_TERMS = 200
-BLOCK_POSTINGS = 250_000
+BLOCK_POSTINGS = 800_000
 # Pairs of postings compared at a time; bytes of text split at a time.
 _PAIRS = 1 << 20
 _TEXT = 1 << 22
 # Terms of a group are ranked in so many parts first.
 _PARTS = 64
+# Rows a merge returns at a time.
+_ROWS = 1 << 16
 
 # Terms consist of the letters A to Z, lower-cased, and all that is not ASCII.
 _LETTERS = bytearray(b" " * 128 + bytes(range(128, 256)))
@@ -47,10 +50,10 @@ _LETTERS[0x41:0x5B] = _LETTERS[0x61:0x7B] = bytes(range(0x61, 0x7B))
 _LETTERS = bytes(_LETTERS)
 
 _RUN = (
-    "shard int, segment array<struct<lang:string,term:string,sources:array<string>,"
-    "n:array<bigint>,docs:array<bigint>>>"
+    "shard int, lang string, names array<string>, terms string, per_term array<int>,"
+    " source array<int>, n array<long>, docs array<long>"
 )
-_FREQUENCY = "lang string, term string, total long, postings array<struct<source:string,n:bigint>>"
+_FREQUENCY = "lang string, term string, first boolean, total long, source string, n long"
 
 
 def _terms(text: str) -> Iterator[list[bytes]]:
@@ -87,35 +90,63 @@ class _Block:
         self.held += len(docs) - before
 
     def run(self, shards: int) -> pa.RecordBatch:
-        """The block as one row per shard, sorted by language and term within."""
-        entries: dict[tuple[str, bytes], list] = {}
-        for (lang, source), (counts, docs) in self.groups.items():
-            for term in counts.keys() | docs.keys():
-                posting = (source, counts[term], docs[term])
-                entries.setdefault((lang, term), []).append(posting)
-        placed = sorted(
-            (zlib.crc32(term, zlib.crc32(lang.encode("utf-8", "replace"))) % shards, lang, term)
-            for lang, term in entries
-        )
-        postings = [entries[lang, term] for _, lang, term in placed]
-        ends = np.cumsum([0, *map(len, postings)]).astype(np.int32)
-        flat = [posting for held in postings for posting in held]
-        columns = [pa.array([lang for _, lang, _ in placed], pa.string()),
-                   pa.array([term.decode("utf-8", "replace") for *_, term in placed], pa.string())]
-        for at, kind in enumerate((pa.string(), pa.int64(), pa.int64())):
-            values = pa.array([posting[at] for posting in flat], kind)
-            columns.append(pa.ListArray.from_arrays(ends, values))
-        rows = pa.StructArray.from_arrays(columns, ["lang", "term", "sources", "n", "docs"])
-        shard, starts = np.unique([at for at, *_ in placed], return_index=True)
-        starts = np.append(starts, len(placed)).astype(np.int32)
-        segments = pa.ListArray.from_arrays(starts, rows)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(shard, pa.int32()), segments], ["shard", "segment"]
-        )
+        """The block as one row per shard and language, whose terms are sorted.
+
+        A row lists the postings of its terms one after another, ``per_term`` of each.
+        """
+        by_lang: dict[str, list] = {}
+        for (lang, source), held in self.groups.items():
+            by_lang.setdefault(lang, []).append((source, *held))
+        batches = []
+        for lang, groups in by_lang.items():
+            names, terms, n, docs, whose = [], [], [], [], []
+            for source, counts, with_term in groups:
+                for term in with_term.keys() - counts.keys():
+                    counts[term] = 0
+                terms.extend(counts)
+                n.append(np.fromiter(counts.values(), np.int64, len(counts)))
+                found = map(with_term.__getitem__, counts)
+                docs.append(np.fromiter(found, np.int64, len(counts)))
+                whose.append(np.full(len(counts), len(names), np.int32))
+                names.append(source)
+            if not terms:
+                continue
+            coded = pa.array(terms, pa.binary()).dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            code = np.asarray(coded.indices)
+            shard = np.fromiter(map(zlib.crc32, distinct), np.int64, len(distinct)) % shards
+            place = np.empty(len(distinct), np.int64)
+            place[sorted(range(len(distinct)), key=distinct.__getitem__)] = np.arange(len(distinct))
+            order = np.lexsort((place[code], shard[code]))
+            code, whose = code[order], np.concatenate(whose)[order]
+            n, docs = np.concatenate(n)[order], np.concatenate(docs)[order]
+            begins = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+            many = np.diff(np.append(begins, len(code))).astype(np.int32)
+            shard = shard[code[begins]]
+            edges = np.append(np.flatnonzero(np.append(True, np.diff(shard) != 0)), len(begins))
+            sorted_terms = [distinct[at] for at in code[begins]]
+            joined = [b" ".join(sorted_terms[at:to]) for at, to in zip(edges, edges[1:])]
+            cuts = np.append(begins, len(code))[edges].astype(np.int32)
+            rows = len(joined)
+            batches.append(pa.RecordBatch.from_arrays(
+                [
+                    pa.array(shard[edges[:-1]], pa.int32()),
+                    pa.array([lang] * rows, pa.string()),
+                    pa.array([names] * rows, pa.list_(pa.string())),
+                    pa.array(joined, pa.binary()).cast(pa.string()),
+                    pa.ListArray.from_arrays(edges.astype(np.int32), pa.array(many)),
+                    *(pa.ListArray.from_arrays(cuts, pa.array(v)) for v in (whose, n, docs)),
+                ],
+                ["shard", "lang", "names", "terms", "per_term", "source", "n", "docs"],
+            ))
+        return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
 def runs(texts: DataFrame, shards: int, block_postings: int = BLOCK_POSTINGS) -> DataFrame:
-    """Term-sorted runs of ``lang``, ``source``, ``text``: one row per run and shard."""
+    """Term-sorted runs of ``lang``, ``source``, ``text``: a row per run, shard and language.
+
+    Terms hold no space, so a row joins them by spaces.
+    """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block()
@@ -135,17 +166,44 @@ def runs(texts: DataFrame, shards: int, block_postings: int = BLOCK_POSTINGS) ->
     return texts.select("lang", "source", "text").mapInArrow(index, _RUN)
 
 
-def _merged(segments: list) -> Iterator[tuple]:
-    """Sorted segments merged over a heap: key and [occurrences, documents] per source."""
-    merged = heapq.merge(*segments, key=itemgetter(0))
-    for key, same in groupby(merged, key=itemgetter(0)):
-        total: dict[str, list[int]] = {}
-        for _, postings in same:
-            for source, n, docs in postings:
-                held = total.setdefault(source, [0, 0])
-                held[0] += n
-                held[1] += docs
-        yield key, [(source, *sums) for source, sums in total.items()]
+class _Segment(NamedTuple):
+    """Sorted terms, and the postings of each one after another: source, n, docs."""
+
+    terms: list[str]
+    per_term: np.ndarray
+    source: np.ndarray
+    n: np.ndarray
+    docs: np.ndarray
+
+
+def merged(segments: list[_Segment]) -> _Segment:
+    """Segments merged over a heap of their terms; postings of a term and source added up."""
+    if len(segments) == 1:
+        return segments[0]
+    heads = (zip(s.terms, repeat(at), range(len(s.terms))) for at, s in enumerate(segments))
+    keys, which, at = zip(*heapq.merge(*heads))
+    starts = np.cumsum([0, *(len(s.terms) for s in segments[:-1])])
+    entry = starts[np.array(which)] + np.array(at)
+    begins = np.fromiter(chain([True], map(ne, keys[1:], keys)), bool, len(keys))
+    per_term = np.concatenate([s.per_term for s in segments]).astype(np.int64)
+    first, many = (np.cumsum(per_term) - per_term)[entry], per_term[entry]
+    places = np.arange(int(many.sum())) + np.repeat(first - (np.cumsum(many) - many), many)
+    term = np.repeat(np.cumsum(begins) - 1, many)
+    source, n, docs = (
+        np.concatenate(column)[places] for column in list(zip(*segments))[2:]
+    )
+    order = np.lexsort((source, term))
+    term, source = term[order], source[order]
+    edge = np.flatnonzero(
+        np.append(True, (term[1:] != term[:-1]) | (source[1:] != source[:-1]))
+    )
+    return _Segment(
+        [keys[at] for at in np.flatnonzero(begins)],
+        np.bincount(term[edge], minlength=int(begins.sum())),
+        source[edge],
+        np.add.reduceat(n[order], edge),
+        np.add.reduceat(docs[order], edge),
+    )
 
 
 def frequencies(
@@ -154,41 +212,60 @@ def frequencies(
     min_docs: int = MIN_DOCS,
     block_postings: int = BLOCK_POSTINGS,
 ) -> DataFrame:
-    """Kept terms per language: ``total`` occurrences and ``postings`` per source."""
+    """One row per kept term of a language and source that holds it.
+
+    ``n`` are its occurrences there and ``total`` those in the language; ``first`` is true in
+    one row of each term.
+    """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments, waiting, bound = [], 0, block_postings
+        names: dict[str, int] = {}
+        segments: dict[str, list[_Segment]] = {}
+        waiting, bound = 0, block_postings
         for batch in batches:
-            for row in batch.column("segment"):
-                segment = [
-                    ((entry["lang"], entry["term"].encode()),
-                     list(zip(entry["sources"], entry["n"], entry["docs"])))
-                    for entry in row.as_py()
-                ]
-                segments.append(segment)
-                waiting += sum(len(postings) for _, postings in segment)
-                if waiting > bound:
-                    # What is merged shrinks to one posting per term and source; the bound
-                    # follows it, so that merging again costs no more than reading did.
-                    segments = [list(_merged(segments))]
-                    waiting = sum(len(postings) for _, postings in segments[0])
-                    bound = max(block_postings, 2 * waiting)
-        rows = []
-        for (lang, term), postings in _merged(segments):
-            if sum(docs for *_, docs in postings) >= min_docs:
-                held = [{"source": source, "n": n} for source, n, _ in postings if n]
-                rows.append((lang, term.decode(), sum(n for _, n, _ in postings), held))
-            if len(rows) >= 4096:
-                yield frequency_rows(rows)
-                rows = []
-        if rows:
-            yield frequency_rows(rows)
-
-    def frequency_rows(rows: list) -> pa.RecordBatch:
-        posting = pa.list_(pa.struct([("source", pa.string()), ("n", pa.int64())]))
-        kinds = (pa.string(), pa.string(), pa.int64(), posting)
-        columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "term", "total", "postings"])
+            for row in range(batch.num_rows):
+                lang, own, terms, *columns = (
+                    batch.column(name)[row]
+                    for name in ("lang", "names", "terms", "per_term", "source", "n", "docs")
+                )
+                codes = np.array([names.setdefault(name, len(names)) for name in own.as_py()])
+                per_term, source, n, docs = (column.values.to_numpy() for column in columns)
+                held = _Segment(terms.as_py().split(" "), per_term, codes[source], n, docs)
+                segments.setdefault(lang.as_py(), []).append(held)
+                waiting += len(n)
+            if waiting > bound:
+                # What is merged shrinks to one posting per term and source; the bound
+                # follows it, so that merging again costs no more than reading did.
+                segments = {lang: [merged(held)] for lang, held in segments.items()}
+                waiting = sum(len(held[0].n) for held in segments.values())
+                bound = max(block_postings, 2 * waiting)
+        for lang, held in segments.items():
+            for part in frequency_rows(lang, merged(held), pa.array(names, pa.string())):
+                yield part
+
+    def frequency_rows(lang: str, held: _Segment, names: pa.Array) -> Iterator[pa.RecordBatch]:
+        begins = np.cumsum(held.per_term) - held.per_term
+        keep = np.add.reduceat(held.docs, begins) >= min_docs
+        total = np.add.reduceat(held.n, begins)
+        term = np.repeat(np.arange(len(begins)), held.per_term)
+        rows = np.flatnonzero(keep[term] & (held.n > 0))
+        term = term[rows]
+        first = np.append(True, term[1:] != term[:-1])[: len(term)]
+        terms = pa.array(held.terms, pa.string())
+        for at in range(0, len(rows), _ROWS):
+            part = slice(at, at + _ROWS)
+            size = len(rows[part])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * size, pa.string()),
+                    terms.take(pa.array(term[part])),
+                    pa.array(first[part]),
+                    pa.array(total[term[part]]),
+                    names.take(pa.array(held.source[rows[part]])),
+                    pa.array(held.n[rows[part]]),
+                ],
+                ["lang", "term", "first", "total", "source", "n"],
+            )
 
     spilled = runs(texts, shards, block_postings)
     return spilled.repartition(shards, "shard").mapInArrow(merge, _FREQUENCY)
@@ -310,14 +387,13 @@ def divergence(
     texts = docs.select(
         *(F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n) for n in ("lang", "source", "text"))
     )
-    # Counted without reading a column: as many shards as the input has parts, or a few more.
+    # Counted without reading a column: as many shards as the input has parts.
     parts = docs.select(F.spark_partition_id().alias("part")).distinct().count()
     kept = written(
-        frequencies(texts, max(16, 4 * parts), min_docs, block_postings), "term-frequencies"
+        frequencies(texts, max(16, parts), min_docs, block_postings), "term-frequencies"
     )
-    postings = kept.select("lang", "term", "total", F.inline("postings"))
-    sizes = postings.groupBy("lang", "source").agg(F.sum("n").alias("n"))
-    langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_n"))
+    sizes = kept.groupBy("lang", "source").agg(F.sum("n").alias("n"))
+    langs = kept.groupBy("lang").agg(F.count_if("first").alias("v"), F.sum("n").alias("lang_n"))
     groups = written(
         texts.select("lang", "source").distinct()
         .join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
@@ -328,7 +404,7 @@ def divergence(
         .withColumn("zero", F.when(F.col("v") > 0, share("0", "size"))),
         "source-groups",
     )
-    held = postings.join(groups, ["lang", "source"]).withColumn("p", share("n", "size"))
+    held = kept.join(groups, ["lang", "source"]).withColumn("p", share("n", "size"))
 
     pair = ["lang", "source", "item"]
     by_share = held.groupBy("lang", "source", "zero", "p").agg(F.count("*").alias("terms"))

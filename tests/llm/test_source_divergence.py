@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -83,21 +84,30 @@ def test_runs_are_sorted_and_sharded():
     block = sd._Block()
     for source in ("b", "a"):
         block.add("en", source, [b"m", b"c", b"m", b"z", b"a"])
-        block.add_document("en", source, {b"m", b"c", b"z", b"a"})
+        block.add_document("en", source, {b"m", b"c", b"z", b"a", source.encode() * 2})
     run = block.run(3).to_pylist()
     assert [r["shard"] for r in run] == sorted({r["shard"] for r in run})
-    terms = [[e["term"] for e in r["segment"]] for r in run]
-    assert all(t == sorted(t) for t in terms) and sorted(sum(terms, [])) == ["a", "c", "m", "z"]
-    posting = next(e for r in run for e in r["segment"] if e["term"] == "m")
-    assert sorted(zip(posting["sources"], posting["n"], posting["docs"])) == [("a", 2, 1), ("b", 2, 1)]
+    found = []
+    for r in run:
+        terms = r["terms"].split(" ")
+        assert terms == sorted(terms) and len(terms) == len(r["per_term"])
+        each = [t for t, many in zip(terms, r["per_term"]) for _ in range(many)]
+        found += zip(each, [r["names"][at] for at in r["source"]], r["n"], r["docs"])
+    one = [("c", 1, 1), ("a", 1, 1), ("m", 2, 1), ("z", 1, 1)]
+    expected = [(t, source, n, d) for source in "ab" for t, n, d in one]
+    assert sorted(found) == sorted([*expected, ("aa", "a", 0, 1), ("bb", "b", 0, 1)])
 
 
 def test_merging_adds_up_postings():
-    one = [(("en", b"a"), [("s", 1, 1)]), (("en", b"c"), [("s", 2, 1)])]
-    two = [(("en", b"a"), [("t", 5, 2), ("s", 1, 1)])]
-    assert list(sd._merged([one, two])) == [
-        (("en", b"a"), [("s", 2, 2), ("t", 5, 2)]), (("en", b"c"), [("s", 2, 1)])
-    ]
+    def segment(terms, *columns):
+        return sd._Segment(terms, *(np.array(column) for column in columns))
+
+    one = segment(["a", "c"], [1, 2], [0, 0, 3], [1, 2, 4], [1, 1, 1])
+    two = segment(["a", "b"], [2, 1], [1, 0, 0], [5, 1, 7], [2, 1, 1])
+    held = sd.merged([one, two, one])
+    assert held.terms == ["a", "b", "c"] and held.per_term.tolist() == [2, 1, 2]
+    assert held.source.tolist() == [0, 1, 0, 0, 3]
+    assert held.n.tolist() == [3, 5, 7, 4, 8] and held.docs.tolist() == [3, 2, 1, 2, 2]
 
 
 def test_terms_of_cut_texts(monkeypatch):
