@@ -10,9 +10,11 @@ def parse_day(text: Column) -> Column:
     """Day of `2021-03-01`, `2021-3-1` or `2021-03-01 10:11:12`; NULL for any other form.
 
     The text-to-date cast drops the time of day, but also takes a lone year or month and
-    years of more digits, so the form is tested first.
+    years of more digits, so the places of the two dashes are tested first.
     """
-    return F.when(F.rlike(text, F.lit(r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T].*)?\s*$")), text.try_cast("date"))
+    bare = F.ltrim(text, F.lit(" \t\n\x0b\f\r"))
+    dashes = (F.locate("-", bare) == 5) & F.locate("-", bare, 6).between(7, 8)
+    return F.when(dashes, text.try_cast("date"))
 
 
 def parse_listed_day(text: Column) -> Column:
@@ -35,6 +37,12 @@ def file_day(name: Column) -> Column:
     return F.try_to_date(F.regexp_extract(name, r"(\d{8})(?:\.[^.]+)+$", 1), "ddMMyyyy")
 
 
+def load_order(path: Column) -> Column:
+    """Orders files as they are loaded: by the day in the name, then by name."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return F.concat_ws(" ", F.date_format(file_day(name), "yyyy-MM-dd"), name)
+
+
 def full_name(last: Column, first: Column, patronymic: Column) -> Column:
     """NULL as soon as one part is NULL, unlike concat_ws."""
     return F.concat(last, F.lit(" "), first, F.lit(" "), patronymic)

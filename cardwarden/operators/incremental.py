@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KeyRange = tuple[str, str] | None
+# Column that tells the files of a batch apart, in the order in which they would be loaded.
+LOAD_ORDER = "load_order"
+# Keys of a batch that a scan of the target is told one by one. Spark turns them into nested
+# comparisons, so there must not be too many.
+FEW_KEYS = 256
 
 
 def insert_new(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -50,15 +54,17 @@ def insert_new_in_order(batches: DataFrame, key: str, order: str) -> DataFrame:
     return kept.unionByName(unkeyed)
 
 
-def key_range(batch: DataFrame, key: str) -> KeyRange:
-    """Lowest and highest key of a written batch, None if it has no key. Runs a job."""
-    low, high = batch.agg(F.min(key), F.max(key)).first()
-    return None if low is None else (low, high)
+def possible_matches(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The target rows that a written batch can match, by a filter that reaches the scan.
 
-
-def in_range(target: DataFrame, key: str, keys: KeyRange) -> DataFrame:
-    """The only target rows a batch with this key range can match.
-
-    Two comparisons with constants reach the Parquet scan, where a join's keys do not.
+    A join's keys do not reach the Parquet scan, a comparison with constants does. The keys
+    of a small batch are listed, so that row groups are skipped by their Bloom filters,
+    however the keys lie; those of a large one are given as a range, for the statistics of
+    keys that grow over time. Brings at most ``FEW_KEYS`` keys and one to the driver.
     """
-    return target.where(F.lit(False) if keys is None else F.col(key).between(*keys))
+    held = batch.where(F.col(key).isNotNull()).select(key)
+    keys = [row[0] for row in held.distinct().limit(FEW_KEYS + 1).collect()]
+    if len(keys) <= FEW_KEYS:
+        return target.where(F.col(key).isin(keys) if keys else F.lit(False))
+    low, high = held.agg(F.min(key), F.max(key)).first()
+    return target.where(F.col(key).between(low, high))

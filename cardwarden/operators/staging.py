@@ -43,9 +43,12 @@ def stage_transactions(
     return raw.select(*_limited(typed, schemas.TRANSACTIONS, enforce_lengths), *carried)
 
 
-def stage_blacklist(raw: DataFrame, enforce_lengths: bool = True) -> DataFrame:
+def stage_blacklist(
+    raw: DataFrame, *carried: Column, enforce_lengths: bool = True
+) -> DataFrame:
+    """Typed blacklist entries, followed by any further columns asked for."""
     typed = _parsed(schemas.BLACKLIST)
-    return raw.select(*_limited(typed, schemas.BLACKLIST, enforce_lengths))
+    return raw.select(*_limited(typed, schemas.BLACKLIST, enforce_lengths), *carried)
 
 
 def stage_terminals(raw: DataFrame, run_dt: date, enforce_lengths: bool = True) -> DataFrame:

@@ -64,10 +64,10 @@ def passport_rule(
     the one row that every client has.
     """
     expires = F.coalesce(F.col("valid_to"), F.lit(NEVER_EXPIRES))
-    spans = _listing_spans(blacklist)
+    people = _person(clients).withColumn("_listed_as", _listed_as())
+    spans = _listing_spans(blacklist).withColumnRenamed("passport", "_passport")
     return (
-        _person(clients)
-        .join(spans, "passport", "left")
+        people.join(spans, _same_passport(), "left")
         .select(
             *_PERSON,
             F.greatest(expires, F.col("listed_dt")).alias("after_dt"),
@@ -80,10 +80,10 @@ def passport_rule(
 
 def passport_rule_once(clients: DataFrame, blacklist: DataFrame) -> DataFrame:
     """The stricter reading: expired or listed passport, each transaction reported once."""
-    listed = _entries(blacklist).groupBy("passport").agg(F.min("entry_dt").alias("listed_dt"))
+    people = _person(clients).withColumn("_listed_as", _listed_as())
+    entries = _entries(blacklist).groupBy("passport").agg(F.min("entry_dt").alias("listed_dt"))
     return (
-        _person(clients)
-        .join(listed, "passport", "left")
+        people.join(entries.withColumnRenamed("passport", "_passport"), _same_passport(), "left")
         .select(
             *_PERSON,
             F.least("valid_to", "listed_dt").alias("after_dt"),
@@ -114,13 +114,18 @@ def watch_list(
     if horizon is None:
         spans = spans.where(F.col("after_dt").isNotNull() | F.col("ended_dt").isNotNull())
     else:
-        day = F.lit(horizon)
-        spans = spans.where((F.col("after_dt") < day) | (F.col("ended_dt") < day))
+        spans = opened_before(spans, horizon)
     return (
         cards.select("card_num", "account_num").join(spans, "account_num").select(*WATCH_COLUMNS)
     )
 
 
+def opened_before(spans: DataFrame, horizon: date) -> DataFrame:
+    """The spans that a transaction of the horizon's day or earlier can fall into."""
+    day = F.lit(horizon)
+    return spans.where((F.col("after_dt") < day) | (F.col("ended_dt") < day))
+
+
 def fraud_events(transactions: DataFrame, watch: DataFrame, report_dt: date | Column) -> DataFrame:
     """Report rows. ``report_dt`` is one day for all, or an expression over the transactions.
 
@@ -156,6 +161,18 @@ def _person(clients: DataFrame) -> DataFrame:
     )
 
 
+def _listed_as() -> Column:
+    """What a client is looked up by: the passport, or the client without one.
+
+    NULLs would all be shuffled to one task; this spreads them like any other key.
+    """
+    return F.coalesce("passport", "client_id")
+
+
+def _same_passport() -> Column:
+    return (F.col("_listed_as") == F.col("_passport")) & F.col("passport").isNotNull()
+
+
 def _entries(blacklist: DataFrame) -> DataFrame:
     """Entries that can match: an entry without passport or day never does."""
     return blacklist.where(

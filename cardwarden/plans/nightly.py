@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 from itertools import chain, count
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from cardwarden import schemas
+from cardwarden.functions.parsing import load_order
 from cardwarden.operators import staging
-from cardwarden.operators.incremental import insert_new, key_range
+from cardwarden.operators.incremental import (
+    LOAD_ORDER,
+    insert_new,
+    insert_new_in_order,
+    possible_matches,
+)
 from cardwarden.operators.scd1 import scd1_merge
 from cardwarden.plans import fraud
-from cardwarden.plans.warehouse import Warehouse
+from cardwarden.plans.warehouse import ConcurrentRun, Run, Warehouse, settle
 from cardwarden.schemas import Table
 from cardwarden.session import tune
-from cardwarden.sources.delimited import read_transactions
-from cardwarden.sources.drops import day_in, drop_files, feed_in
+from cardwarden.sources.delimited import read_sheet, read_transactions
+from cardwarden.sources.drops import ARCHIVED, DroppedFile, day_in, drop_files, feed_in
 from cardwarden.sources.workbook import read_workbooks
 
 
@@ -57,13 +65,15 @@ def run_batch(
     report_dt: date,
     history: str = "all",
     allow_empty_snapshot: bool = True,
-    files: Sequence[str] = (),
+    files: Sequence[DroppedFile] = (),
 ) -> bool:
     """Load and report one day; False, and nothing done, without a transaction feed.
 
     Rows are new if no other published run holds their key, earlier or later, so a late or
-    repeated run doubles nothing. ``files`` names the dropped files the feeds come from;
-    they count as loaded once the run is published.
+    repeated run doubles nothing. A feed with a column ``load_order`` counts as several
+    files loaded in that order. ``files`` are the dropped files the feeds come from; they
+    count as loaded once the run is published. If another run is published while this one
+    works, it fails with ``ConcurrentRun`` and leaves nothing visible.
 
     ``history="all"`` judges every transaction ever loaded, so each report repeats the
     earlier ones with today's dimensions. ``history="new"`` judges only the run's own
@@ -75,16 +85,18 @@ def run_batch(
     if feeds.transactions is None:
         return False
     spark = tune(warehouse.spark)
-    past, others = warehouse.state(before=run_id), warehouse.state(without=run_id)
-    run = warehouse.begin(run_id, files)
-    run.report_dt = report_dt
+    state = warehouse.state()
+    past, others = state.before(run_id), state.without(run_id)
+    run = warehouse.begin(run_id, files, state)
+    run.report_days.add(report_dt)
 
     def append(table: Table, feed: DataFrame | None) -> DataFrame:
         if feed is None:
             return spark.createDataFrame([], table.schema)
-        staged = run.stage(table.name, feed.select(*table.columns))
-        known = others.fact_between(table, key_range(staged, table.key))
-        return run.write_fact(table, insert_new(staged, known, table.key))
+        fresh = new_rows(run, table, feed, others.table(table))
+        if table is schemas.TRANSACTIONS:
+            return run.write_transactions(fresh)
+        return run.write(table, fresh)
 
     def merge(table: Table, snapshot: DataFrame | None) -> DataFrame:
         if snapshot is None:
@@ -130,6 +142,24 @@ def run_batch(
     return True
 
 
+def new_rows(
+    run: Run, table: Table, feed: DataFrame, known: DataFrame, *carried: str
+) -> DataFrame:
+    """The rows of a feed that are new to a fact, with further columns asked for.
+
+    A feed of several files has a column ``load_order``: they count as loaded one after
+    another, so the first file that brings a key wins, and rows sharing a key within that
+    file all pass. The feed is written first: its files are read once, and its size is known
+    when it is joined.
+    """
+    columns = [*table.columns, *carried]
+    if LOAD_ORDER in feed.columns:
+        several = run.stage(f"{table.name}_files", feed.select(*columns, LOAD_ORDER))
+        feed = insert_new_in_order(several, table.key, LOAD_ORDER)
+    staged = run.stage(table.name, feed.select(*columns))
+    return insert_new(staged, possible_matches(known, staged, table.key), table.key)
+
+
 def append_report_once(report: DataFrame, events: DataFrame) -> DataFrame:
     """Events whose report day the report does not hold yet.
 
@@ -141,14 +171,23 @@ def append_report_once(report: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def current_watch(warehouse: Warehouse) -> DataFrame:
-    """The watch list of the newest dimensions, for judging transactions as they stream in."""
+    """The watch list of the newest dimensions, for judging transactions as they stream in.
+
+    It is written once for each state of the dimensions and the blacklist. Two who build the
+    same one at a time write two folders, of which either may be read.
+    """
     state = warehouse.state()
+    folder = f"{warehouse.root}/_watch/{state.dimension_key()}"
+    for held in warehouse.shared.entries(folder):
+        if warehouse.shared.exists(f"{held.path}/_SUCCESS"):
+            return warehouse.spark.read.parquet(held.path)
     people, entries = state.table(schemas.CLIENTS), state.table(schemas.BLACKLIST)
-    return fraud.watch_list(
+    watch = fraud.watch_list(
         state.table(schemas.CARDS),
         state.table(schemas.ACCOUNTS),
         fraud.both_rules(people, entries),
     )
+    return settle(watch.hint("rebalance"), f"{folder}/{uuid.uuid4().hex}")
 
 
 def run_drop(
@@ -158,31 +197,76 @@ def run_drop(
     history: str = "all",
     allow_empty_snapshot: bool = True,
     keep_rejects: bool = False,
+    archive: str | None = None,
+    enforce_lengths: bool = True,
+    retries: int = 3,
 ) -> list[date]:
     """Load every waiting file of a drop folder, one run for each day with transactions.
 
-    A file waits until the manifest names it, whatever its day: a second or late file for a
-    day that has been run gets a run of its own. Days are taken in order. Blacklists and
-    terminals go with the first run that is not of an earlier day, so those of a day without
-    transactions are carried on; of several terminal snapshots the newest day's counts, and
-    none older than the one loaded last. A file without a readable day fails the call before
-    anything is loaded.
+    A file waits until the manifest holds it by name, size and time of change, so a second
+    or late file for a day that has been run gets a run of its own, and so does new content
+    under an old name. Days are taken in order, files of a day in the order of their names:
+    of a key that several files bring the first one counts. Blacklists and terminals go with
+    the first run that is not of an earlier day, so those of a day without transactions are
+    carried on; of several terminal snapshots the newest counts, and none of a day before
+    the one loaded last. A file without a readable day fails the call before anything is
+    loaded.
 
     ``bank`` holds the pulled client, account and card tables. They are the bank's state of
     now; the first run merges them, and all later ones, being published later, start from
     there. A transaction line that cannot be typed fails the run; with ``keep_rejects`` it
     goes into the rejects table and the other lines are loaded.
+
+    ``archive`` is a folder loaded files are moved to, which may be the drop folder itself;
+    their names get an extension that keeps them from being listed. A file is moved after
+    its run is published. If the job dies in between, the next one moves it without loading
+    it again.
+
+    Should another run publish meanwhile, the files still waiting are looked up once more
+    and loaded on top of it, up to ``retries`` times.
     """
+    ran: list[date] = []
+    while True:
+        try:
+            for day in _run_waiting(
+                warehouse, folder, {} if ran else bank, history, allow_empty_snapshot,
+                keep_rejects, archive, enforce_lengths,
+            ):
+                ran.append(day)
+                bank = {}
+            return ran
+        except ConcurrentRun:
+            if not retries:
+                raise
+            retries -= 1
+
+
+def _run_waiting(
+    warehouse: Warehouse,
+    folder: str,
+    bank: dict[str, DataFrame],
+    history: str,
+    allow_empty_snapshot: bool,
+    keep_rejects: bool,
+    archive: str | None,
+    enforce_lengths: bool,
+) -> Iterator[date]:
     spark = warehouse.spark
     state = warehouse.state()
     loaded, taken = state.files(), {run.run_id for run in state.runs}
-    # File names only: a few per day.
-    waiting = [f for f in drop_files(spark, folder).collect() if f.file_name not in loaded]
+    waiting = []
+    # A few files per day, while loaded ones are archived.
+    for file in drop_files(spark, folder).collect():
+        if _identity(file) not in loaded:
+            waiting.append(file)
+        elif archive:
+            _put_away(warehouse, file, archive)
     undated = sorted(file.file_name for file in waiting if file.drop_day is None)
     if undated:
         raise UndatedFile(f"no day in the name of {', '.join(undated)}")
-    snapshot = max((day_in(n) for n in loaded if feed_in(n) == "terminals"), default=date.min)
-    ran: list[date] = []
+    held = [day_in(file.name) for file in loaded if feed_in(file.name) == "terminals"]
+    snapshot = max(held, default=date.min)
+    waiting.sort(key=lambda file: (file.drop_day, file.file_name))
     for day in sorted({file.drop_day for file in waiting if file.feed == "transactions"}):
         due = [
             file
@@ -190,19 +274,38 @@ def run_drop(
             if file.drop_day == day or (file.drop_day < day and file.feed != "transactions")
         ]
         waiting = [file for file in waiting if file not in due]
-        newest = max((f.drop_day for f in due if f.feed == "terminals"), default=date.min)
         files: dict[str, list[str]] = {}
         for file in due:
-            if file.feed != "terminals" or file.drop_day == newest >= snapshot:
+            if file.feed != "terminals":
                 files.setdefault(file.feed, []).append(file.path)
-        snapshot = max(snapshot, newest)
-        feeds = _feeds(spark, files, {} if ran else bank, day, keep_rejects)
-        names = [file.file_name for file in due]
+            elif file.drop_day >= snapshot:
+                snapshot, files["terminals"] = file.drop_day, [file.path]
+        feeds = _feeds(spark, files, bank, day, keep_rejects, enforce_lengths)
         run_id = _free_id(day, taken)
-        run_batch(warehouse, feeds, run_id, day, day, history, allow_empty_snapshot, names)
+        run_batch(
+            warehouse, feeds, run_id, day, day, history, allow_empty_snapshot,
+            [_identity(file) for file in due],
+        )
         taken.add(run_id)
-        ran.append(day)
-    return ran
+        bank = {}
+        if archive:
+            for file in due:
+                _put_away(warehouse, file, archive)
+        yield day
+
+
+def _identity(file: Row) -> DroppedFile:
+    return DroppedFile(file.file_name, file.length, file.modified)
+
+
+def _put_away(warehouse: Warehouse, file: Row, archive: str) -> None:
+    """Move a loaded file; a taken name gets the time of the file's change, then a number."""
+    target = f"{archive.rstrip('/')}/{file.file_name}"
+    names = chain([target, f"{target}.{file.modified}"], (f"{target}.{n}" for n in count(2)))
+    shared = warehouse.shared
+    while shared.exists(file.path):
+        if shared.move(file.path, f"{next(names)}{ARCHIVED}"):
+            return
 
 
 def _free_id(day: date, taken: set[str]) -> str:
@@ -217,7 +320,13 @@ def _feeds(
     bank: dict[str, DataFrame],
     day: date,
     keep_rejects: bool,
+    enforce_lengths: bool,
 ) -> Feeds:
+    def order(feed: str) -> list[Column]:
+        several = len(files[feed]) > 1
+        return [load_order(F.col("source_file")).alias(LOAD_ORDER)] if several else []
+
+    strict = {"enforce_lengths": enforce_lengths}
     feeds: dict[str, DataFrame | None] = {"transactions": None}
     if "transactions" in files:
         lines = read_transactions(spark, files["transactions"], keep_rejects)
@@ -225,18 +334,34 @@ def _feeds(
             refused = staging.rejects(lines, schemas.TRANSACTIONS)
             feeds["rejects"] = refused.select(*schemas.REJECTS.columns)
             lines = staging.accepted(lines, schemas.TRANSACTIONS)
-        feeds["transactions"] = staging.stage_transactions(lines)
+        staged = staging.stage_transactions(lines, *order("transactions"), **strict)
+        feeds["transactions"] = staged
     if "passport_blacklist" in files:
-        entries = read_workbooks(spark, files["passport_blacklist"], *schemas.BLACKLIST_SHEET)
-        feeds["blacklist"] = staging.stage_blacklist(entries)
+        entries = _listed_rows(spark, files["passport_blacklist"], schemas.BLACKLIST_SHEET)
+        listed = staging.stage_blacklist(entries, *order("passport_blacklist"), **strict)
+        feeds["blacklist"] = listed
     if "terminals" in files:
-        sheet = read_workbooks(spark, files["terminals"], *schemas.TERMINALS_SHEET)
-        feeds["terminals"] = staging.stage_terminals(sheet, day)
+        sheet = _listed_rows(spark, files["terminals"], schemas.TERMINALS_SHEET)
+        feeds["terminals"] = staging.stage_terminals(sheet, day, **strict)
     stages = {
         "clients": staging.stage_clients,
         "accounts": staging.stage_accounts,
         "cards": staging.stage_cards,
     }
     for name, pulled in bank.items():
-        feeds[name] = stages[name](pulled)
+        feeds[name] = stages[name](pulled, **strict)
     return Feeds(**feeds)
+
+
+def _listed_rows(
+    spark: SparkSession, paths: Sequence[str], layout: tuple[str, Sequence[str]]
+) -> DataFrame:
+    """Rows of workbooks and of delimited files, told apart by their extension."""
+    books = [path for path in paths if path.lower().endswith(".xlsx")]
+    texts = [path for path in paths if path not in books]
+    parts = []
+    if books:
+        parts.append(read_workbooks(spark, books, *layout))
+    if texts:
+        parts.append(read_sheet(spark, texts, layout[1]))
+    return reduce(DataFrame.unionByName, parts)

@@ -18,6 +18,8 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The keys of a small batch reach the Parquet scan one by one, for its Bloom filters.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "256",
 }
 
 
@@ -38,7 +40,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def package_archive() -> str:
     """The package as a zip file, for Spark to hand to the Python workers.
 
-    Only the workbook reader runs in them. The file stays with the driver, which serves it.
+    The workbook reader and the training-data operators run in them. The file stays with
+    the driver, which serves it.
     """
     package = os.path.dirname(os.path.abspath(__file__))
     target = os.path.join(tempfile.mkdtemp(), "cardwarden")

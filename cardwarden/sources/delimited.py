@@ -1,4 +1,4 @@
-"""Transaction files: `;`-separated, header skipped, columns taken by position."""
+"""Delimited files: `;`-separated, header skipped, columns taken by position and as text."""
 
 from __future__ import annotations
 
@@ -33,3 +33,13 @@ def read_transactions(
     else:
         reader = reader.option("mode", "FAILFAST").schema(RAW_SCHEMA)
     return reader.csv(paths).withColumn("source_file", F.col("_metadata.file_name"))
+
+
+def read_sheet(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows of a blacklist or terminal list that comes as delimited text, with its file name.
+
+    A line with the wrong number of fields fails the read.
+    """
+    schema = ", ".join(f"{column} string" for column in columns)
+    reader = spark.read.options(**FILE_OPTIONS, mode="FAILFAST").schema(schema)
+    return reader.csv(list(paths)).withColumn("source_file", F.col("_metadata.file_name"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,20 @@ from cardwarden.functions.parsing import file_day
 
 # A file belongs to the first feed whose name it contains.
 FEEDS = ("transactions", "passport_blacklist", "terminals")
+# Fixed value: extension of a file that has been loaded and stays in its folder.
+ARCHIVED = ".backup"
+
+
+@dataclass(frozen=True)
+class DroppedFile:
+    """What tells one dropped file from another: its name, bytes and time of last change.
+
+    A name alone does not: a corrected file may come under the name of one loaded before.
+    """
+
+    name: str
+    length: int
+    modified: int
 
 
 def feed_of(name: Column) -> Column:
@@ -36,13 +51,17 @@ def route(files: DataFrame, name: str = "file_name") -> DataFrame:
 
 
 def drop_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files waiting in a folder: path, file_name, feed, drop_day.
+    """Files waiting in a folder: path, file_name, length, modified, feed, drop_day.
 
-    Only paths are selected, so the binary source lists files without reading them.
+    Contents are not selected, so the binary source lists files without reading them.
     Archived files are left out by their extension.
     """
-    listing = spark.read.format("binaryFile").load(folder).select("path")
-    named = listing.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
-    return route(named).where(
-        F.col("feed").isNotNull() & ~F.endswith(F.col("file_name"), F.lit(".backup"))
+    listing = spark.read.format("binaryFile").load(folder).select(
+        "path",
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        "length",
+        F.unix_millis("modificationTime").alias("modified"),
+    )
+    return route(listing).where(
+        F.col("feed").isNotNull() & ~F.endswith(F.col("file_name"), F.lit(ARCHIVED))
     )

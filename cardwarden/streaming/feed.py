@@ -1,28 +1,33 @@
-"""The transaction feed as a file stream: new files in, new facts and fraud events out.
+"""The transaction feed as a file stream into the warehouse: new facts, fraud events, rejects.
 
-Each micro-batch writes into folders named after its id, replacing whatever an interrupted
-attempt left there. A replayed batch is compared with the batches before it only, so it
-yields the same rows again and nothing is lost or doubled.
+A micro-batch is a run of the warehouse like any other: it writes into folders of its own and
+is published by one manifest entry, so its facts, events and rejects appear together or not
+at all, and nightly runs and streams see each other's rows and files. The run is named after
+the query and the batch, so a replayed batch that has been published is not loaded again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cardwarden.functions.parsing import file_day
-from cardwarden.operators.incremental import in_range, insert_new, key_range
-from cardwarden.operators.staging import stage_transactions
-from cardwarden.plans.fraud import fraud_events
-from cardwarden.plans.warehouse import settle
-from cardwarden.schemas import REPORT, TRANSACTIONS, Table
+from cardwarden.functions.parsing import file_day, load_order
+from cardwarden.operators import staging
+from cardwarden.operators.incremental import LOAD_ORDER
+from cardwarden.plans.fraud import fraud_events, opened_before
+from cardwarden.plans.nightly import new_rows
+from cardwarden.plans.warehouse import ConcurrentRun, Run, Warehouse
+from cardwarden.schemas import REJECTS, REPORT, TRANSACTIONS, Table
 from cardwarden.session import tune
-from cardwarden.sources.delimited import FILE_OPTIONS, RAW_SCHEMA
+from cardwarden.sources.delimited import FILE_OPTIONS, MALFORMED, RAW_SCHEMA
+from cardwarden.sources.drops import DroppedFile
+
+# How often a micro-batch starts over because a run was published meanwhile.
+_TRIES = 5
+_FILE = ("source_file", "source_length", "source_modified")
 
 
 def transaction_stream(
@@ -31,18 +36,32 @@ def transaction_stream(
     pattern: str = "*transactions*",
     archive: str | None = None,
     files_per_batch: int | None = None,
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """Raw lines of new files. Files done with are moved to ``archive`` by a later run.
 
-    Exactly-once comes from the checkpoint of the query, not from the move.
+    A line with the wrong number of fields fails the stream, or is kept whole for the
+    rejects. Exactly-once comes from the checkpoint of the query, not from the move.
     """
-    options = {**FILE_OPTIONS, "mode": "FAILFAST", "pathGlobFilter": pattern}
+    options = {**FILE_OPTIONS, "pathGlobFilter": pattern}
     if archive:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
     if files_per_batch:
         options["maxFilesPerTrigger"] = str(files_per_batch)
-    lines = spark.readStream.options(**options).schema(RAW_SCHEMA).csv(folder)
-    return lines.withColumn("source_file", F.col("_metadata.file_name"))
+    reader = spark.readStream.options(**options)
+    if keep_malformed:
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED).schema(
+            f"{RAW_SCHEMA}, {MALFORMED} string"
+        )
+    else:
+        reader = reader.option("mode", "FAILFAST").schema(RAW_SCHEMA)
+    return reader.csv(folder).withColumns(
+        {
+            "source_file": F.col("_metadata.file_name"),
+            "source_length": F.col("_metadata.file_size"),
+            "source_modified": F.unix_millis("_metadata.file_modification_time"),
+        }
+    )
 
 
 def load_feed(
@@ -53,33 +72,71 @@ def load_feed(
     watch: Callable[[SparkSession], DataFrame] | None = None,
     report_dt: Column | None = None,
     enforce_lengths: bool = True,
+    keep_rejects: bool = False,
+    order: Column | None = None,
 ) -> StreamingQuery:
-    """Append the stream's new transactions below ``root``; with ``watch``, judge them too.
-
-    ``history`` gives facts loaded by other means. ``watch`` gives the watch list; it is
-    called for every micro-batch, so that each is judged by the dimensions of its time.
-    Every new transaction is judged once. The report day defaults to the day in the name
-    of the file the transaction came in.
+    """Load the stream's new transactions into the warehouse at ``root``.
+
+    ``history`` gives facts kept elsewhere that count as known. With ``watch``, new
+    transactions are judged, each once; it is called for every micro-batch, so that each is
+    judged by the dimensions of its time (``nightly.current_watch`` writes one list per
+    state). The report day defaults to the day in the name of the file the transaction came
+    in; a file without one fails the batch.
+
+    Of a key that several files of a batch bring, the first file counts, in the order of
+    ``order`` (the days in their names, then the names). Files that another run has loaded
+    are passed over. With ``keep_rejects``, lines that cannot be typed go into the rejects
+    table with the batch, and the feed goes on.
     """
     day = file_day(F.col("source_file")) if report_dt is None else report_dt
+    file_order = load_order(F.col("source_file")) if order is None else order
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = tune(batch.sparkSession)
-        staged = stage_transactions(
-            batch, day.alias("report_day"), enforce_lengths=enforce_lengths
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        for attempt in range(_TRIES):
+            try:
+                return load_once(batch, f"stream-{query}-{batch_id}")
+            except ConcurrentRun:
+                if attempt + 1 == _TRIES:
+                    raise
+
+    def load_once(batch: DataFrame, run_id: str) -> None:
+        spark = batch.sparkSession
+        warehouse = Warehouse(spark, root)
+        state = warehouse.state()
+        if any(run.run_id == run_id for run in state.runs):
+            return
+        # The files of one batch, by name.
+        named = set(_FILE) <= set(batch.columns)
+        found = batch.select(*_FILE).distinct().collect() if named else ()
+        files = {DroppedFile(*row) for row in found} - state.files()
+        run = warehouse.begin(run_id, sorted(files, key=lambda file: file.name), state)
+        if named:
+            batch = batch.where(F.col("source_file").isin([file.name for file in files]))
+        if keep_rejects:
+            batch = run.stage("lines", batch)
+            refused = staging.rejects(batch, TRANSACTIONS)
+            batch = staging.accepted(batch, TRANSACTIONS)
+        dated = F.when(day.isNull(), F.raise_error(F.lit("no report day for a transaction")))
+        staged = staging.stage_transactions(
+            batch,
+            dated.otherwise(day).alias("report_day"),
+            *([file_order.alias(LOAD_ORDER)] if len(files) != 1 else []),
+            enforce_lengths=enforce_lengths,
         )
-        known = _earlier(spark, root, TRANSACTIONS, batch_id)
+        known = state.table(TRANSACTIONS)
         if history is not None:
             known = known.unionByName(history(spark).select(*TRANSACTIONS.columns))
-        # Written first: the lines are read once, and the size of the batch is known, so
-        # that a small one is broadcast instead of shuffling all facts.
-        staged = settle(staged, f"{root}/_staging/{TRANSACTIONS.name}")
-        key = TRANSACTIONS.key
-        known = in_range(known, key, key_range(staged, key))
-        fresh = settle(insert_new(staged, known, key), _folder(root, TRANSACTIONS, batch_id))
+        fresh = run.write_transactions(new_rows(run, TRANSACTIONS, staged, known, "report_day"))
+        if keep_rejects:
+            run.write(REJECTS, refused.select(*REJECTS.columns), rebalance=True)
         if watch is not None:
-            events = fraud_events(fresh, watch(spark), F.col("report_day"))
-            settle(events.hint("rebalance"), _folder(root, REPORT, batch_id), REPORT)
+            events = _judged(fresh, watch(spark), run)
+            run.write(REPORT, events, rebalance=True)
+            days = fresh.select("report_day").distinct().collect()
+            run.report_days |= {row.report_day for row in days}
+        run.publish()
 
     return (
         lines.writeStream.foreachBatch(load)
@@ -89,24 +146,13 @@ def load_feed(
     )
 
 
+def _judged(fresh: DataFrame, watch: DataFrame, run: Run) -> DataFrame:
+    """Events of the fresh transactions, from spans that open before the last of their days."""
+    if run.last_trans_date is not None:
+        watch = opened_before(watch, run.last_trans_date)
+    return fraud_events(fresh, watch, F.col("report_day"))
+
+
 def loaded(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """Everything the stream has written to a table so far."""
-    return _earlier(spark, root, table, None)
-
-
-def _earlier(spark: SparkSession, root: str, table: Table, batch_id: int | None) -> DataFrame:
-    """Rows of the micro-batches before the given one."""
-    schema = T.StructType([*table.schema, T.StructField("batch_id", T.LongType())])
-    try:
-        rows = spark.read.schema(schema).parquet(f"{root}/{table.name}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], table.schema)
-    if batch_id is not None:
-        rows = rows.where(F.col("batch_id") < batch_id)
-    return rows.select(*table.columns)
-
-
-def _folder(root: str, table: Table, batch_id: int) -> str:
-    return f"{root}/{table.name}/batch_id={batch_id}"
+    """Everything published so far to a table of the warehouse at ``root``."""
+    return Warehouse(spark, root).table(table)

@@ -23,6 +23,22 @@ _VIEWS = {
     "loaded": """
         SELECT a.* FROM loads a WHERE NOT EXISTS (
             SELECT 1 FROM loads b WHERE b.trans_id = a.trans_id AND b.load < a.load)""",
+    "steps": """
+        SELECT *, CASE WHEN load < 3 THEN load WHEN amt < 20000 THEN 3 ELSE 4 END AS step
+        FROM loads""",
+    "dropped": """
+        SELECT a.* FROM steps a WHERE NOT EXISTS (
+            SELECT 1 FROM steps b WHERE b.trans_id = a.trans_id AND b.step < a.step)""",
+    "damaged_lines": """
+        SELECT CAST(l_orderkey AS varchar) || '-' || CAST(l_linenumber AS varchar) AS trans_id,
+               CASE WHEN l_tax > 0.075 THEN 'someday'
+                    ELSE strftime(l_shipdate, '%Y-%-m-%-d') END AS trans_date,
+               CASE WHEN l_discount > 0.095 THEN 'n/a'
+                    ELSE CAST(CAST(l_extendedprice AS decimal(18,2)) AS varchar) END AS amt,
+               CAST(l_orderkey AS varchar) AS card_num, l_returnflag AS oper_type,
+               CASE WHEN l_quantity > 45 THEN 'REJECTED' ELSE l_linestatus END AS oper_result,
+               'T' || CAST(l_suppkey AS varchar) AS terminal
+        FROM lineitem""",
     "all_cards": """
         SELECT CAST(o_orderkey AS varchar) AS card_num, CAST(o_custkey AS varchar) AS account_num,
                CAST(o_orderdate AS date) AS create_dt, CAST(NULL AS date) AS update_dt
@@ -256,14 +272,6 @@ _DAY = "DATE '2021-03-03'"
 _TX_LIMITS = schemas.TRANSACTIONS.limits
 
 
-def _null_counts(name: str, columns: tuple[str, ...]) -> str:
-    return "\nUNION ALL\n".join(
-        f"SELECT 'dim_{name}' AS table_name, '{c}' AS column_name,"
-        f" count(*) FILTER (WHERE {c} IS NULL) AS n_nulls FROM {name}_new"
-        for c in columns
-    )
-
-
 def _whole_null_counts(name: str, rows: str, number: str, emptied: str) -> str:
     columns = (_DIMS[name][0], *_DIMS[name][1], "create_dt", "update_dt")
     return "\nUNION ALL\n".join(
@@ -281,6 +289,23 @@ def _orphans(reference: str, child: str, column: str, parent: str, key: str) ->
     )
 
 
+# Columns at fault, in table order.
+_PROBLEMS = "concat_ws(',', " + ", ".join(
+    "CASE WHEN trans_date = 'someday' THEN 'trans_date' END" if c == "trans_date"
+    else "CASE WHEN amt = 'n/a' THEN 'amt' END" if c == "amt"
+    else f"CASE WHEN length(rtrim({c})) > {_TX_LIMITS[c]} THEN '{c}' END"
+    for c in schemas.TRANSACTIONS.columns
+) + ")"
+
+# The irregular drop: first run over two files, a late day over all, and a second run for
+# the first day that judges only what it adds.
+_DROPPED_REPORT = "\nUNION ALL\n".join(
+    _both(f"DATE '{day}'", f"(SELECT * FROM dropped WHERE step {steps})", state, _GROWN)
+    for day, steps, state in (
+        ("2021-03-02", "<= 2", "_old"), ("2021-03-01", "<= 3", "_new"), ("2021-03-02", "= 4", "_new")
+    )
+)
+
 _TRANSACTIONS = _with("SELECT * FROM tx")
 _LOADED = "SELECT trans_id, trans_date, card_num, oper_type, amt, oper_result, terminal FROM loaded"
 
@@ -346,8 +371,12 @@ ORACLES: dict[str, str] = {
     ),
     "dq_null_keys": _with(
         "\nUNION ALL\n".join(
-            _null_counts(name, (_DIMS[name][0], *_DIMS[name][1], "create_dt", "update_dt"))
-            for name in ("clients", "accounts", "cards")
+            _whole_null_counts(*check)
+            for check in (
+                ("clients", "all_clients", "substr(client_id, 2)", "patronymic"),
+                ("accounts", "accounts", "account_num", "client"),
+                ("cards", "all_cards", "card_num", "account_num"),
+            )
         )
     ),
     "dq_null_keys_whole": _with(
@@ -387,4 +416,18 @@ ORACLES: dict[str, str] = {
     ),
     "stream_new_transactions": _with(_LOADED),
     "stream_fraud": _with(_three_runs("=")),
+    "stage_accepted": _with(
+        f"""SELECT trans_id, CAST(trans_date AS date) AS trans_date, card_num, oper_type,
+               CAST(amt AS decimal(18,2)) AS amt, oper_result, terminal
+        FROM (SELECT *, {_PROBLEMS} AS problems FROM damaged_lines) WHERE problems = ''"""
+    ),
+    "stream_and_nightly": _with(_LOADED),
+    "stream_rejects": _with(
+        f"""SELECT {", ".join(schemas.TRANSACTION_FILE)}, problems
+        FROM (SELECT *, {_PROBLEMS} AS problems FROM damaged_lines) WHERE problems <> ''"""
+    ),
+    "drop_report": _with(_DROPPED_REPORT),
+    "drop_transactions": _with(
+        "SELECT trans_id, trans_date, card_num, oper_type, amt, oper_result, terminal FROM dropped"
+    ),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
@@ -12,10 +13,10 @@ from pyspark.sql import functions as F
 from cardwarden import schemas
 from cardwarden.functions.parsing import parse_compact_day
 from cardwarden.operators import quality, staging
-from cardwarden.operators.incremental import insert_new, insert_new_in_order
+from cardwarden.operators.incremental import LOAD_ORDER, insert_new, insert_new_in_order
 from cardwarden.operators.scd1 import scd1_merge, snapshot_diff
 from cardwarden.plans import fraud
-from cardwarden.plans.nightly import Feeds, append_report_once, run_batch
+from cardwarden.plans.nightly import Feeds, append_report_once, run_batch, run_drop
 from cardwarden.plans.warehouse import Warehouse
 from cardwarden.session import scratch, tune
 from cardwarden.sources.delimited import read_transactions
@@ -29,6 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _TABLES = {table.name: table for table in schemas.DIMENSIONS}
 _LAST_REPORT = date(2021, 3, 3)
+# Files that the rows of one simulated drop file are dealt to, by key.
+_PARTS = 4
 
 
 def _report_of_load() -> Column:
@@ -173,7 +176,7 @@ def _diff_of(change: str) -> Query:
         found = []
         for name, (dim, snapshot) in views.snapshots(spark, sf_dir).items():
             table = _TABLES[name]
-            rows = snapshot_diff(dim, snapshot, table).where(F.col("change") == change)
+            rows = snapshot_diff(dim, snapshot, table, (change,))
             found.append(rows.select(F.lit(name).alias("dim"), F.col(table.key).alias("key")))
         return reduce(DataFrame.unionByName, found)
 
@@ -275,17 +278,7 @@ def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NULLs in the keys and references of the next client, account and card snapshots."""
-    found = []
-    for name in ("dim_clients", "dim_accounts", "dim_cards"):
-        table = _TABLES[name]
-        counts = quality.null_counts(views.snapshots(spark, sf_dir)[name][1], table.columns)
-        found.append(counts.withColumn("table_name", F.lit(name)))
-    return reduce(DataFrame.unionByName, found)
-
-
-def dq_null_keys_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same counts over every row of the tables, none left out by its key."""
+    """NULLs in the next client, account and card snapshots, over every row of the tables."""
     found = []
     for name, snapshot in views.whole_snapshots(spark, sf_dir).items():
         counts = quality.null_counts(snapshot, _TABLES[name].columns)
@@ -304,64 +297,178 @@ def dq_overlength(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _damaged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions, some with an unreadable day or amount or an over-long result."""
-    lines = views.load(spark, sf_dir, "lineitem")
-    number = F.concat(views.text("l_orderkey"), F.lit("-"), views.text("l_linenumber"))
-    return lines.select(
-        number.alias("trans_id"),
+    return _damaged_lines(spark, sf_dir).select("trans_id", "trans_date", "amt", "oper_result")
+
+
+def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.rejects(_damaged_transactions(spark, sf_dir), schemas.TRANSACTIONS)
+
+
+def _damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged transactions with all columns of the file."""
+    whole = views.load(spark, sf_dir, "lineitem").select(
+        F.concat(views.text("l_orderkey"), F.lit("-"), views.text("l_linenumber")).alias("trans_id"),
         F.when(F.col("l_tax") > 0.075, "someday")
         .otherwise(F.date_format("l_shipdate", "yyyy-M-d"))
         .alias("trans_date"),
         F.when(F.col("l_discount") > 0.095, "n/a")
         .otherwise(F.col("l_extendedprice").cast("decimal(18,2)").cast("string"))
         .alias("amt"),
+        views.text("l_orderkey").alias("card_num"),
+        F.col("l_returnflag").alias("oper_type"),
         F.when(F.col("l_quantity") > 45, "REJECTED").otherwise(F.col("l_linestatus")).alias(
             "oper_result"
         ),
+        F.concat(F.lit("T"), views.text("l_suppkey")).alias("terminal"),
     )
+    return whole.select(*schemas.TRANSACTION_FILE)
 
 
-def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.rejects(_damaged_transactions(spark, sf_dir), schemas.TRANSACTIONS)
+def stage_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict staging, text limits enforced, of the lines that are no rejects."""
+    lines = _damaged_lines(spark, sf_dir)
+    return staging.stage_transactions(staging.accepted(lines, schemas.TRANSACTIONS))
 
 
-# Streams. Both drop the transactions of one load after another and let the stream catch
-# up after each, as the nightly file drop does.
+# Streams. They drop the transactions of one load after another and let the stream catch up
+# after each, as the nightly file drop does. The part files of a load count as one file.
 
 
 def stream_new_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "stream-load")
-    _stream_loads(spark, sf_dir, root)
+    for load in (1, 2, 3):
+        _stream_load(spark, sf_dir, root, load)
     return loaded(spark, root, schemas.TRANSACTIONS)
 
 
 def stream_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "stream-fraud")
-    watch = f"{root}/watch_list"
+    watch = f"{root}/_watch/given"
     _both(spark, sf_dir).write.parquet(watch)
-    _stream_loads(spark, sf_dir, root, watch=lambda session: session.read.parquet(watch))
+    for load in (1, 2, 3):
+        _stream_load(spark, sf_dir, root, load, lambda session: session.read.parquet(watch))
     return loaded(spark, root, schemas.REPORT)
 
 
-def _stream_loads(spark: SparkSession, sf_dir: str, root: str, watch=None) -> None:
-    for load in (1, 2, 3):
-        lines = raw_transactions(spark, sf_dir).withColumn(
-            "load", views.load_of(F.substring("trans_date", 1, 10).cast("date"))
-        )
-        _drop_lines(lines.where(F.col("load") == load).drop("load"), f"{root}/drop/load={load}")
-        load_feed(
-            transaction_stream(spark, f"{root}/drop/*", pattern="*.csv"),
-            root,
-            f"{root}/checkpoint",
-            watch=watch,
-            report_dt=F.lit(date(2021, 3, load)),
-            enforce_lengths=False,
-        ).awaitTermination()
+def stream_and_nightly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of a warehouse that a stream and a nightly run load in turns.
+
+    The nightly run is offered the load that was streamed once more, and the stream then
+    all three.
+    """
+    root = scratch(spark, "stream-and-nightly")
+    facts, day = views.loads(spark, sf_dir), date(2021, 3, 2)
+    _stream_load(spark, sf_dir, root, 1)
+    feeds = Feeds(transactions=facts.where("load <= 2").withColumn(LOAD_ORDER, F.col("load")))
+    run_batch(Warehouse(spark, root), feeds, day.isoformat(), day, day, history="new")
+    _stream_load(spark, sf_dir, root, 3, upto=True)
+    return loaded(spark, root, schemas.TRANSACTIONS)
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines a stream refuses while it loads the others."""
+    root = scratch(spark, "stream-rejects")
+    _drop_lines(_damaged_lines(spark, sf_dir), f"{root}/drop")
+    load_feed(
+        transaction_stream(spark, f"{root}/drop", pattern="*.csv", keep_malformed=True),
+        root,
+        f"{root}/checkpoint",
+        report_dt=F.lit(_LAST_REPORT),
+        keep_rejects=True,
+        order=F.lit(""),
+    ).awaitTermination()
+    refused = loaded(spark, root, schemas.REJECTS)
+    return refused.select(*schemas.TRANSACTION_FILE, "problems")
+
+
+def _stream_load(
+    spark: SparkSession, sf_dir: str, root: str, load: int, watch=None, upto: bool = False
+) -> None:
+    lines = raw_transactions(spark, sf_dir).withColumn(
+        "load", views.load_of(F.substring("trans_date", 1, 10).cast("date"))
+    )
+    chosen = F.col("load") <= load if upto else F.col("load") == load
+    _drop_lines(lines.where(chosen).drop("load"), f"{root}/drop/load={load}")
+    load_feed(
+        transaction_stream(spark, f"{root}/drop/*", pattern="*.csv"),
+        root,
+        f"{root}/checkpoint",
+        watch=watch,
+        report_dt=F.lit(date(2021, 3, load)),
+        enforce_lengths=False,
+        order=F.lit(""),
+    ).awaitTermination()
 
 
 def _drop_lines(lines: DataFrame, folder: str) -> None:
     lines.select(*schemas.TRANSACTION_FILE).write.csv(folder, sep=";", header=True)
 
 
+# An irregular drop: two transaction files of a day and two blacklists at once, a late day,
+# new content under an old name; compacted at the end.
+
+
+def drop_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _irregular_drop(spark, sf_dir).table(schemas.REPORT)
+
+
+def drop_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _irregular_drop(spark, sf_dir).table(schemas.TRANSACTIONS)
+
+
+def _irregular_drop(spark: SparkSession, sf_dir: str) -> Warehouse:
+    root = scratch(spark, "irregular-drop")
+    warehouse, drop = Warehouse(spark, f"{root}/warehouse"), f"{root}/drop"
+    raw = raw_transactions(spark, sf_dir).withColumn(
+        "load", views.load_of(F.substring("trans_date", 1, 10).cast("date"))
+    )
+    listed = views.blacklist(spark, sf_dir).withColumn(
+        "entry_dt", F.date_format("entry_dt", "yyyy-MM-dd")
+    )
+    dims = views.snapshots(spark, sf_dir)
+
+    def put(rows: DataFrame, columns: tuple[str, ...], key: str, name: str) -> None:
+        """Dropped files named after the part they hold; rows of a key share a part."""
+        parts = f"{root}/parts/{uuid.uuid4().hex}"
+        rows.select(*columns).repartition(_PARTS, key).write.csv(parts, sep=";", header=True)
+        feed, day = name.rsplit("_", 1)
+        files = [e for e in warehouse.shared.entries(parts) if e.name.startswith("part-")]
+        for file in files:
+            number = file.name.split("-")[1]
+            warehouse.shared.move(file.path, f"{drop}/{feed}_{number}_{day}.csv")
+
+    def transactions(rows: DataFrame, name: str) -> None:
+        put(rows, schemas.TRANSACTION_FILE, "trans_id", name)
+
+    def load(state: int) -> None:
+        names = ("clients", "accounts", "cards")
+        bank = {name: dims[f"dim_{name}"][state] for name in names}
+        for name in ("accounts", "cards"):
+            bank[name] = bank[name].withColumnRenamed("account_num", "account")
+        run_drop(
+            warehouse, drop, bank, archive=f"{root}/archive", enforce_lengths=False
+        )
+
+    late = F.replace("amt", F.lit(","), F.lit(".")).cast("decimal(18,2)") < 20000
+    transactions(raw.where("load = 1"), "transactions_a_02032021")
+    transactions(raw.where("load = 2"), "transactions_b_02032021")
+    early = listed.where("entry_dt < '1999-01-01'")
+    put(early, schemas.BLACKLIST_SHEET[1], "passport_num", "passport_blacklist_01032021")
+    put(listed, schemas.BLACKLIST_SHEET[1], "passport_num", "passport_blacklist_02032021")
+    put(
+        views.all_terminals(spark, sf_dir).coalesce(1), schemas.TERMINALS_SHEET[1],
+        F.lit(1), "terminals_02032021",
+    )
+    load(0)
+    transactions(raw.where((F.col("load") == 3) & late), "transactions_01032021")
+    load(1)
+    transactions(raw, "transactions_a_02032021")
+    load(1)
+    warehouse.compact()
+    warehouse.expire()
+    return warehouse
+
+
 QUERIES: dict[str, Query] = {
     "stage_transactions": stage_transactions,
     "csv_transactions": csv_transactions,
@@ -396,12 +503,17 @@ QUERIES: dict[str, Query] = {
     "nightly_report": nightly_report,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_null_keys": dq_null_keys,
-    "dq_null_keys_whole": dq_null_keys_whole,
+    "dq_null_keys_whole": dq_null_keys,
     "dq_orphans": dq_orphans,
     "dq_overlength": dq_overlength,
     "dq_rejects": dq_rejects,
     "stream_new_transactions": stream_new_transactions,
     "stream_fraud": stream_fraud,
+    "stage_accepted": stage_accepted,
+    "stream_and_nightly": stream_and_nightly,
+    "stream_rejects": stream_rejects,
+    "drop_report": drop_report,
+    "drop_transactions": drop_transactions,
 }
 
 

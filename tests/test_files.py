@@ -6,6 +6,7 @@ import pytest
 
 from cardwarden import schemas
 from cardwarden.operators import staging
+from cardwarden.operators.incremental import possible_matches
 from cardwarden.plans.nightly import (
     EmptySnapshot,
     Feeds,
@@ -264,26 +265,24 @@ def test_rejects_are_kept_beside_the_loaded_lines(spark, tmp_path):
     assert sorted((r.trans_id, r.problems) for r in refused) == [("2", "amt"), ("3", MALFORMED)]
 
 
-def test_runs_out_of_the_key_range_are_not_opened(spark, tmp_path):
+def test_only_rows_a_batch_can_match_are_looked_at(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     for n, numbers in enumerate(([10, 11], [20, 21], [None], [15, 30]), start=1):
         day = dt.date(2021, 3, n)
         rows = [(n and str(n), day, "c1", "", None, "", "") for n in numbers]
         batch = spark.createDataFrame(rows, schemas.TRANSACTIONS.schema)
         run_batch(warehouse, Feeds(transactions=batch), day.isoformat(), day, day)
-    state = warehouse.state()
-
-    def between(*keys):
-        rows = state.fact_between(schemas.TRANSACTIONS, keys)
-        runs = {part for f in rows.inputFiles() for part in f.split("/") if "run_id" in part}
-        return sorted(r.trans_id for r in rows.collect()), len(runs)
-
-    assert between("11", "12") == (["11"], 1)
-    assert between("15", "20") == (["15", "20"], 2)
-    assert between("10", "30") == (["10", "11", "15", "20", "21", "30"], 3)
-    assert between("4", "5") == ([], 0)
-    assert state.fact_between(schemas.TRANSACTIONS, None).count() == 0
-    assert state.table(schemas.TRANSACTIONS).count() == 7
+    held = warehouse.table(schemas.TRANSACTIONS)
+    assert held.count() == 7
+
+    def matches(*keys):
+        batch = spark.createDataFrame([(k,) for k in keys], "trans_id string")
+        return sorted(r.trans_id for r in possible_matches(held, batch, "trans_id").collect())
+
+    assert matches("11", "12", None) == ["11"] and matches("15", "20") == ["15", "20"]
+    assert matches("4", "5") == matches(None) == matches() == []
+    many = [f"{n:05}" for n in range(1, 4000)]
+    assert matches("1", *many, "20") == ["10", "11", "15", "20"]  # by their range
 
 
 def test_an_irregular_drop_loses_and_doubles_nothing(spark, tmp_path):

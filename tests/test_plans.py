@@ -7,12 +7,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardwarden import schemas
-from cardwarden.operators.incremental import insert_new
-from cardwarden.operators.scd1 import scd1_merge
+from cardwarden.operators.incremental import insert_new, possible_matches
+from cardwarden.operators.scd1 import (
+    DELETED,
+    INSERTED,
+    UPDATED,
+    _beside,
+    scd1_merge,
+    snapshot_diff,
+)
 from cardwarden.plans import fraud
+from cardwarden.plans.warehouse import settle
 from cardwarden.testbed import views
 
 SMALL = "/root/testdata/sf0.001"
+DAY = dt.date(2021, 3, 1)
 _VIEWS = (views.transactions, views.cards, views.accounts, views.clients, views.blacklist)
 # Thresholds lowered to the size of the test tables.
 TINY_SKEW = {
@@ -77,11 +86,106 @@ def test_small_batch_leaves_the_target_unshuffled(spark, tables, conf, tmp_path)
     assert re.sub(r"#\d+", "", scan) == "trans_id"
 
 
-def test_merge_shuffles_each_side_once(spark, tables):
+def test_merge_shuffles_the_rows_of_each_side_once(spark, tables, conf):
     merged = scd1_merge(tables["clients"], tables["clients"], schemas.CLIENTS, views.RUN_DT)
-    text = plan(merged)
-    assert text.count("Exchange hashpartitioning") == 2
-    assert "IsNull(client_id)" in text  # rows without a key are found by row-group statistics
+    small = plan(merged)
+    assert "BroadcastHashJoin" in small and small.count("Exchange hashpartitioning") == 1
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    text = plan(scd1_merge(tables["clients"], tables["clients"], schemas.CLIENTS, views.RUN_DT))
+    # The third exchange carries the counts that refuse repeated keys, and no other column.
+    assert text.count("Exchange hashpartitioning") == 3
+    assert text.count("partial_count(1)") == 1
+    for table in (small, text):
+        assert "FullOuter" not in table and "SortAggregate" not in table
+        assert "IsNull(client_id)" in table  # rows without a key are found by row-group statistics
+
+
+def test_difference_joins_only_for_the_kinds_asked_for(spark, tables):
+    def joins(*kinds):
+        diff = snapshot_diff(tables["clients"], tables["clients"], schemas.CLIENTS, kinds)
+        text = plan(diff)
+        assert "FullOuter" not in text and "SortAggregate" not in text
+        return re.findall(r"BroadcastHashJoin .* (LeftAnti|LeftOuter|Inner),", text)
+
+    assert joins(INSERTED) == ["LeftAnti"] and joins(DELETED) == ["LeftAnti"]
+    assert joins(UPDATED) == ["Inner"]
+    assert sorted(joins(INSERTED, UPDATED, DELETED)) == ["LeftAnti", "LeftOuter"]
+
+
+def test_merge_splits_a_hot_key_and_refuses_it(spark, conf):
+    conf(TINY_SKEW)
+    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    rows = [F.lit(DAY).alias("valid_to"), F.col("id").cast("string").alias("client"),
+            F.lit(DAY).alias("create_dt"), F.lit(None).cast("date").alias("update_dt")]
+    snapshot = spark.range(200_000).select(hot.alias("account_num"), *rows)
+    dim = spark.range(0, 400_000, 4).select(F.col("id").cast("string").alias("account_num"), *rows)
+    beside = _beside(dim, snapshot, schemas.ACCOUNTS)
+    assert beside.count() == 200_000
+    text = plan(beside, run=False) if "skew=true" in plan(beside) else plan(beside, run=True)
+    assert "SortMergeJoin(skew=true)" in text
+    merged = scd1_merge(dim, snapshot, schemas.ACCOUNTS, DAY)
+    with pytest.raises(Exception, match="repeats key hot"):
+        merged.collect()
+    counted = plan(merged)
+    assert "partial_count(1)" in counted
+
+
+def test_clients_without_passport_are_spread(spark, conf, tmp_path):
+    conf(TINY_SKEW | {"spark.sql.adaptive.skewJoin.enabled": "false"})
+    number = F.col("id").cast("string")
+    none = F.when(F.col("id") % 3 > 0, number)
+    people = spark.range(90_000).select(
+        number.alias("client_id"), number.alias("last_name"), number.alias("first_name"),
+        number.alias("patronymic"), F.lit(None).cast("date").alias("date_of_birth"),
+        none.alias("passport_num"), F.lit(DAY).alias("passport_valid_to"), number.alias("phone"),
+    )
+    listed = spark.range(0, 90_000, 2).select(
+        F.lit(DAY).alias("entry_dt"), number.alias("passport_num")
+    )
+    for rule, per_listed in ((fraud.passport_rule, 2), (fraud.passport_rule_once, 1)):
+        ruled = rule(people, listed)
+        assert ruled.where("passport is null").count() == 30_000
+        assert ruled.count() == 60_000 + 30_000 * (per_listed - 1) + 30_000
+        assert "hashpartitioning(_listed_as" in plan(ruled)
+    spread = people.select(
+        (F.pmod(F.hash(F.coalesce("passport_num", "client_id")), F.lit(8))).alias("part")
+    ).groupBy("part").count()
+    assert max(r["count"] for r in spread.collect()) < 1.2 * 90_000 / 8
+
+
+def test_random_keys_open_few_row_groups(spark, conf, tmp_path):
+    conf({"spark.sql.files.maxPartitionBytes": "1g"})
+    fact = spark.range(200_000).select(
+        F.md5(F.col("id").cast("string")).alias("trans_id"), F.lit(DAY).alias("trans_date"),
+        *(F.lit("x").alias(n) for n in ("card_num", "oper_type")),
+        F.lit(None).cast(schemas.MONEY).alias("amt"),
+        *(F.lit("x").alias(n) for n in ("oper_result", "terminal")),
+    )
+    held = settle(fact.repartition(20), f"{tmp_path}/fact", schemas.TRANSACTIONS)
+    batch = fact.where("trans_id = md5('77') or trans_id = md5('123456')").unionByName(
+        fact.limit(1).withColumn("trans_id", F.lit("not there"))
+    )
+    batch = settle(batch, f"{tmp_path}/batch")
+    known = possible_matches(held, batch, "trans_id")
+    assert known.count() == 2
+    rows = _scanned(known.select("trans_id"))
+    assert rows < 200_000 / 4, rows
+    fresh = insert_new(batch, known, "trans_id")
+    assert [r.trans_id for r in fresh.collect()] == ["not there"]
+    many = settle(fact.limit(5000), f"{tmp_path}/many")
+    assert insert_new(many, possible_matches(held, many, "trans_id"), "trans_id").count() == 0
+    none = settle(fact.limit(0), f"{tmp_path}/none")
+    assert possible_matches(held, none, "trans_id").count() == 0
+
+
+def _scanned(df):
+    """Rows the file scan of a query gave, row groups it skipped left out."""
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scan = leaves.head()
+    return scan.metrics().apply("numOutputRows").value()
 
 
 def test_hot_card_is_split(spark, conf):
