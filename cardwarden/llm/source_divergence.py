@@ -35,7 +35,7 @@ from cardwarden.llm.common import table, written
 
 MIN_DOCS = 3
 TOP_TERMS = 200
-BLOCK_POSTINGS = 800_000
+BLOCK_POSTINGS = 600_000
 # Pairs of postings compared at a time; bytes of text split at a time.
 _PAIRS = 1 << 20
 _TEXT = 1 << 22
@@ -435,8 +435,9 @@ def divergence(
     heavier = held.withColumn("q", share("total", "lang_size")).where("p > q").select(
         "lang", "source", F.col("term").alias("item"), F.expr(_apart("p", "q")).alias("value")
     )
-    # Ranked in parts first, so that a group sends a bounded number of terms to one task.
-    part = F.pmod(F.xxhash64("item"), F.lit(_PARTS))
+    # Ranked in parts first, so that a group sends a bounded number of terms to one task. The
+    # rows of a task share a part, of which Spark passes on no more than the ranks asked for.
+    part = F.pmod(F.spark_partition_id(), F.lit(_PARTS))
     best = heavier.withColumn("part", part).withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(*order))
     ).where(F.col("rank") <= top_terms)

@@ -7,13 +7,14 @@ depend on the others', which lowers the variance of the share of equal places. L
 layer is drawn for all shingles of a text at once, until every place is filled: no later
 layer can offer less, so large texts stop after one or two.
 
-Bands of the signature are buckets. Buckets hold *distinct* sets, so copies count once. In
-each bucket members are compared with anchors, by the intersection and union of their full
-sets; a link needs ``100 * intersection >= 85 * union``. Links are merged by union-find, and
-the next round takes more anchors, from those buckets whose members are not all of one
-component yet. An anchor has been compared with every member of another component, so it
-leaves its bucket. Once no bucket has two components, every two sets that share a bucket and
-are similar enough are connected, without ever listing the pairs of a bucket.
+Bands of the signature are buckets. Buckets hold *distinct* sets, so copies count once. Sets
+are compared by the intersection and union of their full sets; a link needs
+``100 * intersection >= 85 * union``, and links are merged by union-find. In each bucket one
+member is compared with all others. Where that leaves several components, the members
+outside of the largest one are compared with all members of other components: pair by pair
+if there are few, in blocks of sets by a product of matrices if there are many. So every two
+sets that share a bucket and are similar enough are connected, without listing the pairs of
+a bucket.
 
 Two sets of exactly the least similarity share no bucket with a chance of about 3 in 10
 million; the more similar, the less. Shingles are compared by 64-bit hashes.
@@ -44,8 +45,12 @@ PERCENT = 85
 BANDS, ROWS = 32, 6
 # Shingles drawn for at a time.
 _STEP = 1 << 18
-# Anchors of a bucket grow by this factor from round to round.
-_MORE = 4
+# So many members outside of a bucket's largest component are compared pair by pair.
+FEW = 8
+# Sets of a block, shingles of all its sets, and shingles of a product of matrices.
+_BLOCK = 512
+_BLOCK_SHINGLES = 1 << 20
+_COLUMNS = 4096
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -182,7 +187,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_column: str, shingle: int)
         F.col(f"`{id_column}`").alias("id"), _text_key().alias("text_key"),
         F.col("text").cast("string").alias("text"),
     )
-    asked = wanted.select("rep", F.col("id").alias("wanted_id"), "text_key")
+    # The list grows with the texts, so it is not to be broadcast while it is still short.
+    asked = wanted.select("rep", F.col("id").alias("wanted_id"), "text_key").hint("merge")
     held = texts.join(asked, "text_key").where(F.col("id").eqNullSafe(F.col("wanted_id")))
     sets = held.select("rep", "text").mapInPandas(read, "rep long, set array<long>")
     return sets.groupBy("rep").agg(F.any_value("set").alias("set"))
@@ -199,62 +205,159 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return compared.where(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
 
 
+def _mixed_buckets(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of the buckets that hold more than one component, with figures of the bucket.
+
+    ``largest`` is the component with the most members, ``others`` the number of members
+    outside of it, ``shingles`` the sum of the sizes of all sets.
+    """
+    members = buckets.withColumn("label", F.col("rep"))
+    if labels is not None:
+        known = labels.select(F.col("v").alias("rep"), F.col("label").alias("known"))
+        members = buckets.join(known, "rep", "left").select(
+            *buckets.columns, F.coalesce("known", "rep").alias("label")
+        )
+    held = members.groupBy("bucket", "label").agg(
+        F.count("*").alias("rows"), F.sum("n").alias("shingles")
+    )
+    mixed = (
+        held.groupBy("bucket")
+        .agg(
+            F.max(F.struct("rows", "label")).alias("most"), F.count("*").alias("labels"),
+            F.sum("rows").alias("members"), F.sum("shingles").alias("shingles"),
+        )
+        .where("labels > 1")
+        .select(
+            "bucket", "members", "shingles", F.col("most.label").alias("largest"),
+            (F.col("members") - F.col("most.rows")).alias("others"),
+        )
+    )
+    return members.join(mixed, "bucket")
+
+
+def _against(members: DataFrame, anchors: DataFrame, percent: int) -> DataFrame:
+    """Pairs of anchors and members of other components in their buckets, if sizes allow."""
+    chosen = anchors.select(
+        "bucket", F.col("rep").alias("anchor"), F.col("n").alias("size"),
+        F.col("label").alias("anchor_label"),
+    )
+    alike = 100 * F.least("n", "size") >= percent * F.greatest("n", "size")
+    return (
+        members.join(chosen, "bucket").where((F.col("label") != F.col("anchor_label")) & alike)
+        .select(F.least("rep", "anchor").alias("a"), F.greatest("rep", "anchor").alias("b"))
+        .distinct()
+    )
+
+
+def compare_blocks(one: pd.DataFrame, two: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links that join the components of two blocks of sets, by ``rep``, ``label`` and ``set``.
+
+    All intersections are one product of incidence matrices, some shingles at a time. Of the
+    links found only those are returned that merge what was apart.
+    """
+    reps = [frame["rep"].to_numpy() for frame in (one, two)]
+    owners = [np.repeat(np.arange(len(f)), f["set"].map(len)) for f in (one, two)]
+    flat = [np.concatenate(list(frame["set"])) for frame in (one, two)]
+    sizes = [np.bincount(owner, minlength=len(rep)) for owner, rep in zip(owners, reps)]
+    common = np.intersect1d(*flat)
+    places = [np.searchsorted(common, values) for values in flat]
+    shared = [
+        (at < len(common)) & (common[np.minimum(at, len(common) - 1)] == values)
+        if len(common) else np.zeros(len(values), bool)
+        for at, values in zip(places, flat)
+    ]
+    both = np.zeros((len(reps[0]), len(reps[1])), np.float32)
+    for low in range(0, len(common), _COLUMNS):
+        parts = []
+        for at, held, owner, rep in zip(places, shared, owners, reps):
+            chosen = held & (at >= low) & (at < low + _COLUMNS)
+            part = np.zeros((len(rep), _COLUMNS), np.float32)
+            part[owner[chosen], at[chosen] - low] = 1
+            parts.append(part)
+        both += parts[0] @ parts[1].T
+    either = sizes[0][:, None] + sizes[1][None, :] - both
+    labels = [frame["label"].to_numpy() for frame in (one, two)]
+    linked = (100 * both >= percent * either) & (labels[0][:, None] != labels[1][None, :])
+    root: dict[int, int] = {}
+
+    def find(label: int) -> int:
+        while (above := root.get(label, label)) != label:
+            root[label] = label = root.get(above, above)
+        return label
+
+    joining = []
+    for at, to in zip(*np.nonzero(linked)):
+        a, b = find(int(labels[0][at])), find(int(labels[1][to]))
+        if a != b:
+            root[a] = b
+            joining.append((int(reps[0][at]), int(reps[1][to])))
+    return joining
+
+
+def _linked_in_blocks(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` in buckets with many members outside of the largest component.
+
+    These are dealt to blocks, and so are all members; a task holds one block of each. Rows
+    grow with the blocks a member meets, and no pair is listed.
+    """
+
+    def blocks(rows: str) -> str:
+        return f"cast(greatest(ceil({rows} / {_BLOCK}), ceil(shingles / {_BLOCK_SHINGLES})) as int)"
+
+    place = F.xxhash64("rep")
+    whole = crowd.select(
+        "bucket", "rep", "label", "largest",
+        F.expr(blocks("others")).alias("outer"), F.expr(blocks("members")).alias("inner"),
+    )
+    every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    outside = whole.where("label <> largest").select(
+        "bucket", F.pmod(place, "outer").cast("int").alias("one"), every("inner").alias("two"),
+        "rep", "label", F.lit(True).alias("outside"),
+    )
+    inside = whole.select(
+        "bucket", every("outer").alias("one"), F.pmod(place, "inner").cast("int").alias("two"),
+        "rep", "label", F.lit(False).alias("outside"),
+    )
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        one, two = frame[frame["outside"]], frame[~frame["outside"]]
+        found = compare_blocks(one, two, percent) if len(one) and len(two) else []
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    dealt = outside.unionByName(inside).join(sets, "rep")
+    return dealt.groupBy("bucket", "one", "two").applyInPandas(compare, "a long, b long")
+
+
 def components_of_buckets(
-    buckets: DataFrame, sets: DataFrame, percent: int = PERCENT
+    buckets: DataFrame, sets: DataFrame, percent: int = PERCENT, few: int = FEW
 ) -> DataFrame | None:
     """Every linked set ``v`` with the smallest one it is connected with, ``label``.
 
     ``buckets`` holds ``bucket``, ``rep`` and the size ``n`` of its set. None without a link.
+
+    One member of each bucket is compared with all others first, which connects most of a
+    group of near copies. In the buckets that still hold several components, every member
+    outside of the largest one is compared with all members of other components: pair by
+    pair where there are ``few`` of them, in blocks where there are more.
     """
-    tested, links, labels, anchors_each = None, None, None, 1
-    while True:
-        members = buckets.withColumn("label", F.col("rep"))
-        if labels is not None:
-            known = labels.select(F.col("v").alias("rep"), F.col("label").alias("known"))
-            members = buckets.join(known, "rep", "left").withColumn(
-                "label", F.coalesce("known", "rep")
-            )
-        per_label = members.groupBy("bucket", "label").agg(F.count("*").alias("rows"))
-        mixed = (
-            per_label.groupBy("bucket")
-            .agg(F.max(F.struct("rows", "label")).alias("largest"), F.count("*").alias("labels"))
-            .where("labels > 1").select("bucket", F.col("largest.label").alias("largest"))
-        )
-        active = written(
-            members.join(mixed, "bucket").select("bucket", "rep", "n", "label", "largest"),
-            "superminhash-active",
-        )
-        if active.isEmpty():
-            return labels
-        # From outside the largest component of the bucket: the one that may be a crowd.
-        salt = F.pmod(F.xxhash64("rep"), F.lit(anchors_each))
-        anchors = written(
-            active.where("label <> largest").groupBy("bucket", salt.alias("salt"))
-            .agg(F.min(F.struct("rep", "n", "label")).alias("anchor"))
-            .select("bucket", F.col("anchor.rep").alias("anchor"), F.col("anchor.n").alias("size"),
-                    F.col("anchor.label").alias("anchor_label")),
-            "superminhash-anchors",
-        )
-        alike = 100 * F.least("n", "size") >= percent * F.greatest("n", "size")
-        pairs = (
-            active.join(anchors, "bucket").where((F.col("label") != F.col("anchor_label")) & alike)
-            .select(F.least("rep", "anchor").alias("a"), F.greatest("rep", "anchor").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "superminhash-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = written(verified(pairs, sets, percent), "superminhash-links")
-        links = found if links is None else links.unionByName(found)
-        if not found.isEmpty():
-            labels = components(links)
-        done = anchors.select("bucket", F.col("anchor").alias("rep"))
-        buckets = written(
-            active.join(done, ["bucket", "rep"], "left_anti").select("bucket", "rep", "n"),
-            "superminhash-left",
-        )
-        anchors_each *= _MORE
+    members = written(_mixed_buckets(buckets, None), "superminhash-members")
+    first = members.groupBy("bucket").agg(F.min(F.struct("rep", "n", "label")).alias("anchor"))
+    anchors = first.select("bucket", "anchor.*")
+    tested = written(_against(members, anchors, percent), "superminhash-pairs")
+    links = written(verified(tested, sets, percent), "superminhash-links")
+    labels = None if links.isEmpty() else components(links)
+
+    members = written(_mixed_buckets(buckets, labels), "superminhash-members")
+    if members.isEmpty():
+        return labels
+    small = members.where(F.col("others") <= few)
+    pairs = _against(small, small.where("label <> largest"), percent)
+    pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "superminhash-pairs")
+    more = verified(pairs, sets, percent).unionByName(
+        _linked_in_blocks(members.where(F.col("others") > few), sets, percent)
+    )
+    more = written(more, "superminhash-links")
+    return labels if more.isEmpty() else components(links.unionByName(more))
 
 
 def near_duplicates(

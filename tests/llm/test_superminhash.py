@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,8 +115,10 @@ def test_groups_against_brute_force(spark):
     assert collected(sm.near_duplicates(clash)) == plain(rows)
 
 
-def test_a_crowd_needs_several_rounds(spark):
+@pytest.mark.parametrize("block, columns", [(512, 4096), (7, 16)])
+def test_a_crowd_is_compared_in_blocks(spark, monkeypatch, block, columns):
     """Many near copies around the least similarity share buckets without all being linked."""
+    monkeypatch.setattr(sm, "_BLOCK", block)
     draw = random.Random(9)
     base = [f"w{at}" for at in range(120)]
     rows = [(at, " ".join(edited(draw, base, draw.choice([1, 2, 3, 4])))) for at in range(120)]
@@ -125,6 +128,38 @@ def test_a_crowd_needs_several_rounds(spark):
     assert 1 < len({r[2] for r in found}) < 120
 
 
+@pytest.mark.parametrize("columns", [5, 4096])
+def test_blocks_find_the_components_of_all_links(monkeypatch, columns):
+    monkeypatch.setattr(sm, "_COLUMNS", columns)
+    rng, sets = np.random.default_rng(4), []
+    for base in range(6):
+        whole = rng.integers(0, 1 << 62, 60)
+        sets += [np.unique(rng.choice(whole, int(rng.integers(45, 61)), replace=False)) for _ in range(9)]
+    frame = pd.DataFrame({"rep": range(len(sets)), "label": range(len(sets)), "set": sets})
+    frame = frame.sample(frac=1, random_state=1)
+    one, two = frame.iloc[:20], frame
+    found = sm.compare_blocks(one, two, 85)
+    label = list(range(len(sets)))
+
+    def root(at):
+        return at if label[at] == at else root(label[at])
+
+    for a in one["rep"]:
+        for b in two["rep"]:
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                label[root(a)] = root(b)
+    expected = [root(at) for at in range(len(sets))]
+    label = list(range(len(sets)))
+    for a, b in found:
+        assert root(a) != root(b)
+        label[root(a)] = root(b)
+    same = lambda roots: {(a, b) for a in range(54) for b in range(54) if roots[a] == roots[b]}
+    assert same([root(at) for at in range(len(sets))]) == same(expected)
+    lone = pd.DataFrame({"rep": [1], "label": [1], "set": [np.array([5])]})
+    assert sm.compare_blocks(lone, lone.assign(rep=2, label=2, set=[np.array([6])]), 85) == []
+
+
 def test_real_documents_against_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
