@@ -16,7 +16,6 @@ from cardwarden.plans.nightly import (
     run_drop,
 )
 from cardwarden.plans.warehouse import Warehouse
-from cardwarden.sources import bank
 from cardwarden.sources.delimited import MALFORMED, read_transactions
 from cardwarden.sources.drops import drop_files
 from cardwarden.sources.workbook import read_workbooks, sheet_rows
@@ -115,13 +114,6 @@ def test_drop_listing(spark, tmp_path):
     }
 
 
-def test_bank_pull_covers_every_key():
-    slices = bank.split_predicates("account", 4)
-    assert len(slices) == 4
-    assert [s for s in slices if "is null" in s] == slices[:1]
-    assert all(f"= {n}" in s for n, s in enumerate(slices))
-
-
 def bank_tables(spark, valid_to=dt.date(2021, 2, 1)):
     stamps = ", create_dt date, update_dt date"
     return {
@@ -252,6 +244,22 @@ def test_job_from_the_command_line(spark, tmp_path, drop, capsys):
     assert "no new files" in capsys.readouterr().out
 
 
+def test_job_puts_files_away_and_cleans_up(spark, tmp_path, drop, capsys):
+    from cardwarden import job
+
+    for name, table in bank_tables(spark).items():
+        table.write.parquet(f"{tmp_path}/bank/{name}")
+    places = ["--drop", drop, "--warehouse", f"{tmp_path}/dwh", "--bank", f"{tmp_path}/bank"]
+    more = ["--archive", f"{tmp_path}/done", "--compact", "--keep-states", "1"]
+    assert job.main([*places, *more]) == 0
+    told = capsys.readouterr().out
+    assert "2021-03-02, 2021-04-01" in told and "fact_transactions" in told
+    assert list((tmp_path / "drop").iterdir()) == []
+    assert Warehouse(spark, f"{tmp_path}/dwh").table(schemas.TRANSACTIONS).count() == 2
+    assert job.main([*places, *more]) == 0
+    assert "no new files" in capsys.readouterr().out
+
+
 def test_rejects_are_kept_beside_the_loaded_lines(spark, tmp_path):
     (folder := tmp_path / "drop").mkdir()
     bad = line(2, "2021-03-01").replace("1,50", "x")
