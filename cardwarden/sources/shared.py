@@ -35,6 +35,10 @@ class SharedFiles:
     def _system(self, path: str):
         return self._path(path).getFileSystem(self._conf)
 
+    def qualified(self, path: str) -> str:
+        """The path with the file system Spark would take it for."""
+        return self._system(path).makeQualified(self._path(path)).toString()
+
     def entries(self, folder: str) -> list[Entry]:
         """What lies in a folder; nothing if there is no such folder."""
         try:
