@@ -1,13 +1,16 @@
 """Token ids in binary shards, with a minimal perfect hash index for keyed access.
 
 Documents are sorted by key into shards. A shard is one raw file of little-endian unsigned
-32-bit ids and one index file. The index holds, for each distinct key of the shard, one slot
+ids, of 16 bits if the tokenizer's ids all fit and else of 32, and one index file. The index
+holds, for each distinct key of the shard, one slot
 of a minimal perfect hash: the key's fingerprint, its first record and its number of
 records; and for each record its offset in the payload. The keys are kept in order beside it,
 for reading a shard from end to end.
 
 Tasks write under names of their own and report them; the reports are a table that Spark
-commits, so a task that ran twice, or was lost, leaves at most a file no report names.
+commits, so a task that ran twice, or was lost, leaves at most a file no report names. A
+report has the first and last key of its shard: they lead from a key to its shards, and the
+index from there to its records (``fetch``).
 
 NULL and empty texts are the end id alone. Rows repeating a key are records of their own,
 in the order of their texts' hashes, and are all found by their key: where they span shards, each
@@ -19,6 +22,7 @@ columns are ignored.
 from __future__ import annotations
 
 import io
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,8 +34,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import table, written
-from cardwarden.llm.tokens import token_ids
+from cardwarden.llm.tokens import token_ids, vocabulary
 from cardwarden.session import scratch
+from cardwarden.sources.shared import SharedFiles
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
@@ -42,10 +47,10 @@ _READ = 256
 
 
 def _place(uri: str):
-    """File system and path of a folder named by a plain path or a URI."""
+    """File system and path of a folder named by its whole URI."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
 
 
 # The minimal perfect hash: hash and displace, single keys placed directly.
@@ -114,7 +119,7 @@ class Shard:
             index = np.load(io.BytesIO(source.read()), allow_pickle=False)
             self.offsets, self.seeds = index["offsets"], index["seeds"]
             self.prints, self.first, self.many = index["prints"], index["first"], index["many"]
-            self.keys = index["keys"]
+            self.keys, self.width = index["keys"], int(index["width"])
 
     def find(self, keys) -> tuple[np.ndarray, np.ndarray]:
         """First record and number of records of each key; 0 records if it is not held."""
@@ -128,8 +133,9 @@ class Shard:
     def records(self, first: int, many: int) -> list[np.ndarray]:
         start, end = int(self.offsets[first]), int(self.offsets[first + many])
         with self.files.open_input_file(self.payload) as source:
-            source.seek(4 * start)
-            data = np.frombuffer(source.read(4 * (end - start)), "<u4")
+            source.seek(self.width * start)
+            held = source.read(self.width * (end - start))
+        data = np.frombuffer(held, f"<u{self.width}").astype("<u4")
         cuts = (self.offsets[first + 1 : first + many] - start).astype(np.int64)
         return np.split(data, cuts)
 
@@ -138,16 +144,19 @@ def write_shards(
     docs: DataFrame, folder: str, id_column: str = "doc_id", tokenizer: str = TOKENIZER,
     end: int = END, shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
-    """Write the shards; the table of them: shard, name, records, keyed, ids and ``start``."""
+    """Write the shards; the table of them.
+
+    Columns are shard, name, records, unkeyed (records without a key), ids, first_key and
+    last_key as text, and start, the number of ids in all shards before.
+    """
+    folder = SharedFiles(docs.sparkSession).qualified(folder)
+    width = 2 if max(vocabulary(tokenizer), end + 1) <= 1 << 16 else 4
     size = docs.agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("rows")).first()
     shards = max(1, -(-((size.n or 0) + 16 * size.rows) // shard_bytes))
-    # The row number, fixed in a written table, lets the rows of one key, or without one, span shards.
-    numbered = written(
-        docs.select(
-            F.col(id_column).alias("key"), F.col("text").cast("string").alias("text"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-        "token-rows",
+    # The row number lets the rows of one key, or without one, span shards.
+    numbered = docs.select(
+        F.col(id_column).alias("key"), F.col("text").cast("string").alias("text"),
+        F.monotonically_increasing_id().alias("row"),
     )
     place = ("key", F.xxhash64("text"), "row")
     ordered = (
@@ -167,7 +176,7 @@ def write_shards(
                     continue
                 shard, lengths = int(frame["shard"].iloc[0]), []
                 for key, ids in zip(frame["key"], token_ids(frame["text"], tokenizer, end), strict=True):
-                    sink.write(ids.tobytes())
+                    sink.write(ids.astype(f"<u{width}").tobytes())
                     if not pd.isna(key) and (empty or key != last):
                         keys.append(key)
                         firsts.append(records)
@@ -189,17 +198,23 @@ def write_shards(
             target[slots] = values
         held = io.BytesIO()
         np.savez(held, offsets=np.concatenate(offsets), seeds=seeds, prints=laid[0],
-                 first=laid[1], many=laid[2], keys=np.array([k.encode() for k in keys], "S"))
+                 first=laid[1], many=laid[2], keys=np.array([k.encode() for k in keys], "S"),
+                 width=width)
         with files.open_output_stream(f"{root}/{name}.idx") as sink:
             sink.write(held.getvalue())
         unkeyed = int(first[0]) if len(first) else records
-        yield pd.DataFrame([(shard, name, records, unkeyed, total)],
-                           columns=["shard", "name", "records", "unkeyed", "ids"])
+        ends = (keys[0], keys[-1]) if keys else (None, None)
+        yield pd.DataFrame(
+            [(shard, name, records, unkeyed, total, *ends)],
+            columns=["shard", "name", "records", "unkeyed", "ids", "first_key", "last_key"],
+        )
 
     # Keys are handed over as text, so that a NULL does not turn whole numbers into floats.
     reports = written(
         ordered.withColumn("key", F.col("key").cast("string")).mapInPandas(
-            write, "shard int, name string, records long, unkeyed long, ids long"
+            write,
+            "shard int, name string, records long, unkeyed long, ids long,"
+            " first_key string, last_key string",
         ),
         "token-shards",
     )
@@ -238,6 +253,7 @@ def read_back(shards: DataFrame, folder: str, kind: str, id_column: str = "doc_i
                             "ids_crc32": [zlib.crc32(ids.tobytes()) for ids in data],
                         })
 
+    folder = SharedFiles(shards.sparkSession).qualified(folder)
     count = max(1, shards.count())
     found = shards.select("name", "unkeyed", "start").repartition(count).mapInPandas(
         read, "key string, start long, n_tokens long, ids_crc32 long"
@@ -247,6 +263,40 @@ def read_back(shards: DataFrame, folder: str, kind: str, id_column: str = "doc_i
     )
 
 
+def fetch(
+    shards: DataFrame, folder: str, wanted: DataFrame, id_column: str = "doc_id"
+) -> DataFrame:
+    """The ids of every record of the wanted keys: id, ``shard``, ``record`` and ``ids``.
+
+    ``wanted`` has distinct keys of the stored kind. A key is sent to the shards whose first
+    and last key enclose it, which are more than one only where its rows span shards; each
+    looks it up in constant time. Keys that are not held give no row.
+    """
+    folder = SharedFiles(shards.sparkSession).qualified(folder)
+    kind = wanted.schema[id_column].dataType.simpleString()
+    keyed = shards.where(F.col("first_key").isNotNull()).select(
+        "shard", "name", F.col("first_key").cast(kind).alias("low"),
+        F.col("last_key").cast(kind).alias("high"),
+    )
+    # One row per shard; the shards before a key end below it, the ones after start above.
+    asked = wanted.select(F.col(id_column).alias("key")).join(
+        keyed, F.col("key").between(F.col("low"), F.col("high"))
+    )
+
+    def read(frame: pd.DataFrame) -> pd.DataFrame:
+        shard, rows = Shard(folder, frame["name"].iloc[0]), []
+        number = int(frame["shard"].iloc[0])
+        for key, first, many in zip(frame["key"], *shard.find(frame["key"])):
+            for at, ids in enumerate(shard.records(int(first), int(many)) if many else ()):
+                rows.append((key, number, int(first) + at, ids.tolist()))
+        return pd.DataFrame(rows, columns=["key", "shard", "record", "ids"])
+
+    found = asked.select("name", "shard", F.col("key").cast("string").alias("key")).groupBy(
+        "name"
+    ).applyInPandas(read, "key string, shard int, record long, ids array<long>")
+    return found.select(F.col("key").cast(kind).alias(id_column), "shard", "record", "ids")
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = scratch(spark, "token-ids")

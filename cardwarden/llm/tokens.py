@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
 
+# Characters of a part of a long text, and of texts looked up together.
 _PART = 1 << 17
-_BATCH = 1 << 17
-_KNOWN = 1 << 17
+_BATCH = 1 << 19
+# Chunks whose ids are remembered: those met once, and those met again.
+_ONCE = 150_000
+_AGAIN = 200_000
 _SHORT = 64
 # A single space between two visible characters: word tokenizers always part there.
 _CHUNK = re.compile(r"(?<=\S)(?= \S)")
+# White space other than space and line end.
+_RARE = re.compile(r"[^\S \n]")
 _SEAM = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
 
 
@@ -22,9 +29,12 @@ _SEAM = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
 def _tokenizer(name: str):
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(public_tokenizers.path(name))
-    found.encode_special_tokens = True  # their strings in a text are ordinary text
-    return found
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
+def vocabulary(name: str) -> int:
+    """Number of ids a tokenizer knows."""
+    return _tokenizer(name).get_vocab_size()
 
 
 def _parts(text: str) -> Iterator[str]:
@@ -39,52 +49,104 @@ def _parts(text: str) -> Iterator[str]:
     yield text[start:]
 
 
+def _chunks(text: str) -> list[str]:
+    """The text cut before each single space between visible characters, without that space.
+
+    The first chunk is the one that has none.
+    """
+    beside = "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
+    if not beside and _RARE.search(text) is None:
+        return text.split(" ")
+    first, *later = _CHUNK.split(text)
+    return [first, *(chunk[1:] for chunk in later)]
+
+
+class _Lookup:
+    """Ids of chunks with a space before them, encoded once while they are remembered.
+
+    Most chunks of a large corpus occur once or twice. Those are soon let go of; the others
+    move to a memory of their own, which outlives the tasks of a Python worker.
+    """
+
+    def __init__(self, name: str):
+        self.tokenizer = _tokenizer(name)
+        self.again: dict[str, bytes] = {}
+        self.once: dict[str, bytes] = {}
+
+    def learn(self, texts: list[list[str]]) -> dict[str, bytes]:
+        """The ids of all chunks of the texts but the first of each."""
+        wanted: set[str] = set()
+        for chunks in texts:
+            wanted.update(islice(chunks, 1, None))
+        held, once, again = {}, self.once, self.again
+        new = []
+        for chunk in wanted:
+            ids = again.get(chunk)
+            if ids is None:
+                ids = once.pop(chunk, None)
+                if ids is None:
+                    new.append(chunk)
+                    continue
+                again[chunk] = ids
+            held[chunk] = ids
+        spaced = [f" {chunk}" for chunk in new]
+        fresh = dict(zip(new, self.bare(spaced), strict=True))
+        held |= fresh
+        once.update((chunk, ids) for chunk, ids in fresh.items() if len(chunk) <= _SHORT)
+        for memory, most in ((once, _ONCE), (again, _AGAIN)):
+            if len(memory) > most:
+                for chunk in list(islice(memory, len(memory) - most // 2)):
+                    del memory[chunk]
+        return held
+
+    def bare(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts as they are."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", one.ids).tobytes() for one in found]
+
+
 @lru_cache(maxsize=4)
-def _known(name: str) -> dict[str, bytes]:
-    """Ids of chunks met before in this Python worker, at most ``_KNOWN`` and one batch."""
-    return {}
+def _lookup(name: str) -> _Lookup:
+    return _Lookup(name)
 
 
 def token_ids(texts, name: str, end: int) -> Iterator[np.ndarray]:
     """Ids of each text with the end id, in order; a NULL text counts as empty.
 
-    Tokenizers of this kind never join across a single space between visible characters. So
-    each different chunk between such spaces (with its space before it) is encoded once.
+    The ids are those of the tokenizer as it is loaded: the strings of its special tokens,
+    where a text holds them, become those tokens. Tokenizers of this kind never join across
+    a single space between visible characters. So each different chunk between such spaces
+    is encoded once.
     """
-    tokenizer, known = _tokenizer(name), _known(name)
+    lookup = _lookup(name)
     last = np.array([end], "<u4").tobytes()
-
-    def encoded(chunks: list[str]) -> list[bytes]:
-        new = list(set(chunks).difference(known))
-        long = {}
-        for chunk, found in zip(
-            new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
-        ):
-            (known if len(chunk) <= _SHORT else long)[chunk] = np.array(found.ids, "<u4").tobytes()
-        if long:
-            return [known[chunk] if chunk in known else long[chunk] for chunk in chunks]
-        return [known[chunk] for chunk in chunks]
-
     waiting: list[list[str]] = []
     size = 0
 
     def flush() -> Iterator[np.ndarray]:
-        if len(known) > _KNOWN:
-            known.clear()
-        ids = iter(encoded([chunk for chunks in waiting for chunk in chunks]))
-        for chunks in waiting:
-            yield np.frombuffer(b"".join([next(ids) for _ in chunks]) + last, "<u4")
+        known = lookup.learn(waiting)
+        firsts = lookup.bare([chunks[0] for chunks in waiting])
+        for first, chunks in zip(firsts, waiting, strict=True):
+            later = map(known.__getitem__, islice(chunks, 1, None))
+            yield np.frombuffer(b"".join([first, *later, last]), "<u4")
         waiting.clear()
 
+    def long(text: str) -> Iterator[bytes]:
+        for number, part in enumerate(_parts(text)):
+            chunks = _chunks(part) if number == 0 else ["", *_chunks(part[1:])]
+            known = lookup.learn([chunks])
+            if number == 0:
+                yield lookup.bare(chunks[:1])[0]
+            yield b"".join(map(known.__getitem__, islice(chunks, 1, None)))
+
     for text in texts:
         text = text or ""
         if len(text) > _BATCH:
             yield from flush()
             size = 0
-            parts = [b"".join(encoded(_CHUNK.split(part))) for part in _parts(text)]
-            yield np.frombuffer(b"".join(parts) + last, "<u4")
+            yield np.frombuffer(b"".join([*long(text), last]), "<u4")
             continue
-        waiting.append(_CHUNK.split(text))
+        waiting.append(_chunks(text))
         size += len(text) + 100
         if size > _BATCH:
             yield from flush()

@@ -12,7 +12,15 @@ from cardwarden.llm import (
     top_k, url_filter,
 )
 from cardwarden.llm.common import written
-from cardwarden.llm.tokens import _tokenizer
+from cardwarden.llm import tokens
+
+def _tokenizer(name):
+    """The tokenizer as anyone would load it."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LIMIT = 1 << 19
@@ -149,9 +157,15 @@ def test_token_store_round_trip(spark, docs, nothing, tmp_path):
         ids = np.array([*tokenizer.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 0], "<u4")
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
-    held = [token_store.Shard(folder, r.name) for r in shards.collect()]
+    held = [token_store.Shard(f"file://{folder}", r.name) for r in shards.collect()]
     assert sum(shard.find(["3"])[1][0] for shard in held) == 2
     assert sum(shard.find(["777"])[1][0] for shard in held) == 0
+    assert {shard.width for shard in held} == {2}
+    wanted = spark.createDataFrame([(3,), (9,), (777,)], "doc_id long")
+    found = token_store.fetch(shards, folder, wanted).collect()
+    assert sorted(r.doc_id for r in found) == [3, 3, 9]
+    for r in found:
+        assert r.ids == [*tokenizer.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 0]
     empty = str(tmp_path / "none")
     assert token_store.read_back(token_store.write_shards(nothing, empty), empty, "bigint").count() == 0
 
@@ -163,7 +177,10 @@ def test_token_store_spreads_rows_of_one_key(spark, tmp_path):
     shards = token_store.write_shards(found, folder, shard_bytes=8_000)
     told = shards.collect()
     assert max(r.records for r in told) < 150
-    held = [token_store.Shard(folder, r.name) for r in told]
+    held = [token_store.Shard(f"file://{folder}", r.name) for r in told]
+    spread = token_store.fetch(shards, folder, spark.createDataFrame([(5,), (6,)], "doc_id long"))
+    counts = dict(spread.groupBy("doc_id").count().collect())
+    assert counts == {5: 300, 6: 1} and spread.select("shard").distinct().count() > 1
     many = [int(shard.find(["5"])[1][0]) for shard in held]
     assert sum(many) == 300 and sum(n > 0 for n in many) > 1
     assert sum(r.unkeyed for r in told) == 300
@@ -175,6 +192,23 @@ def test_token_store_spreads_rows_of_one_key(spark, tmp_path):
         start += r.n_tokens
 
 
+@pytest.mark.parametrize("name, end", [("byte_bpe_50k.json", 0), ("word_bpe_49k.json", 1)])
+@pytest.mark.parametrize("part, batch", [(1 << 17, 1 << 19), (40, 300), (5, 10)])
+def test_ids_are_those_of_the_plain_tokenizer(monkeypatch, name, end, part, batch):
+    monkeypatch.setattr(tokens, "_PART", part)
+    monkeypatch.setattr(tokens, "_BATCH", batch)
+    monkeypatch.setattr(tokens, "_ONCE", 50)
+    monkeypatch.setattr(tokens, "_AGAIN", 30)
+    rng = np.random.default_rng(2)
+    signs = [*"abcDE12 .,'\n\t éßİЖ中ñ\u0301<|>_s-", "<|endoftext|>", "<|startoftext|>", "  ", "'s", " 'LL",
+             "\r\n", "\u00a0", " foo", "bar", "\U0001f642", " <|endoftext|> "]
+    texts = [None, "", " ", "  a", "a<|endoftext|>b", "x <|endoftext|> y", "<|endoftext|>"]
+    texts += ["".join(rng.choice(signs, n)) for n in rng.choice([1, 3, 10, 60, 400], 300)]
+    plain = _tokenizer(name)
+    for text, ids in zip(texts, tokens.token_ids(texts, name, end), strict=True):
+        assert ids.tolist() == [*plain.encode(text or "", add_special_tokens=False).ids, end]
+
+
 def test_perfect_hash_is_minimal():
     for n in (1, 2, 7, 5000):
         hashes, _ = token_store.key_hashes(range(n))
