@@ -16,6 +16,24 @@ from cardwarden.llm.common import table, written
 ORACLE_SQL = None
 
 
+def _keeping(docs: DataFrame, used: tuple[str, ...], operate) -> DataFrame:
+    """What ``operate`` leaves of the used columns, with all others as they were.
+
+    Operators add columns of their own, which must not meet further columns of the table. So
+    these pass as one struct, under a name the table does not have.
+    """
+    used = tuple(name for name in used if name in docs.columns)
+    others = [name for name in docs.columns if name not in used]
+    rest = "rest"
+    while rest in docs.columns:
+        rest += "_"
+    held = [F.struct(*(F.col(f"`{name}`") for name in others)).alias(rest)] if others else []
+    left = operate(docs.select(*used, *held))
+    return left.select(
+        *(F.col(f"`{name}`" if name in used else f"{rest}.`{name}`").alias(name) for name in docs.columns)
+    )
+
+
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no language go."""
     return language_id.keep_known(docs, language_id.train(docs))
@@ -23,18 +41,19 @@ def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id."""
-    return simhash.one_of_each(docs, simhash.near_duplicates(simhash.fingerprints(docs)))
+    judged = simhash.near_duplicates(simhash.fingerprints(docs))
+    return _keeping(docs, ("doc_id", "text"), lambda used: simhash.one_of_each(used, judged))
 
 
 def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that occur before are cut out."""
-    return suffix_dedup.without_repeats(docs)
+    """Passages that occur before are cut out; text and length change, no other column."""
+    return _keeping(docs, ("doc_id", "text", "n_chars"), suffix_dedup.without_repeats)
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per copy in the mix: none, one or two of each document."""
-    copies = mixing.mixed(mixing.draws(docs))
-    return copies.select(*(F.col(f"`{name}`") for name in docs.columns))
+    used = ("doc_id", "text", "source")
+    return _keeping(docs, used, lambda rows: mixing.mixed(mixing.draws(rows)))
 
 
 def stage_pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
