@@ -15,6 +15,7 @@ rows; columns other than the id, the text and the label are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -186,12 +187,9 @@ def train(docs: DataFrame, id_column: str = "doc_id", sample: int = SAMPLE) -> d
     return fit(x, found["lang"].tolist())
 
 
-def identify(docs: DataFrame, model: dict | None) -> DataFrame:
-    """The rows of ``docs`` (with a ``text``) with ``lang_pred`` and ``score``."""
-    session = docs.sparkSession.sparkContext
-    shared = session.broadcast(model)
-    kept = [name for name in docs.columns if name not in ("lang_pred", "score")]
-    docs = docs.select(*(F.col(f"`{name}`") for name in kept))
+def _judge(docs: DataFrame, model: dict | None):
+    """A column with the language of ``text`` and the score."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
     def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -200,14 +198,26 @@ def identify(docs: DataFrame, model: dict | None) -> DataFrame:
                 [predict(shared.value, text) for text in part], columns=["lang_pred", "score"]
             )
 
-    judged = docs.withColumn("_judged", judge(F.col("text").cast("string")))
-    return judged.select(*(f"`{name}`" for name in kept), "_judged.lang_pred", "_judged.score")
+    return judge(F.col("text").cast("string"))
+
+
+def identify(docs: DataFrame, model: dict | None) -> DataFrame:
+    """The rows of ``docs`` (with a ``text``) with ``lang_pred`` and ``score``.
+
+    Other columns are carried along; columns of these two names are replaced.
+    """
+    kept = [name for name in docs.columns if name not in ("lang_pred", "score")]
+    own = f"_judged_{uuid.uuid4().hex}"
+    judged = docs.withColumn(own, _judge(docs, model))
+    return judged.select(*(F.col(f"`{name}`") for name in kept), f"{own}.lang_pred", f"{own}.score")
 
 
 def keep_known(docs: DataFrame, model: dict | None) -> DataFrame:
-    """The documents that have a language, with their columns as they were."""
-    judged = identify(docs.withColumn("_text", F.col("text")), model)
-    return judged.where(F.col("lang_pred") != UNKNOWN).select(*(f"`{name}`" for name in docs.columns))
+    """The documents that have a language, with all their columns as they were."""
+    own = f"_judged_{uuid.uuid4().hex}"
+    judged = docs.withColumn(own, _judge(docs, model))
+    known = judged.where(F.col(f"{own}.lang_pred") != UNKNOWN)
+    return known.select(*(F.col(f"`{name}`") for name in docs.columns))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

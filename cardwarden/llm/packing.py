@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import table, written
-from cardwarden.llm.tokens import token_ids
+from cardwarden.llm.tokens import release, token_ids
 
 LIMIT = 4096
 TOKENIZER = "word_bpe_49k.json"
@@ -42,6 +42,7 @@ def pieces(
         for frame in frames:
             for at in range(0, len(frame), 1000):
                 yield part(frame.iloc[at : at + 1000])
+        release()
 
     def part(frame: pd.DataFrame) -> pd.DataFrame:
         whose, rows = [], []

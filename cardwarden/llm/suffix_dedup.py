@@ -116,11 +116,12 @@ def _sparse_suffixes(docs: DataFrame, min_words: int) -> DataFrame:
     def batch(frame, whose, found, places) -> pd.DataFrame:
         rows = np.concatenate(whose)
         return pd.DataFrame({
-            "gram": np.concatenate(found).view(np.int64), "key": frame["key"].to_numpy()[rows],
+            "gram": np.concatenate(found).view(np.int64), "mark": frame["mark"].to_numpy()[rows],
             "order": frame["order"].to_numpy()[rows], "at": np.concatenate(places),
         })
 
-    return docs.mapInPandas(read, "gram long, key binary, order long, at int")
+    texts = docs.select("mark", "order", "text")
+    return texts.mapInPandas(read, "gram long, mark long, order long, at int")
 
 
 def _passages(held: DataFrame, min_words: int) -> DataFrame:
@@ -150,11 +151,12 @@ def _passages(held: DataFrame, min_words: int) -> DataFrame:
         rows = np.concatenate(whose)
         return pd.DataFrame({
             "ha": np.concatenate(first).view(np.int64), "hb": np.concatenate(second).view(np.int64),
-            "order": frame["order"].to_numpy()[rows], "key": frame["key"].to_numpy()[rows],
+            "order": frame["order"].to_numpy()[rows], "mark": frame["mark"].to_numpy()[rows],
             "at": np.concatenate(places),
         })
 
-    return held.mapInPandas(read, "ha long, hb long, order long, key binary, at int")
+    texts = held.select("mark", "order", "text", "places")
+    return texts.mapInPandas(read, "ha long, hb long, order long, mark long, at int")
 
 
 def merge_spans(starts, length: int) -> list[tuple[int, int]]:
@@ -172,31 +174,33 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int =
     The spans are those of the row with the smallest id; further rows of a text repeat it whole.
     """
     rank = F.coalesce(F.col(id_column).cast("long"), F.lit(_LAST))
+    # Positions name their text by a short mark and its order, copies by the whole key.
     keyed = docs.where(F.col("text").isNotNull()).select(
-        _text_key().alias("key"), rank.alias("order"), F.col("text").cast("string").alias("text")
+        _text_key().alias("key"), F.xxhash64("text").alias("mark"), rank.alias("order"),
+        F.col("text").cast("string").alias("text"),
     )
     # Copies of a text would be extended once each; one of them stands for all.
     firsts = written(
-        keyed.groupBy("key").agg(F.min("order").alias("order"), F.count("*").alias("rows")),
+        keyed.groupBy("key", "mark").agg(F.min("order").alias("order"), F.count("*").alias("rows")),
         "text-firsts",
     )
     suffixes = written(
-        _sparse_suffixes(keyed, min_words).join(firsts, ["key", "order"], "left_semi"),
+        _sparse_suffixes(keyed, min_words).join(firsts, ["mark", "order"], "left_semi"),
         "sparse-suffixes",
     )
-    place = F.struct("key", "at")
+    place = F.struct("mark", "order", "at")
     neighbours = (
         suffixes.groupBy("gram").agg(F.min(place).alias("low"), F.max(place).alias("high"))
         .where("low <> high").select("gram")
     )
     wanted = (
         suffixes.join(neighbours, "gram", "left_semi")
-        .groupBy("key", "order").agg(F.sort_array(F.collect_set("at")).alias("places"))
+        .groupBy("mark", "order").agg(F.sort_array(F.collect_set("at")).alias("places"))
     )
     # Rows repeating id and text are alike; their passages are compared as one.
-    held = keyed.join(wanted, ["key", "order"])
+    held = keyed.join(wanted, ["mark", "order"])
     passages = written(_passages(held, min_words), "passages")
-    where = F.struct("order", "key", "at")
+    where = F.struct("order", "mark", "at")
     first = (
         passages.groupBy("ha", "hb").agg(F.min(where).alias("first"), F.max(where).alias("last"))
         .where("first <> last").select("ha", "hb", "first")
@@ -204,7 +208,7 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int =
     again = (
         passages.join(first, ["ha", "hb"])
         .where(where != F.col("first"))
-        .groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("starts"))
+        .groupBy("mark", "order").agg(F.sort_array(F.collect_set("at")).alias("starts"))
     )
     kind = "array<struct<start:int,end:int>>"
 
@@ -212,8 +216,8 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int =
     def merged(starts: pd.Series) -> pd.Series:
         return starts.map(lambda s: [{"start": a, "end": b} for a, b in merge_spans(s, min_words)])
 
-    spans = again.select("key", merged("starts").alias("spans"))
-    return firsts.join(spans, "key", "left").where("spans is not null or rows > 1").select(
+    spans = again.select("mark", "order", merged("starts").alias("spans"))
+    return firsts.join(spans, ["mark", "order"], "left").where("spans is not null or rows > 1").select(
         "key", F.coalesce("spans", F.array().cast(kind)).alias("spans")
     )
 

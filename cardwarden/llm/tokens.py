@@ -65,7 +65,7 @@ class _Lookup:
     """Ids of chunks with a space before them, encoded once while they are remembered.
 
     Most chunks of a large corpus occur once or twice. Those are soon let go of; the others
-    move to a memory of their own, which outlives the tasks of a Python worker.
+    move to a memory of their own, which is kept until ``release``.
     """
 
     def __init__(self, name: str):
@@ -110,6 +110,15 @@ def _lookup(name: str) -> _Lookup:
     return _Lookup(name)
 
 
+def release() -> None:
+    """Let go of tokenizers and of all they have encoded, for a task that has ended.
+
+    Python workers outlive their tasks and would hold on to them beside the next stage.
+    """
+    _lookup.cache_clear()
+    _tokenizer.cache_clear()
+
+
 def token_ids(texts, name: str, end: int) -> Iterator[np.ndarray]:
     """Ids of each text with the end id, in order; a NULL text counts as empty.
 

@@ -415,3 +415,23 @@ def test_pipeline_stages(spark, docs, nothing):
             check_packed(found.collect(), packing.LIMIT)
         else:
             assert found.count() == 0
+
+
+def test_pipeline_keeps_further_columns(spark, docs):
+    names = ("size", "target", "source_size", "draws", "shard", "score", "lang_pred", "n_words",
+             "spans", "rows", "kept_id", "component", "key", "rest", "_judged", "_text", "text_hash")
+    found = docs
+    for name in names:
+        found = found.withColumn(name, F.concat(F.lit(f"{name} of "), F.coalesce(F.col("doc_id"), F.lit(-1))))
+    found = found.select("rest", *[c for c in found.columns if c != "rest"])
+    columns = found.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = written(stage(spark, found, ""), f"test-columns-{name}")
+        assert found.columns == columns
+        for row in found.collect():
+            number = -1 if row.doc_id is None else row.doc_id
+            assert [row[n] for n in names] == [f"{n} of {number}" for n in names]
+    packed = corpus_pipeline.stage_pack(spark, found, "").collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in found.collect()}
+    kept = language_id.keep_known(docs.withColumn("score", F.lit("mine")), language_id.train(docs))
+    assert {r.score for r in kept.collect()} == {"mine"}
