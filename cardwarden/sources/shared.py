@@ -65,6 +65,18 @@ class SharedFiles:
     def exists(self, path: str) -> bool:
         return self._system(path).exists(self._path(path))
 
+    def read(self, path: str) -> str | None:
+        """A small text file; None if it is gone."""
+        try:
+            source = self._system(path).open(self._path(path))
+        except Py4JJavaError as error:
+            if _raised(error, "FileNotFoundException"):
+                return None
+            raise
+        text = self._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        source.close()
+        return text
+
     def delete(self, path: str) -> bool:
         return self._system(path).delete(self._path(path), True)
 

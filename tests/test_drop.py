@@ -3,6 +3,7 @@ at once, archives, crashes, compaction and retention."""
 
 import datetime as dt
 import os
+import random
 import threading
 import time
 
@@ -10,6 +11,7 @@ import pytest
 
 from cardwarden import schemas
 from cardwarden.plans import nightly
+from cardwarden.plans import warehouse as warehouse_module
 from cardwarden.plans.nightly import Feeds, current_watch, run_batch, run_drop
 from cardwarden.plans.warehouse import ConcurrentRun, FinalRun, Warehouse
 from cardwarden.sources.drops import DroppedFile, drop_files
@@ -229,6 +231,88 @@ def test_compaction_and_retention(spark, places):
         old.table(schemas.TRANSACTIONS).collect()
 
 
+def test_entries_are_folded_into_one_file(spark, places, monkeypatch):
+    monkeypatch.setattr(warehouse_module, "_OWN_FILES", 3)
+    warehouse = Warehouse(spark, str(places / "dwh"))
+    manifest = places / "dwh" / "_manifest"
+    stale = warehouse.begin("stale")
+    stale.written.append("fact_transactions")
+    for number in range(1, 11):
+        run = warehouse.begin(f"r{number}", [DroppedFile(f"f{number}", number, 2)])
+        run.report_days.add(DAY)
+        run.publish()
+        assert [e.sequence for e in warehouse.state().entries] == list(range(1, number + 1))
+        assert len([n for n in os.listdir(manifest) if n.endswith(".json")]) <= 4
+    state = warehouse.state()
+    assert [run.run_id for run in state.runs] == [f"r{n}" for n in range(1, 11)]
+    assert state.files() == {DroppedFile(f"f{n}", n, 2) for n in range(1, 11)}
+    assert state.report_days() == {DAY}
+    # Entry 1 has no file of its own any more, and is still taken.
+    assert not os.path.exists(warehouse.entry_path(1))
+    with pytest.raises(ConcurrentRun):
+        stale.publish()
+    assert not os.path.exists(warehouse.entry_path(1))
+    assert warehouse.fold() and not warehouse.fold()
+    assert os.listdir(manifest).count("base-000000000010.json") == 1
+    assert warehouse.state().entries == state.entries
+    warehouse.begin("next").publish()
+    assert warehouse.state().sequence == 11
+
+
+def test_entries_folded_while_they_are_read(spark, places, monkeypatch):
+    warehouse = Warehouse(spark, str(places / "dwh"))
+    for number in range(3):
+        warehouse.begin(f"r{number}").publish()
+    read, folded = SharedFiles.read, []
+
+    def between(self, path):
+        if not folded:
+            folded.append(path)
+            monkeypatch.setattr(SharedFiles, "read", read)
+            warehouse.fold()
+            monkeypatch.setattr(SharedFiles, "read", between)
+        return read(self, path)
+
+    monkeypatch.setattr(SharedFiles, "read", between)
+    assert [e.sequence for e in warehouse.state().entries] == [1, 2, 3]
+    os.remove(warehouse.base_path(3))
+    with open(warehouse.entry_path(5), "w") as file:
+        file.write("")
+    with pytest.raises(FileNotFoundError, match="gaps"):
+        warehouse.state()
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_a_drop_equals_its_files_one_by_one(spark, places, seed):
+    """Any files at once, in any state of the warehouse, load as one after another."""
+    draw = random.Random(seed)
+    expected, listed = [], []
+    for round_ in range(2):
+        files = {}
+        for name in draw.sample("abcdefgh", 4):
+            day = draw.choice([SECOND, THIRD])
+            rows = [(draw.choice(["", *"123456789"]), f"{name}{round_}{at}") for at in range(4)]
+            files[day, f"transactions_{name}{round_}_{day:%d%m%Y}.txt"] = rows
+        for (day, name), rows in files.items():
+            write_lines(places / "drop" / name, *(line(k, day, card) for k, card in rows))
+        for day in {day for day, _ in files}:
+            entries = [(draw.choice("pqrst"), draw.choice([5, 6, 7])) for _ in range(3)]
+            name = f"passport_blacklist_{round_}_{day:%d%m%Y}.txt"
+            (places / "drop" / name).write_text(
+                "day;passport\n" + "".join(f"2021-01-0{n};{p}\n" for p, n in entries)
+            )
+            files[day, name] = entries
+        for (_, name), rows in sorted(files.items()):
+            target = listed if "blacklist" in name else expected
+            known = {k for k, _ in target}
+            target += [(k, v) for k, v in rows if not k or k not in known]
+        run(spark, places)
+    found = [(r.trans_id or "", r.card_num) for r in held(spark, places).collect()]
+    assert sorted(found) == sorted(expected)
+    entries = held(spark, places, schemas.BLACKLIST).collect()
+    assert sorted((r.passport_num, r.entry_dt.day) for r in entries) == sorted(listed)
+
+
 def test_retention_spares_a_run_at_work(spark, places):
     warehouse = Warehouse(spark, str(places / "dwh"))
     run_batch(warehouse, feeds(spark, [1]), "a", DAY, DAY)
