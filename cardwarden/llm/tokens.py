@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 from collections.abc import Iterator
@@ -11,9 +12,10 @@ from itertools import islice
 import numpy as np
 import public_tokenizers
 
-# Characters of a part of a long text, and of texts looked up together.
+# Characters of a part of a long text, and of texts looked up together; chunks encoded together.
 _PART = 1 << 17
-_BATCH = 1 << 19
+_BATCH = 1 << 18
+_TOGETHER = 4096
 # Chunks whose ids are remembered: those met once, and those met again.
 _ONCE = 150_000
 _AGAIN = 200_000
@@ -27,6 +29,8 @@ _SEAM = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
 
 @lru_cache(maxsize=4)
 def _tokenizer(name: str):
+    # Spark runs a task per core; threads of their own only take memory there.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(public_tokenizers.path(name))
@@ -65,7 +69,7 @@ class _Lookup:
     """Ids of chunks with a space before them, encoded once while they are remembered.
 
     Most chunks of a large corpus occur once or twice. Those are soon let go of; the others
-    move to a memory of their own, which is kept until ``release``.
+    move to a memory of their own, which outlives the tasks of a Python worker.
     """
 
     def __init__(self, name: str):
@@ -101,8 +105,13 @@ class _Lookup:
 
     def bare(self, texts: list[str]) -> list[bytes]:
         """Ids of texts as they are."""
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", one.ids).tobytes() for one in found]
+        return [
+            array("I", one.ids).tobytes()
+            for at in range(0, len(texts), _TOGETHER)
+            for one in self.tokenizer.encode_batch_fast(
+                texts[at : at + _TOGETHER], add_special_tokens=False
+            )
+        ]
 
 
 @lru_cache(maxsize=4)
@@ -110,15 +119,6 @@ def _lookup(name: str) -> _Lookup:
     return _Lookup(name)
 
 
-def release() -> None:
-    """Let go of tokenizers and of all they have encoded, for a task that has ended.
-
-    Python workers outlive their tasks and would hold on to them beside the next stage.
-    """
-    _lookup.cache_clear()
-    _tokenizer.cache_clear()
-
-
 def token_ids(texts, name: str, end: int) -> Iterator[np.ndarray]:
     """Ids of each text with the end id, in order; a NULL text counts as empty.
 
