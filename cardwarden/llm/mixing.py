@@ -2,8 +2,8 @@
 
 The documents of a source fall into blocks by a hash. Water filling gives each source its
 target in words. A source then supplies whole passes over its blocks, and for the rest of
-its target a permuted draw of blocks that still fit; one last block is cut by size to come
-near the target. A tree splits the drawn blocks among output shards: each node draws, from
+its target a permuted draw of blocks that still fit; of one last block it takes the documents
+whose sizes together come nearest to what is left, by subset sums. A tree splits the drawn blocks among output shards: each node draws, from
 the block counts of all sources at once, how many of each go left. The shards get disjoint
 ranges of each source's permuted blocks and are shuffled locally.
 
@@ -17,7 +17,8 @@ columns added here are replaced.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import table, word_count, written
@@ -28,6 +29,9 @@ BLOCK_ROWS = 8
 SHARD_WORDS = 2_000_000
 SHARDS = 4096
 SEED = 17
+# Words and documents of the last block that exact subset sums look at.
+_BITS = 1 << 16
+_ITEMS = 512
 
 
 def targets(sizes: list[int], weights: list[float], total: float, most: float = 2.0) -> list[float]:
@@ -57,6 +61,59 @@ def split(counts: np.ndarray, shards: int, rng: np.random.Generator) -> list[np.
     return split(draw, left, rng) + split(counts - draw, shards - left, rng)
 
 
+def nearest(sizes: list[int], goal: float) -> list[int]:
+    """Places whose sizes add up as near to the goal as possible.
+
+    Exact by subset sums on a bitset, as long as the goal and the sizes are few; beyond that
+    the largest that fit are taken first.
+    """
+    chosen, left, small = [], goal, []
+    for at in sorted(range(len(sizes)), key=lambda at: -sizes[at]):
+        if left > _BITS:
+            if sizes[at] <= left:
+                chosen.append(at)
+                left -= sizes[at]
+        elif 0 < sizes[at] <= 2 * left:
+            small.append(at)
+    while len(small) > _ITEMS and sizes[small[0]] <= left:
+        left -= sizes[small[0]]
+        chosen.append(small.pop(0))
+    small = [at for at in small if sizes[at] <= 2 * left]
+    small = small[:: max(1, -(-len(small) // _ITEMS))]
+    mask, reach, before = (1 << (int(2 * left) + 1)) - 1, 1, []
+    for at in small:
+        before.append(reach)
+        reach |= (reach << sizes[at]) & mask
+    floor = int(left)
+    best = (reach & ((1 << (floor + 1)) - 1)).bit_length() - 1
+    above = reach >> (floor + 1)
+    if above:
+        higher = floor + (above & -above).bit_length()
+        best = min(best, higher, key=lambda total: abs(total - left))
+    for at, reached in zip(reversed(small), reversed(before)):
+        if not reached >> best & 1:
+            chosen.append(at)
+            best -= sizes[at]
+    return sorted(chosen)
+
+
+def _last_documents(rows: DataFrame) -> DataFrame:
+    """Keys of the documents that the cut blocks give; rows alike are given together or not."""
+
+    def choose(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("key")
+        taken = nearest(frame["size"].tolist(), float(frame["rest"].iloc[0]))
+        found = frame.iloc[taken][["_at", "_block", "key"]]
+        return found.rename(columns={"key": "_key"}).assign(_given=True)
+
+    alike = rows.groupBy("_at", "_block", "key").agg(
+        F.sum("size").alias("size"), F.any_value("rest").alias("rest")
+    )
+    return alike.groupBy("_at", "_block").applyInPandas(
+        choose, "_at int, _block long, _key long, _given boolean"
+    )
+
+
 def draws(
     docs: DataFrame, id_column: str = "doc_id", share: float = 1.5, shard_words: int = SHARD_WORDS
 ) -> DataFrame:
@@ -124,26 +181,14 @@ def draws(
                 homes.setdefault((at, number), []).append(shard)
             used[at] += int(n)
 
-    # A cut block gives its documents from the smallest up, as far as its source still needs.
     cut = spark.createDataFrame(trims, "_at int, _block long, rest double")
-    order = Window.partitionBy("_at").orderBy("size", "key").rangeBetween(Window.unboundedPreceding, 0)
-    inside = (
-        placed.join(F.broadcast(cut), ["_at", "_block"])
-        .withColumn("upto", F.sum("size").over(order))
-        .where(F.col("upto") <= F.col("rest") + F.col("size") / 2)
-        .groupBy("_at", "_block")
-        .agg(F.max(F.struct("size", "key")).alias("last"))
-    )
-    last = {(r["_at"], r["_block"]): r.last for r in inside.collect()}
+    given = written(_last_documents(placed.join(cut, ["_at", "_block"])), "mix-last-documents")
     cut_blocks = {(at, number) for at, number, _ in trims}
     rows = [
-        (at, number, found, (at, number) in cut_blocks,
-         *(last.get((at, number)) or (None, None)))
+        (at, number, found, (at, number) in cut_blocks)
         for (at, number), found in sorted(homes.items())
     ]
-    homes_table = spark.createDataFrame(
-        rows, "_at int, _block long, _homes array<int>, _cut boolean, _last_size long, _last_key long"
-    )
+    homes_table = spark.createDataFrame(rows, "_at int, _block long, _homes array<int>, _cut boolean")
     own = {"size", "source_size", "target", "draws"}
     kept = [name for name in docs.columns if name not in own]
     base = docs.select(
@@ -156,14 +201,11 @@ def draws(
         "_block", F.pmod(F.col("_key"), F.col("_blocks"))
     )
     joined = joined.join(F.broadcast(homes_table), ["_at", "_block"], "left")
-    up_to = F.coalesce(
-        F.struct(F.col("size"), F.col("_key")) <= F.struct(F.col("_last_size"), F.col("_last_key")),
-        F.lit(False),
-    ) & F.col("_last_size").isNotNull()
+    joined = joined.join(given, ["_at", "_block", "_key"], "left")
     none = F.array().cast("array<int>")
     # The cut applies to one of the block's draws, the last of its list.
     kept_draws = F.when(F.col("_homes").isNull(), none).when(
-        F.col("_cut") & ~up_to, F.slice("_homes", F.lit(1), F.size("_homes") - 1)
+        F.col("_cut") & F.col("_given").isNull(), F.slice("_homes", F.lit(1), F.size("_homes") - 1)
     ).otherwise(F.col("_homes"))
     return joined.select("_row.*", "size", "source_size", "target", kept_draws.alias("draws"))
 

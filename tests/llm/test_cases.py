@@ -102,12 +102,60 @@ def test_mixing(docs, nothing):
     assert mixing.draws(nothing).count() == 0
 
 
-def test_mixing_comes_near_its_targets(spark):
-    found = mixing.draws(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), shard_words=10_000)
-    rows = found.groupBy("source").agg(
-        F.sum(F.size("draws") * F.col("size")).alias("taken"), F.first("target").alias("target")
-    ).collect()
-    assert all(abs(r.taken - r.target) < 0.08 * r.target for r in rows)
+def water_filled(sizes, weights, total):
+    """The targets again, by raising a common level until all is dealt."""
+    low, high = 0.0, 2.0 * sum(sizes) + 1
+    for _ in range(200):
+        level = (low + high) / 2
+        dealt = sum(min(2 * size, level * weight) for size, weight in zip(sizes, weights))
+        low, high = (level, high) if dealt < total else (low, level)
+    return [min(2 * size, low * weight) for size, weight in zip(sizes, weights)]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_mixing_comes_near_its_targets(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    found = mixing.draws(docs, shard_words=10_000).collect()
+    sizes = {}
+    for r in found:
+        assert r["size"] == len((r.text or "").encode().split()) and len(r.draws) <= 2
+        sizes[r.source] = sizes.get(r.source, 0) + r["size"]
+    sources = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weights = [(3, 1, 2)[at % 3] for at in range(len(sources))]
+    goals = water_filled([sizes[s] for s in sources], weights, 1.5 * sum(sizes.values()))
+    for source, goal in zip(sources, goals):
+        rows = [r for r in found if r.source == source]
+        assert {r.source_size for r in rows} == {sizes[source]}
+        assert all(abs(r.target - goal) < 1e-6 * goal + 1e-6 for r in rows)
+        assert abs(sum(r["size"] * len(r.draws) for r in rows) - goal) <= 0.01 * goal
+
+
+def test_nearest_is_the_best_sum(monkeypatch):
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        sizes = rng.integers(0, 40, 9).tolist()
+        goal = float(rng.uniform(0, 1.3 * sum(sizes)))
+        chosen = mixing.nearest(sizes, goal)
+        assert len(set(chosen)) == len(chosen)
+        sums = [sum(v for i, v in enumerate(sizes) if mask >> i & 1) for mask in range(512)]
+        assert abs(sum(sizes[at] for at in chosen) - goal) == min(abs(total - goal) for total in sums)
+    monkeypatch.setattr(mixing, "_BITS", 500)
+    monkeypatch.setattr(mixing, "_ITEMS", 20)
+    sizes = rng.integers(1, 300, 2000).tolist()
+    for goal in (10.0, 5_000.5, 250_000.0):
+        assert abs(sum(sizes[at] for at in mixing.nearest(sizes, goal)) - goal) <= 2
+    assert mixing.nearest([], 5.0) == mixing.nearest([0, 0], 5.0) == []
+
+
+def test_mixing_with_thousands_of_sources(spark):
+    rows = [(at, words(at, 1 + at % 7), f"s{at % 3000:04}") for at in range(6000)]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string, source string"), "many")
+    found = mixing.draws(docs).collect()
+    assert len(found) == 6000
+    taken = sum(r["size"] * len(r.draws) for r in found)
+    whole = sum(r["size"] for r in found)
+    assert abs(taken - 1.5 * whole) < 0.1 * whole
+    assert all(r["size"] * len(r.draws) <= 2 * r["size"] for r in found)
 
 
 def check_packed(rows, limit):
