@@ -32,7 +32,7 @@ def insert_new(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """
     keyed = batch.where(F.col(key).isNotNull())
     unkeyed = batch.where(F.col(key).isNull())
-    offered = keyed.select(key).distinct().hint("rebalance")
+    offered = keyed.select(key).distinct()
     known = target.select(key).join(offered, key, "left_semi").distinct().hint("rebalance")
     fresh = keyed.join(known, key, "left_anti").select(*batch.columns)
     return fresh.unionByName(unkeyed)

@@ -6,12 +6,16 @@ but the last return the columns of ``documents``; the last returns the packed pi
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.llm import language_id, mixing, packing, simhash, suffix_dedup
 from cardwarden.llm.common import table, written
 
+_BATCH_ROWS = "500"
+
 # Not expressible in SQL: trained machines, seeded draws, a tokenizer. Tested by brute force.
 ORACLE_SQL = None
 
@@ -61,12 +65,26 @@ def stage_pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, with_ids=True))
 
 
+def _in_small_batches(stage):
+    """The stage with few documents at a time handed to Python, which bounds what a task holds."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language", stage_language),
-    ("near_duplicates", stage_near_duplicates),
-    ("repeats", stage_repeats),
-    ("mix", stage_mix),
-    ("pack", stage_pack),
+    (name, _in_small_batches(stage))
+    for name, stage in (
+        ("language", stage_language),
+        ("near_duplicates", stage_near_duplicates),
+        ("repeats", stage_repeats),
+        ("mix", stage_mix),
+        ("pack", stage_pack),
+    )
 ]
 
 
