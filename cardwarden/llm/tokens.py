@@ -17,8 +17,8 @@ _PART = 1 << 17
 _BATCH = 1 << 18
 _TOGETHER = 4096
 # Chunks whose ids are remembered: those met once, and those met again.
-_ONCE = 150_000
-_AGAIN = 200_000
+_ONCE = 100_000
+_AGAIN = 150_000
 _SHORT = 64
 # A single space between two visible characters: word tokenizers always part there.
 _CHUNK = re.compile(r"(?<=\S)(?= \S)")
