@@ -122,7 +122,7 @@ def load_feed(
         staged = staging.stage_transactions(
             batch,
             dated.otherwise(day).alias("report_day"),
-            *([file_order.alias(LOAD_ORDER)] if len(files) != 1 else []),
+            *([file_order.alias(LOAD_ORDER)] if order is not None or len(files) > 1 else []),
             enforce_lengths=enforce_lengths,
         )
         known = state.table(TRANSACTIONS)
