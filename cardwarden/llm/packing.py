@@ -19,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import table, written
-from cardwarden.llm.tokens import token_ids
+from cardwarden.llm.tokens import token_ids, vocabulary
 
 LIMIT = 4096
 TOKENIZER = "word_bpe_49k.json"
@@ -35,8 +35,13 @@ def pieces(
     docs: DataFrame, limit: int = LIMIT, tokenizer: str = TOKENIZER, end: int = END,
     with_ids: bool = False, id_column: str = "doc_id",
 ) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32 and, if asked for, its ids."""
-    columns = ["piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
+    """One row per piece: id, piece, start, length, ids_crc32 and, if asked for, its ids.
+
+    Ids that all fit in 16 bits come as ``ids16``, which ``pack`` returns as ``ids`` of 32.
+    """
+    narrow = with_ids and max(vocabulary(tokenizer), end + 1) <= 1 << 16
+    named = "ids16" if narrow else "ids"
+    columns = ["piece", "start", "length", "ids_crc32", *([named] if with_ids else [])]
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -48,15 +53,16 @@ def pieces(
         for place, ids in enumerate(token_ids(frame["text"], tokenizer, end)):
             for number, start in enumerate(range(0, len(ids), limit)):
                 data = ids[start : start + limit]
-                blob = data.tobytes()
+                crc, held = zlib.crc32(data.tobytes()), data.astype("<u2") if narrow else data
                 whose.append(place)
-                rows.append((number, start, len(data), zlib.crc32(blob), blob)[: len(columns)])
+                blob = [held.tobytes()] if with_ids else []
+                rows.append((number, start, len(data), crc, *blob))
         found = pd.DataFrame(rows, columns=columns)
         found.insert(0, id_column, frame[id_column].to_numpy()[whose])
         return found
 
     kind = docs.schema[id_column].dataType.simpleString()
-    more = ", ids binary" if with_ids else ""
+    more = f", {named} binary" if with_ids else ""
     return docs.select(id_column, F.col("text").cast("string")).mapInPandas(
         read, f"`{id_column}` {kind}, piece int, start long, length long, ids_crc32 long{more}"
     )
@@ -122,8 +128,18 @@ def _places(found: list[tuple[int, dict[int, int]]]) -> tuple[np.ndarray, ...]:
     return tuple(np.array(column, np.int64) for column in zip(*rows, strict=True))
 
 
+def _widened(name: str) -> Column:
+    """16-bit ids in 32 bits."""
+
+    @F.pandas_udf("binary")
+    def widen(ids: pd.Series) -> pd.Series:
+        return ids.map(lambda held: np.frombuffer(held, "<u2").astype("<u4").tobytes())
+
+    return widen(name)
+
+
 def pack(parts: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """The pieces with ``sequence_id`` and ``offset``."""
+    """The pieces with ``sequence_id`` and ``offset``; ids in 32 bits."""
     parts = written(parts, "pieces")
     count = parts.count()
     groups = max(1, -(-count // GROUP_ROWS))
@@ -138,8 +154,10 @@ def pack(parts: DataFrame, limit: int = LIMIT) -> DataFrame:
     histogram = {
         r["length"]: r["n"] for r in held.groupBy("length").agg(F.sum("n").alias("n")).collect()
     }
+    columns = [_widened(n).alias("ids") if n == "ids16" else F.col(f"`{n}`") for n in parts.columns]
     if not histogram:
-        return parts.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
+        none = F.lit(0).cast("long")
+        return parts.select(*columns, none.alias("sequence_id"), none.alias("offset"))
     shared = parts.sparkSession.sparkContext.broadcast(_places(bins(histogram, limit)))
     own = Window.partitionBy("length", "_salt").orderBy(*keys)
     ranked = salted.withColumn("_own", F.row_number().over(own) - 1).join(before, ["length", "_salt"])
@@ -157,7 +175,7 @@ def pack(parts: DataFrame, limit: int = LIMIT) -> DataFrame:
         })
 
     found = ranked.withColumn("_place", place("length", "_rank"))
-    return found.select(*parts.columns, "_place.sequence_id", "_place.offset")
+    return found.select(*columns, "_place.sequence_id", "_place.offset")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
