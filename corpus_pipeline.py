@@ -61,8 +61,8 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def stage_pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces with their ids and places in the sequences."""
-    return packing.pack(packing.pieces(docs, with_ids=True))
+    """The pieces with their ids, in 16 bits each, and their places in the sequences."""
+    return packing.pack(packing.pieces(docs, with_ids=True), widen=False)
 
 
 def _in_small_batches(stage):
