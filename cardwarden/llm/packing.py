@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import table, written
-from cardwarden.llm.tokens import token_ids, vocabulary
+from cardwarden.llm.tokens import forget, token_ids, vocabulary
 
 LIMIT = 4096
 TOKENIZER = "word_bpe_49k.json"
@@ -47,6 +47,7 @@ def pieces(
         for frame in frames:
             for at in range(0, len(frame), 1000):
                 yield part(frame.iloc[at : at + 1000])
+        forget(tokenizer)
 
     def part(frame: pd.DataFrame) -> pd.DataFrame:
         whose, rows = [], []
@@ -138,8 +139,8 @@ def _widened(name: str) -> Column:
     return widen(name)
 
 
-def pack(parts: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """The pieces with ``sequence_id`` and ``offset``; ids in 32 bits."""
+def pack(parts: DataFrame, limit: int = LIMIT, widen: bool = True) -> DataFrame:
+    """The pieces with ``sequence_id`` and ``offset``; ids in 32 bits, or as they come."""
     parts = written(parts, "pieces")
     count = parts.count()
     groups = max(1, -(-count // GROUP_ROWS))
@@ -154,7 +155,10 @@ def pack(parts: DataFrame, limit: int = LIMIT) -> DataFrame:
     histogram = {
         r["length"]: r["n"] for r in held.groupBy("length").agg(F.sum("n").alias("n")).collect()
     }
-    columns = [_widened(n).alias("ids") if n == "ids16" else F.col(f"`{n}`") for n in parts.columns]
+    columns = [
+        _widened(name).alias("ids") if widen and name == "ids16" else F.col(f"`{name}`")
+        for name in parts.columns
+    ]
     if not histogram:
         none = F.lit(0).cast("long")
         return parts.select(*columns, none.alias("sequence_id"), none.alias("offset"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import table, written
-from cardwarden.llm.tokens import token_ids, vocabulary
+from cardwarden.llm.tokens import forget, token_ids, vocabulary
 from cardwarden.session import scratch
 from cardwarden.sources.shared import SharedFiles
 
@@ -185,6 +185,7 @@ def write_shards(
                     records += 1
                 offsets.append(total + np.cumsum(lengths, dtype=np.int64))
                 total = int(offsets[-1][-1])
+        forget(tokenizer)
         if not records:
             files.delete_file(f"{root}/{name}.ids")
             return

@@ -17,8 +17,8 @@ _PART = 1 << 17
 _BATCH = 1 << 18
 _TOGETHER = 4096
 # Chunks whose ids are remembered: those met once, and those met again.
-_ONCE = 100_000
-_AGAIN = 150_000
+_ONCE = 50_000
+_AGAIN = 100_000
 _SHORT = 64
 # A single space between two visible characters: word tokenizers always part there.
 _CHUNK = re.compile(r"(?<=\S)(?= \S)")
@@ -69,7 +69,8 @@ class _Lookup:
     """Ids of chunks with a space before them, encoded once while they are remembered.
 
     Most chunks of a large corpus occur once or twice. Those are soon let go of; the others
-    move to a memory of their own, which outlives the tasks of a Python worker.
+    move to a memory of their own. ``forget`` empties both, as a Python worker outlives its
+    tasks; the tokenizer stays, since loading it again and again costs more than it takes.
     """
 
     def __init__(self, name: str):
@@ -119,6 +120,12 @@ def _lookup(name: str) -> _Lookup:
     return _Lookup(name)
 
 
+def forget(name: str) -> None:
+    """For the end of a task: let go of what its texts were encoded to."""
+    _lookup(name).once.clear()
+    _lookup(name).again.clear()
+
+
 def token_ids(texts, name: str, end: int) -> Iterator[np.ndarray]:
     """Ids of each text with the end id, in order; a NULL text counts as empty.
 
