@@ -6,10 +6,11 @@ available lengths that leaves the least slack, found by subset sums on a bitset.
 combination is removed as often as the pieces last, so the work of the driver depends on
 the histogram of lengths (at most ``limit`` numbers), not on the pieces.
 
-Pieces learn their place from their rank among pieces of the same length, which is counted
-over many small groups. NULL and empty texts are one piece, the end id alone. Rows that
-repeat are packed as often as they occur. Rows without an id are packed, too. An empty table gives
-no rows; other columns are ignored.
+Pieces learn their place from their rank among pieces of the same length: the tasks that write
+them number their own, and counts per task and length say where each task's numbers begin. So
+the pieces, which may carry their ids, are not shuffled. NULL and empty texts are one piece,
+the end id alone. Rows that repeat are packed as often as they occur. Rows without an id are
+packed, too. An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from cardwarden.llm.tokens import forget, token_ids, vocabulary
 LIMIT = 4096
 TOKENIZER = "word_bpe_49k.json"
 END = 1
-GROUP_ROWS = 50_000
 
 
 def pieces(
@@ -139,32 +139,46 @@ def _widened(name: str) -> Column:
     return widen(name)
 
 
+def _numbered(name: str) -> Column:
+    """How many rows with the same value its task has met before."""
+
+    @F.pandas_udf("long")
+    def number(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        met: dict[int, int] = {}
+        for values in parts:
+            own = values.groupby(values).cumcount() + values.map(met).fillna(0).astype(np.int64)
+            for value, times in values.value_counts().items():
+                met[value] = met.get(value, 0) + int(times)
+            yield own
+
+    return number(name)
+
+
 def pack(parts: DataFrame, limit: int = LIMIT, widen: bool = True) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``; ids in 32 bits, or as they come."""
-    parts = written(parts, "pieces")
-    count = parts.count()
-    groups = max(1, -(-count // GROUP_ROWS))
-    id_column = parts.columns[0]
-    keys = [id_column, "piece", "ids_crc32"]
-    salted = parts.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(groups)))
-    held = written(salted.groupBy("length", "_salt").agg(F.count("*").alias("n")), "pack-groups")
-    before = held.withColumn(
-        "_before",
-        F.sum("n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("n"),
-    ).drop("n")
+    names = parts.columns
+    parts = written(
+        parts.select("*", F.spark_partition_id().alias("_task"), _numbered("length").alias("_own")),
+        "pieces",
+    )
+    held = written(parts.groupBy("length", "_task").agg(F.count("*").alias("n")), "pack-counts")
+    # Written, so that its size is known: a short list is broadcast and the pieces stay in place.
+    before = written(held.select(
+        "length", "_task",
+        (F.sum("n").over(Window.partitionBy("length").orderBy("_task")) - F.col("n")).alias("_before"),
+    ), "pack-starts")
     histogram = {
         r["length"]: r["n"] for r in held.groupBy("length").agg(F.sum("n").alias("n")).collect()
     }
     columns = [
         _widened(name).alias("ids") if widen and name == "ids16" else F.col(f"`{name}`")
-        for name in parts.columns
+        for name in names
     ]
     if not histogram:
         none = F.lit(0).cast("long")
         return parts.select(*columns, none.alias("sequence_id"), none.alias("offset"))
     shared = parts.sparkSession.sparkContext.broadcast(_places(bins(histogram, limit)))
-    own = Window.partitionBy("length", "_salt").orderBy(*keys)
-    ranked = salted.withColumn("_own", F.row_number().over(own) - 1).join(before, ["length", "_salt"])
+    ranked = parts.join(before, ["length", "_task"])
     ranked = ranked.withColumn("_rank", F.col("_own") + F.col("_before"))
 
     @F.pandas_udf("sequence_id long, offset long")

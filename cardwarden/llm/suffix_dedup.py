@@ -33,6 +33,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import table, written
+from cardwarden.plans.warehouse import settle
+from cardwarden.session import scratch
+from cardwarden.sources.shared import SharedFiles
 
 MIN_WORDS = 50
 GRAM = 8
@@ -168,10 +171,13 @@ def merge_spans(starts, length: int) -> list[tuple[int, int]]:
     return [(int(run[0]), int(run[-1]) + length) for run in np.split(starts, breaks)]
 
 
-def repeated_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, id_column: str = "doc_id", min_words: int = MIN_WORDS, hold=written
+) -> DataFrame:
     """Per distinct text with a span or copies: ``key`` and ``spans``.
 
     The spans are those of the row with the smallest id; further rows of a text repeat it whole.
+    ``hold`` writes the intermediate tables, which the result reads.
     """
     rank = F.coalesce(F.col(id_column).cast("long"), F.lit(_LAST))
     # Positions name their text by a short mark and its order, copies by the whole key.
@@ -180,11 +186,11 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int =
         F.col("text").cast("string").alias("text"),
     )
     # Copies of a text would be extended once each; one of them stands for all.
-    firsts = written(
+    firsts = hold(
         keyed.groupBy("key", "mark").agg(F.min("order").alias("order"), F.count("*").alias("rows")),
         "text-firsts",
     )
-    suffixes = written(
+    suffixes = hold(
         _sparse_suffixes(keyed, min_words).join(firsts, ["mark", "order"], "left_semi"),
         "sparse-suffixes",
     )
@@ -199,7 +205,7 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int =
     )
     # Rows repeating id and text are alike; their passages are compared as one.
     held = keyed.join(wanted, ["mark", "order"])
-    passages = written(_passages(held, min_words), "passages")
+    passages = hold(_passages(held, min_words), "passages")
     where = F.struct("order", "mark", "at")
     first = (
         passages.groupBy("ha", "hb").agg(F.min(where).alias("first"), F.max(where).alias("last"))
@@ -222,10 +228,17 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int =
     )
 
 
-def with_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with ``n_words`` and ``spans``, the word spans that occur before."""
-    found = written(repeated_spans(docs, id_column, min_words), "spans")
-    kept = [name for name in docs.columns if name not in ("n_words", "spans")]
+def with_spans(
+    docs: DataFrame, id_column: str = "doc_id", min_words: int = MIN_WORDS,
+    without: tuple[str, ...] = (),
+) -> DataFrame:
+    """``docs`` with ``n_words`` and ``spans``, the word spans that occur before.
+
+    Columns named by ``without`` are not carried: texts that nobody asks for are neither
+    written nor shuffled once more.
+    """
+    found = _found_spans(docs, id_column, min_words)
+    kept = [name for name in docs.columns if name not in ("n_words", "spans", *without)]
     base = written(docs.select(
         F.struct(*(F.col(f"`{name}`") for name in kept)).alias("_row"),
         _text_key().alias("key"),
@@ -243,6 +256,19 @@ def with_spans(docs: DataFrame, id_column: str = "doc_id", min_words: int = MIN_
     return joined.select("_row.*", "n_words", spans.alias("spans"))
 
 
+def _found_spans(docs: DataFrame, id_column: str, min_words: int) -> DataFrame:
+    """The repeated spans, written; the larger tables they come from are deleted by then."""
+    spark = docs.sparkSession
+    root = scratch(spark, "llm-repeats")
+
+    def hold(df: DataFrame, name: str) -> DataFrame:
+        return settle(df, f"{root}/{name}")
+
+    found = written(repeated_spans(docs, id_column, min_words, hold), "spans")
+    SharedFiles(spark).delete(root)
+    return found
+
+
 def cut_text(text: str, spans) -> str:
     """The text without the words of the spans and the white space that follows each."""
     data = text.encode("utf-8", "replace")
@@ -280,6 +306,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", min_words: int =
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_spans(docs, without=("text",))
     gone = F.aggregate("spans", F.lit(0), lambda total, s: total + s["end"] - s["start"])
     return found.select("doc_id", "n_words", "spans", gone.alias("repeated_words"))
